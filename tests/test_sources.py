@@ -1,0 +1,86 @@
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from perfwatch.sources import (
+    export_csv,
+    read_devices,
+    read_field_metrics,
+    read_lab_reports,
+    read_layer,
+    read_page_loads,
+    write_partitioned,
+    write_table,
+)
+from perfwatch.sources.schemas import FIELD_METRICS_SCHEMA, LAB_REPORT_SCHEMA
+
+
+def test_lab_reports_json_array_ints_widen_and_missing_fields_null(spark, tmp_path):
+    d = tmp_path / "lab"
+    d.mkdir()
+    runs = [{"report_id": "a", "run_timestamp": "2026-02-01T06:00:00+00:00", "route": "/", "device_type": "pc",
+             "environment": "production", "lcp_ms": 1500, "request_count": 41},
+            {"report_id": "b", "run_timestamp": "2026-02-01T07:00:00+00:00", "route": "/x",
+             "device_type": "phone", "extra_field": "ignored"}]
+    (d / "day1.json").write_text(json.dumps(runs, indent=2))
+    (d / "day2.json").write_text(json.dumps(runs[:1], indent=2))
+    df = read_lab_reports(spark, str(d))
+    assert df.schema == LAB_REPORT_SCHEMA
+    rows = df.orderBy("report_id").collect()
+    assert len(rows) == 3 and rows[0].lcp_ms == 1500.0 and rows[0].request_count == 41.0
+    assert rows[2].lcp_ms is None and rows[2].environment is None
+
+
+def test_field_metrics_csv_binds_by_position(spark, tmp_path):
+    d = tmp_path / "field"
+    d.mkdir()
+    header = ",".join(reversed(FIELD_METRICS_SCHEMA.fieldNames()))  # header names are not used
+    values = ["2026-02-01", "https://o", "/a", "phone", "4g", "2000", "0.05", "180"] + ["0.5"] * 9 + ["42"]
+    (d / "part.csv").write_text(header + "\n" + ",".join(values) + "\n")
+    row = read_field_metrics(spark, str(d)).first()
+    assert row.date == "2026-02-01" and row.p75_lcp_ms == 2000.0 and row.sample_count == 42
+
+
+def test_page_loads_json_lines_and_devices(spark, tmp_path):
+    pl = tmp_path / "pl"
+    pl.mkdir()
+    (pl / "a.jsonl").write_text("\n".join(json.dumps({"event_id": str(i), "route": "/r", "lcp_ms": i * 10.0,
+                                                      "js_error_count": i}) for i in range(5)))
+    df = read_page_loads(spark, str(pl))
+    assert df.count() == 5 and dict(df.dtypes)["js_error_count"] == "int"
+    dv = tmp_path / "dev"
+    dv.mkdir()
+    (dv / "d.json").write_text(json.dumps([{"device_id": "m1", "device_class": "low-end", "memory_gb": 3}]))
+    assert read_devices(spark, str(dv)).first().memory_gb == 3
+
+
+def test_partitioned_and_plain_parquet_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([("2026-02-01", "/a", 1), ("2026-02-01", "/b", 2), ("2026-02-02", "/a", 3)],
+                               "d string, route string, n int").withColumn("date", F.to_date("d")).drop("d")
+    path = str(tmp_path / "t")
+    assert write_partitioned(df, path, "date") == 3
+    assert sorted(p for p in os.listdir(path) if p.startswith("date=")) == ["date=2026-02-01", "date=2026-02-02"]
+    back = read_layer(spark, path)
+    assert back.columns[-1] == "date" and dict(back.dtypes)["date"] == "date"
+    # overwrite replaces the whole table, not only the partitions written
+    assert write_partitioned(df.where("n = 3"), path, "date") == 1
+    assert read_layer(spark, path).count() == 1
+    assert write_table(df, str(tmp_path / "u")) == 3
+    assert read_layer(spark, str(tmp_path / "u")).count() == 3
+
+
+def test_export_csv_keeps_sort_order(spark, tmp_path):
+    df = spark.range(0, 200, 1, 7).select((F.col("id") * 7 % 200).alias("k")).orderBy("k")
+    out = tmp_path / "csv"
+    assert export_csv(df, str(out)) == 200
+    parts = sorted(p for p in os.listdir(out) if p.startswith("part-"))
+    values = []
+    for p in parts:
+        lines = (out / p).read_text().splitlines()
+        assert lines[0] == "k"
+        values += [int(x) for x in lines[1:]]
+    assert values == list(range(200))
+    single = tmp_path / "one"
+    export_csv(df, str(single), single_file=True)
+    assert len([p for p in os.listdir(single) if p.startswith("part-")]) == 1
