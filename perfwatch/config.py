@@ -58,10 +58,6 @@ SEVERITY_RANK = (("critical", 4), ("high", 3), ("medium", 2), ("low", 1))
 IMPROVED_PCT = -10.0
 IMPROVED_CLS_DELTA = -0.02
 
-# Default accuracy of percentile_approx.  The per-group sketch holds at most
-# about accuracy * log(n / accuracy) entries, so memory per group is bounded
-# whatever the group size; groups below roughly accuracy / 2 rows are exact.
-DEFAULT_PERCENTILE_ACCURACY = 1_000_000
 # ---------------------------------------------------------------------------
 
 

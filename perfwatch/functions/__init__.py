@@ -9,11 +9,11 @@ from perfwatch.functions.scoring import (
     severity,
     severity_rank,
 )
-from perfwatch.functions.stats import p75, pct_change
+from perfwatch.functions.stats import mean_of_rounded, pct_change
 from perfwatch.functions.times import as_date, as_timestamp
 
 __all__ = [
     "as_date", "as_timestamp", "canonical_device_type", "canonical_route", "clean_route",
-    "good_flag", "health_score", "metric_score", "newly_crosses", "p75", "pct_change",
+    "good_flag", "health_score", "metric_score", "mean_of_rounded", "newly_crosses", "pct_change",
     "risk_level", "severity", "severity_rank", "url_path",
 ]

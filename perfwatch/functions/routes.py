@@ -20,16 +20,21 @@ def _literal_map(pairs) -> Column:
     return F.expr("map(" + ", ".join(_sql_str(v) for pair in pairs for v in pair) + ")")
 
 
+# Cut at the first ? or #, skip surrounding spaces, one leading "/" and one
+# trailing "/"; the rest is the path body.
+_ROUTE_BODY = r"^ */?([^?#]*?)/? *(?:[?#]|\z)"
+
+
 def clean_route(col: Column | str) -> Column:
     """Path part of a route: cut at the first ``?`` or ``#``, trim spaces,
     lower-case, make sure it starts with ``/`` and drop one trailing ``/``
-    (a bare ``/`` stays).  NULL stays NULL."""
+    (a bare ``/`` stays).  NULL stays NULL.
+
+    One anchored regular expression does the cutting and trimming (its input
+    is used once), so the expression stays small even where the optimizer
+    copies it into a pushed-down filter."""
     c = F.col(col) if isinstance(col, str) else col
-    # Each step consumes the previous one once, so the expression stays
-    # linear in size (no repeated sub-trees for the optimizer to chew on).
-    path = F.lower(F.trim(F.regexp_extract(c, r"^([^?#]*)", 1)))
-    rooted = F.regexp_replace(path, r"^(?!/)", "/")
-    return F.regexp_replace(rooted, r"^([\s\S]+)/\z", "$1")
+    return F.concat(F.lit("/"), F.regexp_extract(F.lower(c), _ROUTE_BODY, 1))
 
 
 def canonical_route(col: Column | str) -> Column:
@@ -40,11 +45,11 @@ def canonical_route(col: Column | str) -> Column:
 
 def canonical_device_type(col: Column | str, valid=VALID_DEVICE_TYPES) -> Column:
     """lower+trim, alias table, then anything outside ``valid`` (NULL
-    included) becomes ``unknown``."""
+    included) becomes ``unknown``.  Valid types map to themselves in the
+    lookup table, so the input is read once."""
     c = F.col(col) if isinstance(col, str) else col
-    low = F.lower(F.trim(c))
-    resolved = F.coalesce(_literal_map(DEVICE_TYPE_ALIASES)[low], low)
-    return F.when(resolved.isin(*valid), resolved).otherwise(F.lit("unknown"))
+    table = tuple((k, v) for k, v in DEVICE_TYPE_ALIASES if v in valid) + tuple((v, v) for v in valid)
+    return F.coalesce(_literal_map(table)[F.lower(F.trim(c))], F.lit("unknown"))
 
 
 def url_path(col: Column | str) -> Column:

@@ -4,20 +4,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from perfwatch.config import DEFAULT_PERCENTILE_ACCURACY
-
-
-def p75(col: Column | str, scale: int, accuracy: int = DEFAULT_PERCENTILE_ACCURACY) -> Column:
-    """75th percentile (smallest value with at least 75 % of the values at
-    or below it), rounded to ``scale`` places.
-
-    ``percentile_approx`` is a mergeable sketch: map tasks build partial
-    sketches and only those are shuffled, so a hot group is combined in
-    parallel and its memory stays bounded by ``accuracy``.
-    """
-    c = F.col(col) if isinstance(col, str) else col
-    return F.round(F.percentile_approx(c, 0.75, accuracy), scale)
-
 
 def pct_change(delta: Column, base: Column) -> Column:
     """delta / base * 100 rounded to 2 places; NULL when base is 0."""

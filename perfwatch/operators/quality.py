@@ -25,8 +25,9 @@ def missing_columns(df: DataFrame, required) -> list[str]:
 
 
 def non_negative_condition(columns) -> Column | None:
-    """Every listed column is NULL or >= 0 (NaN passes, as NaN >= 0 in Spark)."""
-    clauses = [F.col(c).isNull() | (F.col(c) >= 0) for c in columns]
+    """Every listed column is NULL or >= 0 (NaN passes, as NaN >= 0 in Spark).
+    Written so each column is referenced once."""
+    clauses = [F.coalesce(F.col(c) >= 0, F.lit(True)) for c in columns]
     return reduce(and_, clauses) if clauses else None
 
 

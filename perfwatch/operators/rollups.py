@@ -1,8 +1,8 @@
 """Aggregations.
 
-A1/A3 aggregate raw page loads: one hash aggregate with map-side partial
-aggregation; ``percentile_approx`` partials are mergeable sketches, so a hot
-group is spread over all map tasks and only sketches are shuffled.  A5-A11
+A1/A3 aggregate raw page loads with the two-stage salted rollup of
+``perfwatch.operators.aggregate`` (partial aggregation in every map task,
+KLL sketches for the p75, a hot group merged by many reduce tasks).  A5-A11
 aggregate the (small) daily table; their means are unweighted means over
 daily rows, as the summary report defines them, computed exactly from the
 rounded daily values (``mean_of_rounded``).
@@ -12,50 +12,41 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perfwatch.config import CLS, DEFAULT_PERCENTILE_ACCURACY, INP, LCP, METRICS, TTFB, VALID_DEVICE_TYPES
-from perfwatch.functions.scoring import good_flag, health_score, risk_level
-from perfwatch.functions.stats import mean_of_rounded, p75
+from perfwatch.config import CLS, INP, LCP, METRICS, VALID_DEVICE_TYPES
+from perfwatch.functions.scoring import health_score, risk_level
+from perfwatch.functions.stats import mean_of_rounded
+from perfwatch.operators import aggregate as agg
 from perfwatch.operators.quality import latest_date_slice
 
 
-def vitals_measures(metrics=METRICS, *, avg=True, p75_of=(LCP, CLS, INP), good_rates=True,
-                    accuracy: int = DEFAULT_PERCENTILE_ACCURACY) -> list[Column]:
-    """Aggregate expressions of the daily rollup, built from metric specs:
-    avg_<m> for every metric, p75_<m> for ``p75_of``, sample_count, and
-    good_<key>_rate for LCP/CLS/INP."""
-    out: list[Column] = []
+def vitals_measures(metrics=METRICS, p75_of=(LCP, CLS, INP), good_of=(LCP, CLS, INP)) -> list[agg.Measure]:
+    """Measures of the daily rollup, built from metric specs: avg_<m> and
+    p75_<m> (for ``p75_of``) per metric, sample_count, and good_<key>_rate
+    for ``good_of``."""
+    out: list[agg.Measure] = []
     for m in metrics:
-        if avg:
-            out.append(F.round(F.avg(m.column), m.scale).alias(f"avg_{m.stem}"))
+        out.append(agg.avg(f"avg_{m.stem}", m.column, m.scale))
         if m in p75_of:
-            out.append(p75(m.column, m.scale, accuracy).alias(f"p75_{m.stem}"))
-    out.append(F.count(F.lit(1)).alias("sample_count"))
-    if good_rates:
-        for m in (LCP, CLS, INP):
-            out.append(F.round(F.avg(good_flag(m.column, m.good)), 4).alias(f"good_{m.key}_rate"))
+            out.append(agg.p75(f"p75_{m.stem}", m.column, m.scale))
+    out.append(agg.count("sample_count"))
+    out += [agg.rate(f"good_{m.key}_rate", m.column, m.good) for m in good_of]
     return out
 
 
-def metric_measures(specs, accuracy: int = DEFAULT_PERCENTILE_ACCURACY) -> list[Column]:
+def metric_rollup(df: DataFrame, keys, specs, k: int = agg.DEFAULT_SKETCH_K,
+                  salts: int = agg.DEFAULT_SALTS) -> DataFrame:
     """The rollup for arbitrary metric specs: avg_<stem> and p75_<stem> per
     spec, sample_count, and good_<key>_rate (share at or under ``good``)."""
-    return vitals_measures(specs, p75_of=tuple(specs), good_rates=False, accuracy=accuracy) + [
-        F.round(F.avg(good_flag(m.column, m.good)), 4).alias(f"good_{m.key}_rate") for m in specs]
+    return agg.rollup(df, keys, vitals_measures(specs, tuple(specs), tuple(specs)), k, salts)
 
 
-def daily_vitals(page_loads: DataFrame, accuracy: int = DEFAULT_PERCENTILE_ACCURACY) -> DataFrame:
+def daily_vitals(page_loads: DataFrame, k: int = agg.DEFAULT_SKETCH_K,
+                 salts: int = agg.DEFAULT_SALTS) -> DataFrame:
     """A1: per (date, route, device_type, release_version): avg and p75 of
     LCP/CLS/INP, avg TTFB, sample_count, good rates and the health score."""
-    return (
-        page_loads.groupBy(F.col("event_date").alias("date"), "route", "device_type", "release_version")
-        .agg(*vitals_measures(accuracy=accuracy))
-        .select(
-            "date", "route", "device_type", "release_version",
-            "avg_lcp_ms", "p75_lcp_ms", "avg_cls", "p75_cls", "avg_inp_ms", "p75_inp_ms",
-            "avg_ttfb_ms", "sample_count", "good_lcp_rate", "good_cls_rate", "good_inp_rate",
-        )
-        .withColumn("overall_health_score", health_score())
-    )
+    keys = [F.col("event_date").alias("date"), "route", "device_type", "release_version"]
+    return agg.rollup(page_loads, keys, vitals_measures(), k, salts).withColumn(
+        "overall_health_score", health_score())
 
 
 def add_health_score(df: DataFrame, lcp_col="avg_lcp_ms", cls_col="avg_cls", inp_col="avg_inp_ms",
@@ -72,19 +63,14 @@ def add_risk_level(df: DataFrame, lcp_col="p75_lcp_ms", cls_col="p75_cls",
     return df.withColumn("risk_level", risk_level(lcp_col, cls_col, inp_col))
 
 
-def device_breakdown(enriched: DataFrame, accuracy: int = DEFAULT_PERCENTILE_ACCURACY) -> DataFrame:
+def device_breakdown(enriched: DataFrame, k: int = agg.DEFAULT_SKETCH_K,
+                     salts: int = agg.DEFAULT_SALTS) -> DataFrame:
     """A3: per (date, route, device_type, device_class, connection_type):
     p75 LCP/CLS/INP, sample_count and risk level.  A NULL device_class
     (unknown device) is a group of its own."""
-    grouped = enriched.groupBy(
-        F.col("event_date").alias("date"), "route", "device_type", "device_class", "connection_type"
-    ).agg(
-        p75(LCP.column, LCP.scale, accuracy).alias("p75_lcp_ms"),
-        p75(CLS.column, CLS.scale, accuracy).alias("p75_cls"),
-        p75(INP.column, INP.scale, accuracy).alias("p75_inp_ms"),
-        F.count(F.lit(1)).alias("sample_count"),
-    )
-    return add_risk_level(grouped)
+    keys = [F.col("event_date").alias("date"), "route", "device_type", "device_class", "connection_type"]
+    measures = [agg.p75(f"p75_{m.stem}", m.column, m.scale) for m in (LCP, CLS, INP)]
+    return add_risk_level(agg.rollup(enriched, keys, measures + [agg.count("sample_count")], k, salts))
 
 
 def overall_health(daily: DataFrame) -> DataFrame:

@@ -101,9 +101,9 @@ def order_vitals(t: DriverTables) -> DataFrame:
     """The rollup of A1/A4 applied to lineitem: per (return flag, line
     status, ship year) avg and p75 of price, quantity and discount, the row
     count and the share at or under each metric's limit."""
-    li = t.table("lineitem").withColumn("ship_year", F.year("l_shipdate"))
-    return li.groupBy("l_returnflag", "l_linestatus", "ship_year").agg(
-        *rollups.metric_measures(ORDER_METRICS))
+    li = t.table("lineitem")
+    return rollups.metric_rollup(li, ["l_returnflag", "l_linestatus", F.year("l_shipdate").alias("ship_year")],
+                                 ORDER_METRICS)
 
 
 def route_normalization(t: DriverTables) -> DataFrame:

@@ -89,3 +89,35 @@ def test_normalize_devices_one_row_per_id_deterministic(spark):
     for parts in (1, 3):
         got = {r.device_id: tuple(r) for r in normalize_devices(df.repartition(parts)).collect()}
         assert got == {"d1": ("d1", "low-end", "A", "5G"), "d2": ("d2", "high-end", "Q", "wifi")}
+
+
+def _route_rule(s):
+    """The cleaning rule stated step by step in plain Python."""
+    if s is None:
+        return None
+    import re
+    p = re.match(r"^([^?#]*)", s).group(1).strip(" ").lower()
+    if not p.startswith("/"):
+        p = "/" + p
+    if len(p) > 1 and p.endswith("/"):
+        p = p[:-1]
+    return p
+
+
+def test_clean_route_matches_stepwise_rule_on_random_text(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    alphabet = st.sampled_from(list("/ ?#aZ.-_\t\n") + ["é"])
+    samples = []
+
+    @settings(max_examples=400, database=None, derandomize=True)
+    @given(st.text(alphabet, max_size=12))
+    def collect(s):
+        samples.append(s)
+
+    collect()
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(samples)], "i int, r string")
+    got = {row.i: row.c for row in df.select("i", clean_route("r").alias("c")).collect()}
+    bad = [(s, got[i], _route_rule(s)) for i, s in enumerate(samples) if got[i] != _route_rule(s)]
+    assert not bad, bad[:5]
