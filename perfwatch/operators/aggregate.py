@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed defaults ---------------------------------------------------------
-DEFAULT_SKETCH_K = 16384   # KLL k: exact up to ~k values per group
+DEFAULT_SKETCH_K = 4096    # KLL k: exact up to ~k values per group, ~32 KB per sketch
 DEFAULT_SALTS = 256        # fan-in bound of the second merge
 # ---------------------------------------------------------------------------
 

@@ -93,11 +93,12 @@ def quality_gate(
     check_route: bool = True,
     check_device_type: bool = True,
     check_sample_count: bool = False,
-    observation: Observation | None = None,
+    observation: Observation | str | None = None,
 ) -> DataFrame:
     """Q7: raise ``ValueError`` when required columns are missing, then apply
-    Q3 -> Q4 -> Q5 -> Q6 as one filter.  Pass an ``Observation`` to receive
-    rows_in / failed_* / rows_out once the result has been consumed."""
+    Q3 -> Q4 -> Q5 -> Q6 as one filter.  Pass an ``Observation`` (batch) or
+    a metric name (batch or streaming; the counts then appear in the query
+    progress) to receive rows_in / failed_* / rows_out."""
     missing = missing_columns(df, required)
     if missing:
         raise ValueError(f"[{table}] missing required columns: {missing}")
@@ -109,7 +110,7 @@ def quality_gate(
     return df.where(reduce(and_, [k for _, k in rules]))
 
 
-def apply_quality(df: DataFrame, spec: QualitySpec, observation: Observation | None = None) -> DataFrame:
+def apply_quality(df: DataFrame, spec: QualitySpec, observation: Observation | str | None = None) -> DataFrame:
     """Q7 with the per-table settings of Q8."""
     return quality_gate(df, spec.table, spec.required, spec.non_negative, spec.check_route,
                         spec.check_device_type, spec.check_sample_count, observation)

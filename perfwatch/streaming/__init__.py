@@ -1 +1,4 @@
 """Incremental ingest of page loads with Structured Streaming."""
+from perfwatch.streaming.ingest import GATE_METRICS, checkpoint_location, start_page_load_ingest
+
+__all__ = ["GATE_METRICS", "checkpoint_location", "start_page_load_ingest"]
