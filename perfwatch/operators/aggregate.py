@@ -116,15 +116,31 @@ def _final(m: Measure) -> Column:
     return out.alias(m.name)
 
 
-def rollup(df: DataFrame, keys, measures, k: int = DEFAULT_SKETCH_K, salts: int = DEFAULT_SALTS) -> DataFrame:
-    """Group ``df`` by ``keys`` (names or aliased Columns) and compute
-    ``measures`` with the two-stage plan described in the module doc.
-    Output: the key columns, then the measures in order."""
+def partial_rollup(df: DataFrame, keys, measures, k: int = DEFAULT_SKETCH_K,
+                   salts: int = DEFAULT_SALTS) -> DataFrame:
+    """Stage 1: partials of ``measures`` per (keys, salt).  The result can be
+    merged to ``keys`` or to any subset of them by ``merge_rollup``, so one
+    scan of the input can feed several rollups."""
     key_cols = [F.col(x) if isinstance(x, str) else x for x in keys]
     names = df.select(*key_cols).columns
     inputs = sorted({m.column for m in measures if m.column} - set(names))
     staged = df.select(*key_cols, *[F.col(c) for c in inputs])
     salt = (F.spark_partition_id() % F.lit(salts)).alias("_salt")
-    stage1 = staged.groupBy(*names, salt).agg(*[p for m in measures for p in _partials(m, k)])
-    stage2 = stage1.groupBy(*names).agg(*[x for m in measures for x in _merges(m)])
-    return stage2.select(*names, *[_final(m) for m in measures])
+    return staged.groupBy(*names, salt).agg(*[p for m in measures for p in _partials(m, k)])
+
+
+def merge_rollup(partials: DataFrame, keys, measures) -> DataFrame:
+    """Stage 2: merge the partials of ``measures`` by ``keys`` (names or
+    aliased Columns over the partials' key columns) and finish them.
+    Output: the key columns, then the measures in order."""
+    key_cols = [F.col(x) if isinstance(x, str) else x for x in keys]
+    merged = partials.groupBy(*key_cols).agg(*[x for m in measures for x in _merges(m)])
+    names = merged.columns[:len(key_cols)]
+    return merged.select(*names, *[_final(m) for m in measures])
+
+
+def rollup(df: DataFrame, keys, measures, k: int = DEFAULT_SKETCH_K, salts: int = DEFAULT_SALTS) -> DataFrame:
+    """Group ``df`` by ``keys`` (names or aliased Columns) and compute
+    ``measures`` with the two-stage plan described in the module doc."""
+    partials = partial_rollup(df, keys, measures, k, salts)
+    return merge_rollup(partials, partials.columns[:len(keys)], measures)

@@ -40,13 +40,25 @@ def metric_rollup(df: DataFrame, keys, specs, k: int = agg.DEFAULT_SKETCH_K,
     return agg.rollup(df, keys, vitals_measures(specs, tuple(specs), tuple(specs)), k, salts)
 
 
+DAILY_KEYS = ("event_date", "route", "device_type", "release_version")
+
+
+def daily_measures() -> list[agg.Measure]:
+    return vitals_measures()
+
+
+def daily_from_partials(partials: DataFrame) -> DataFrame:
+    """A1 from partials keyed by at least ``DAILY_KEYS``."""
+    keys = [F.col("event_date").alias("date"), "route", "device_type", "release_version"]
+    return agg.merge_rollup(partials, keys, daily_measures()).withColumn(
+        "overall_health_score", health_score())
+
+
 def daily_vitals(page_loads: DataFrame, k: int = agg.DEFAULT_SKETCH_K,
                  salts: int = agg.DEFAULT_SALTS) -> DataFrame:
     """A1: per (date, route, device_type, release_version): avg and p75 of
     LCP/CLS/INP, avg TTFB, sample_count, good rates and the health score."""
-    keys = [F.col("event_date").alias("date"), "route", "device_type", "release_version"]
-    return agg.rollup(page_loads, keys, vitals_measures(), k, salts).withColumn(
-        "overall_health_score", health_score())
+    return daily_from_partials(agg.partial_rollup(page_loads, DAILY_KEYS, daily_measures(), k, salts))
 
 
 def add_health_score(df: DataFrame, lcp_col="avg_lcp_ms", cls_col="avg_cls", inp_col="avg_inp_ms",
@@ -63,14 +75,43 @@ def add_risk_level(df: DataFrame, lcp_col="p75_lcp_ms", cls_col="p75_cls",
     return df.withColumn("risk_level", risk_level(lcp_col, cls_col, inp_col))
 
 
+BREAKDOWN_KEYS = ("event_date", "route", "device_type", "device_class", "connection_type")
+
+
+def breakdown_measures() -> list[agg.Measure]:
+    return [agg.p75(f"p75_{m.stem}", m.column, m.scale) for m in (LCP, CLS, INP)] + [agg.count("sample_count")]
+
+
+def breakdown_from_partials(partials: DataFrame) -> DataFrame:
+    """A3 from partials keyed by at least ``BREAKDOWN_KEYS``."""
+    keys = [F.col("event_date").alias("date"), "route", "device_type", "device_class", "connection_type"]
+    return add_risk_level(agg.merge_rollup(partials, keys, breakdown_measures()))
+
+
 def device_breakdown(enriched: DataFrame, k: int = agg.DEFAULT_SKETCH_K,
                      salts: int = agg.DEFAULT_SALTS) -> DataFrame:
     """A3: per (date, route, device_type, device_class, connection_type):
     p75 LCP/CLS/INP, sample_count and risk level.  A NULL device_class
     (unknown device) is a group of its own."""
-    keys = [F.col("event_date").alias("date"), "route", "device_type", "device_class", "connection_type"]
-    measures = [agg.p75(f"p75_{m.stem}", m.column, m.scale) for m in (LCP, CLS, INP)]
-    return add_risk_level(agg.rollup(enriched, keys, measures + [agg.count("sample_count")], k, salts))
+    return breakdown_from_partials(agg.partial_rollup(enriched, BREAKDOWN_KEYS, breakdown_measures(), k, salts))
+
+
+CURATED_KEYS = ("event_date", "route", "device_type", "release_version", "device_class", "connection_type")
+
+
+def curated_partials(page_loads: DataFrame, k: int = agg.DEFAULT_SKETCH_K,
+                     salts: int = agg.DEFAULT_SALTS) -> DataFrame:
+    """Stage-1 partials of A1, A3 and A4 together, at the grain that refines
+    all three key sets.  One scan and one shuffle of the page loads then feed
+    ``daily_from_partials``, ``breakdown_from_partials`` and
+    ``release_aggregates_from_partials`` (sketches, sums and counts merge
+    exactly), instead of three scans and three shuffles of raw rows."""
+    from perfwatch.operators.releases import release_measures
+
+    measures: dict[str, agg.Measure] = {}
+    for m in [*daily_measures(), *breakdown_measures(), *release_measures()]:
+        measures.setdefault(m.name, m)
+    return agg.partial_rollup(page_loads, CURATED_KEYS, list(measures.values()), k, salts)
 
 
 def overall_health(daily: DataFrame) -> DataFrame:

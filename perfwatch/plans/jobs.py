@@ -92,21 +92,36 @@ def ingest_page_loads(spark: SparkSession, layout: Layout, raw: DataFrame | None
     return {"devices": device_rows, "rows": rows, "gate": _gate_log("page_loads", obs)}
 
 
+def lineage_cut(spark: SparkSession, df: DataFrame, layout: Layout) -> DataFrame:
+    """Materialise ``df`` with a reliable checkpoint in the folder the session
+    names (``spark.checkpoint.dir``); only when none is configured, a folder
+    under the layout root (shared storage) is used."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(
+            spark.conf.get("spark.checkpoint.dir", None) or f"{layout.root}/_checkpoints")
+    return df.checkpoint(eager=True)
+
+
 def build_curated(spark: SparkSession, layout: Layout) -> dict:
     """Daily rollup, rankings, device breakdown, release aggregates and
-    before/after comparisons.  Rankings read the written daily table; the
-    before/after table reads the written release aggregates."""
+    before/after comparisons.
+
+    The page loads are scanned and shuffled once: the stage-1 partials of
+    the three rollups are checkpointed and each rollup merges them.
+    Rankings read the written daily table; the before/after table reads the
+    written release aggregates."""
     page_loads = readers.read_layer(spark, layout.processed("page_loads"))
     lab = readers.read_layer(spark, layout.processed("lab_reports"))
+    partials = lineage_cut(spark, rollups.curated_partials(page_loads), layout)
     out = {}
-    out["daily"] = sinks.write_partitioned(rollups.daily_vitals(page_loads),
-                                           layout.curated("core_web_vitals_daily"), "date")
+    out["daily"] = sinks.write_partitioned(rollups.daily_from_partials(partials),
+                                           layout.curated("core_web_vitals_daily"), "date", rebalance=True)
     daily = readers.read_layer(spark, layout.curated("core_web_vitals_daily"))
     out["rankings"] = sinks.write_partitioned(rankings.route_rankings(daily, lab),
-                                              layout.curated("route_performance_rankings"), "date")
-    out["breakdown"] = sinks.write_partitioned(rollups.device_breakdown(page_loads),
-                                               layout.curated("device_breakdowns"), "date")
-    out["release_aggregates"] = sinks.write_table(releases.release_aggregates(page_loads),
+                                              layout.curated("route_performance_rankings"), "date", rebalance=True)
+    out["breakdown"] = sinks.write_partitioned(rollups.breakdown_from_partials(partials),
+                                               layout.curated("device_breakdowns"), "date", rebalance=True)
+    out["release_aggregates"] = sinks.write_table(releases.release_aggregates_from_partials(partials),
                                                   layout.curated("release_aggregates"))
     aggregates = readers.read_layer(spark, layout.curated("release_aggregates"))
     out["before_after"] = sinks.write_table(releases.before_after(releases.release_pairs(aggregates)),
