@@ -28,6 +28,21 @@ def norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT"}
+
+
+def type_mismatches(spark_dtypes, duck_desc):
+    """(column, spark type, duckdb type) where the types differ."""
+    duck = {c[0]: str(c[1]) for c in duck_desc}
+    out = []
+    for name, t in spark_dtypes:
+        want = SPARK_TO_DUCK.get(t, t.upper())
+        if duck.get(name) != want:
+            out.append((name, t, duck.get(name)))
+    return out
+
+
 def canon(rows, cols):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     out = [tuple(norm(r[i]) for i in order) for r in rows]
@@ -75,6 +90,7 @@ def main():
         dcols = [c[0] for c in res.description]
         drows = res.fetchall()
         status = "ok"
+        types = type_mismatches(df.dtypes, res.description)
         if sorted(scols) != sorted(dcols):
             status = f"COLS spark={sorted(set(scols)-set(dcols))} duck={sorted(set(dcols)-set(scols))}"
         elif len(srows) != len(drows):
@@ -84,6 +100,8 @@ def main():
             if a != b:
                 diff = [(x, y) for x, y in zip(a, b) if x != y]
                 status = f"VALUES {len(diff)} differ; first: spark={diff[0][0]} duck={diff[0][1]}"
+        if status == "ok" and types:
+            status = f"TYPES {types}"
         if status != "ok":
             bad += 1
         print(f"{name:26s} rows={len(srows):6d} {time.time()-t:5.2f}s {status}")

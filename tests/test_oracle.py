@@ -37,5 +37,6 @@ def test_query_matches_oracle(spark, duck, name):
     dcols = [c[0] for c in res.description]
     drows = res.fetchall()
     assert sorted(scols) == sorted(dcols)
+    assert oracle_check.type_mismatches(df.dtypes, res.description) == []
     assert len(srows) == len(drows)
     assert oracle_check.canon(srows, scols) == oracle_check.canon(drows, dcols)

@@ -99,3 +99,23 @@ def test_union_of_metric_events_equals_single_pass(page_logs):
     # INP +26.7 % and TTFB +80 % breach too: all four metrics fire
     assert one == many and len(one) == 4
     assert {r.severity: r["count"] for r in events_by_severity(detect_regressions(pairs)).collect()}
+
+
+def test_null_release_is_its_own_group(page_logs):
+    rows = [("/", "tablet", None, "2026-05-01", 1000.0, 0.01, 100.0, 300.0),
+            ("/", "tablet", None, "2026-05-02", 1100.0, 0.01, 100.0, 300.0),
+            ("/", "tablet", "v2", "2026-05-03", 1000.0, 0.01, 100.0, 300.0)]
+    aggs = {r.release_version: r for r in release_aggregates(page_logs(rows)).collect()}
+    assert aggs[None].sample_count == 2 and str(aggs[None].release_start_date) == "2026-05-01"
+    got = {(r.before_release, r.after_release) for r in release_pairs(release_aggregates(page_logs(rows))).collect()}
+    assert got == {(None, "v2")}
+
+
+def test_hot_group_split_over_salts_matches_single_pass(spark, page_logs):
+    # one group spread over many input partitions: the two-stage merge must
+    # give what a single partition gives
+    rows = [("/hot", "mobile", "v1", "2026-05-01", 1000.0 + (i * 37) % 2000, (i % 13) / 100, 90.0 + i % 50,
+             300.0 + i % 7) for i in range(3000)]
+    one = release_aggregates(page_logs(rows).coalesce(1)).collect()
+    many = release_aggregates(page_logs(rows).repartition(16), salts=4).collect()
+    assert [tuple(r) for r in one] == [tuple(r) for r in many]
