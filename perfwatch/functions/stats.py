@@ -18,11 +18,13 @@ def mean_of_rounded(col: Column | str, data_scale: int, out_scale: int, factor:
     The sum is exact (DECIMAL) and the division keeps 10+ decimals, so the
     result does not depend on the order rows are summed in - a plain
     floating-point mean can land either side of a rounding tie depending on
-    how the input is partitioned.  NULLs are ignored, as in ``avg``.
+    how the input is partitioned.  NULLs are ignored, as in ``avg``; so is
+    a value too large for DECIMAL(18, data_scale) (beyond 1e14 at 4 places),
+    instead of failing the job under ANSI mode.
     """
     c = F.col(col) if isinstance(col, str) else col
-    exact = c.cast(f"decimal(18,{data_scale})")
+    exact = c.try_cast(f"decimal(18,{data_scale})")
     if factor != 1:
         exact = exact * F.lit(factor).cast("decimal(10,0)")
-    mean = F.try_divide(F.sum(exact), F.count(c).cast("decimal(20,0)"))
+    mean = F.try_divide(F.sum(exact), F.count(exact).cast("decimal(20,0)"))
     return F.round(mean, out_scale).cast("double")

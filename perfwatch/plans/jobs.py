@@ -10,6 +10,7 @@ taken with ``Observation`` during the writes, not by re-scanning outputs.
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -40,6 +41,16 @@ class Layout:
         return f"{self.root}/reports/{name}"
 
 
+def concurrently(**actions) -> dict:
+    """Run independent actions (each ends in its own Spark job) from separate
+    threads, so Spark schedules their stages side by side and one job's last
+    wave does not leave the cluster idle.  Returns {name: result}; the first
+    failure is raised."""
+    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
+        futures = {name: pool.submit(fn) for name, fn in actions.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def _gate_log(table: str, obs: Observation) -> dict:
     counts = dict(obs.get)
     dropped = counts.get("rows_in", 0) - counts.get("rows_out", 0)
@@ -113,20 +124,30 @@ def build_curated(spark: SparkSession, layout: Layout) -> dict:
     page_loads = readers.read_layer(spark, layout.processed("page_loads"))
     lab = readers.read_layer(spark, layout.processed("lab_reports"))
     partials = lineage_cut(spark, rollups.curated_partials(page_loads), layout)
-    out = {}
-    out["daily"] = sinks.write_partitioned(rollups.daily_from_partials(partials),
-                                           layout.curated("core_web_vitals_daily"), "date", rebalance=True)
-    daily = readers.read_layer(spark, layout.curated("core_web_vitals_daily"))
-    out["rankings"] = sinks.write_partitioned(rankings.route_rankings(daily, lab),
-                                              layout.curated("route_performance_rankings"), "date", rebalance=True)
-    out["breakdown"] = sinks.write_partitioned(rollups.breakdown_from_partials(partials),
-                                               layout.curated("device_breakdowns"), "date", rebalance=True)
-    out["release_aggregates"] = sinks.write_table(releases.release_aggregates_from_partials(partials),
-                                                  layout.curated("release_aggregates"))
-    aggregates = readers.read_layer(spark, layout.curated("release_aggregates"))
-    out["before_after"] = sinks.write_table(releases.before_after(releases.release_pairs(aggregates)),
-                                            layout.curated("before_after_comparisons"))
-    return out
+
+    def daily_and_rankings():
+        rows = sinks.write_partitioned(rollups.daily_from_partials(partials),
+                                       layout.curated("core_web_vitals_daily"), "date", rebalance=True)
+        daily = readers.read_layer(spark, layout.curated("core_web_vitals_daily"))
+        ranked = sinks.write_partitioned(rankings.route_rankings(daily, lab),
+                                         layout.curated("route_performance_rankings"), "date", rebalance=True)
+        return rows, ranked
+
+    def breakdown():
+        return sinks.write_partitioned(rollups.breakdown_from_partials(partials),
+                                       layout.curated("device_breakdowns"), "date", rebalance=True)
+
+    def releases_and_comparisons():
+        rows = sinks.write_table(releases.release_aggregates_from_partials(partials),
+                                 layout.curated("release_aggregates"))
+        aggregates = readers.read_layer(spark, layout.curated("release_aggregates"))
+        compared = sinks.write_table(releases.before_after(releases.release_pairs(aggregates)),
+                                     layout.curated("before_after_comparisons"))
+        return rows, compared
+
+    done = concurrently(daily=daily_and_rankings, breakdown=breakdown, releases=releases_and_comparisons)
+    return {"daily": done["daily"][0], "rankings": done["daily"][1], "breakdown": done["breakdown"],
+            "release_aggregates": done["releases"][0], "before_after": done["releases"][1]}
 
 
 def build_regressions(spark: SparkSession, layout: Layout, reuse_aggregates: bool = True) -> dict:
@@ -157,29 +178,30 @@ def build_reports(spark: SparkSession, layout: Layout, generated_at=None) -> dic
     comparisons = readers.read_layer(spark, layout.curated("before_after_comparisons"))
     events = readers.read_layer(spark, layout.curated("regression_events"))
     breakdown = readers.read_layer(spark, layout.curated("device_breakdowns"))
-    out = {
-        "route_rankings": sinks.export_csv(reports.export_rankings(ranked), layout.report("route_rankings")),
-        "regression_events": sinks.export_csv(reports.export_regressions(events),
-                                              layout.report("regression_events")),
-        "before_after": sinks.export_csv(reports.export_before_after(comparisons),
-                                         layout.report("before_after_comparison")),
-        "device_breakdown": sinks.export_csv(reports.export_breakdown(breakdown),
-                                             layout.report("device_breakdown")),
-    }
-    reports.write_summary(reports.summary_lines(daily, comparisons, events, generated_at),
-                          layout.report("summary"))
-    return out
+    done = concurrently(
+        route_rankings=lambda: sinks.export_csv(reports.export_rankings(ranked), layout.report("route_rankings")),
+        regression_events=lambda: sinks.export_csv(reports.export_regressions(events),
+                                                   layout.report("regression_events")),
+        before_after=lambda: sinks.export_csv(reports.export_before_after(comparisons),
+                                              layout.report("before_after_comparison")),
+        device_breakdown=lambda: sinks.export_csv(reports.export_breakdown(breakdown),
+                                                  layout.report("device_breakdown")),
+        summary=lambda: reports.write_summary(reports.summary_lines(daily, comparisons, events, generated_at),
+                                              layout.report("summary")),
+    )
+    done.pop("summary")
+    return done
 
 
 def run_all(spark: SparkSession, layout: Layout, lab: DataFrame | None = None,
             field: DataFrame | None = None, page_loads: DataFrame | None = None,
             devices: DataFrame | None = None, generated_at=None) -> dict:
-    """P1-P6 in order."""
-    return {
-        "lab": ingest_lab(spark, layout, lab),
-        "field": ingest_field_metrics(spark, layout, field),
-        "page_loads": ingest_page_loads(spark, layout, page_loads, devices),
-        "curated": build_curated(spark, layout),
-        "regressions": build_regressions(spark, layout),
-        "reports": build_reports(spark, layout, generated_at),
-    }
+    """The three ingests side by side, then P4, P5 and P6."""
+    ingested = concurrently(
+        lab=lambda: ingest_lab(spark, layout, lab),
+        field=lambda: ingest_field_metrics(spark, layout, field),
+        page_loads=lambda: ingest_page_loads(spark, layout, page_loads, devices),
+    )
+    curated = build_curated(spark, layout)
+    return {**ingested, "curated": curated, "regressions": build_regressions(spark, layout),
+            "reports": build_reports(spark, layout, generated_at)}
