@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 # --- fixed defaults ---------------------------------------------------------
 DEFAULT_SKETCH_K = 4096    # KLL k: exact up to ~k values per group, ~32 KB per sketch
-DEFAULT_SALTS = 256        # fan-in bound of the second merge
+DEFAULT_SALTS = 32         # hot-group split factor; small groups emit at most this many partials
 # ---------------------------------------------------------------------------
 
 
