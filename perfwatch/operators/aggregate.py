@@ -6,9 +6,12 @@ task meet in one reduce task.  When one group holds a third of all rows
 from every map task.  Here every measure is split into mergeable partials
 and aggregated twice:
 
-1. by (keys, salt) with ``salt = spark_partition_id() % salts``: each map
-   task contributes one partial per group, and a hot group's partials are
-   merged by ``salts`` reduce tasks in parallel;
+1. by (keys, salt) with ``salt = (spark_partition_id() / block) % salts``:
+   each map task contributes one partial per group, and a hot group's
+   partials are merged by up to ``salts`` reduce tasks in parallel.  Runs of
+   ``block`` neighbouring input splits share a salt, so a small group whose
+   rows sit in a few neighbouring splits (date-partitioned input) still ends
+   stage 1 as one or two rows, not ``salts``;
 2. by keys: each group merges at most ``salts`` partials.
 
 Quantiles use Spark's KLL sketches (``kll_sketch_agg_double`` /
@@ -29,6 +32,7 @@ from pyspark.sql import functions as F
 # --- fixed defaults ---------------------------------------------------------
 DEFAULT_SKETCH_K = 4096    # KLL k: exact up to ~k values per group, ~32 KB per sketch
 DEFAULT_SALTS = 32         # hot-group split factor; small groups emit at most this many partials
+DEFAULT_SALT_BLOCK = 64    # neighbouring input splits that share a salt
 # ---------------------------------------------------------------------------
 
 
@@ -117,7 +121,7 @@ def _final(m: Measure) -> Column:
 
 
 def partial_rollup(df: DataFrame, keys, measures, k: int = DEFAULT_SKETCH_K,
-                   salts: int = DEFAULT_SALTS) -> DataFrame:
+                   salts: int = DEFAULT_SALTS, block: int = DEFAULT_SALT_BLOCK) -> DataFrame:
     """Stage 1: partials of ``measures`` per (keys, salt).  The result can be
     merged to ``keys`` or to any subset of them by ``merge_rollup``, so one
     scan of the input can feed several rollups."""
@@ -125,7 +129,7 @@ def partial_rollup(df: DataFrame, keys, measures, k: int = DEFAULT_SKETCH_K,
     names = df.select(*key_cols).columns
     inputs = sorted({m.column for m in measures if m.column} - set(names))
     staged = df.select(*key_cols, *[F.col(c) for c in inputs])
-    salt = (F.spark_partition_id() % F.lit(salts)).alias("_salt")
+    salt = ((F.spark_partition_id() / F.lit(block)).cast("int") % F.lit(salts)).alias("_salt")
     return staged.groupBy(*names, salt).agg(*[p for m in measures for p in _partials(m, k)])
 
 

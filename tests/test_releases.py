@@ -118,4 +118,9 @@ def test_hot_group_split_over_salts_matches_single_pass(spark, page_logs):
              300.0 + i % 7) for i in range(3000)]
     one = release_aggregates(page_logs(rows).coalesce(1)).collect()
     many = release_aggregates(page_logs(rows).repartition(16), salts=4).collect()
+    from perfwatch.operators import aggregate as agg
+    from perfwatch.operators.releases import RELEASE_KEYS, release_measures, release_aggregates_from_partials
+    parts = agg.partial_rollup(page_logs(rows).repartition(16), RELEASE_KEYS, release_measures(), salts=4, block=1)
+    assert parts.count() == 4
+    assert [tuple(r) for r in release_aggregates_from_partials(parts).collect()] == [tuple(r) for r in one]
     assert [tuple(r) for r in one] == [tuple(r) for r in many]
