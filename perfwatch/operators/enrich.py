@@ -10,18 +10,25 @@ def device_projection(devices: DataFrame) -> DataFrame:
     return devices.select("device_id", "device_class", "network_profile")
 
 
-def enrich_with_devices(page_loads: DataFrame, devices: DataFrame) -> DataFrame:
+def enrich_with_devices(page_loads: DataFrame, devices: DataFrame,
+                        broadcast_max_rows: int | None = None) -> DataFrame:
     """Left join on ``device_id``: adds ``device_class`` and
     ``network_profile``; unmatched or NULL ids keep the row with NULLs.
 
     ``devices`` must hold one row per ``device_id`` (``normalize_devices``),
-    otherwise page loads would be multiplied.  No broadcast hint: the
-    planner broadcasts the dimension when its size estimate is under
-    ``spark.sql.autoBroadcastJoinThreshold`` (and AQE re-checks the real
-    size at run time), and falls back to a shuffle join when a device
-    catalogue outgrows that limit.
+    otherwise page loads would be multiplied.
+
+    Broadcast policy: with ``broadcast_max_rows`` the dimension is counted
+    (one job over the dimension only) and broadcast when it has at most that
+    many rows; a larger catalogue takes a shuffle join, where AQE splits a
+    hot device id.  Without it the planner decides from its size estimate
+    (``spark.sql.autoBroadcastJoinThreshold``, re-checked by AQE at run
+    time), which also lets Catalyst drop the join when no device column is
+    used downstream.
     """
     dim = device_projection(devices)
+    if broadcast_max_rows is not None and devices.count() <= broadcast_max_rows:
+        dim = F.broadcast(dim)
     return page_loads.join(dim, on="device_id", how="left")
 
 

@@ -21,6 +21,9 @@ from perfwatch.sources import readers, sinks
 
 log = logging.getLogger("perfwatch")
 
+# P3 broadcasts the device dimension up to this many rows (~40 MB in memory).
+DEVICE_BROADCAST_MAX_ROWS = 1_000_000
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -97,7 +100,8 @@ def ingest_page_loads(spark: SparkSession, layout: Layout, raw: DataFrame | None
     raw = raw if raw is not None else readers.read_page_loads(spark, layout.raw("page_loads"))
     obs = Observation("gate:page_loads")
     enriched = enrich.enrich_with_devices(normalize.normalize_page_loads(raw),
-                                          readers.read_layer(spark, layout.processed("devices")))
+                                          readers.read_layer(spark, layout.processed("devices")),
+                                          broadcast_max_rows=DEVICE_BROADCAST_MAX_ROWS)
     clean = quality.apply_quality(enriched, PAGE_LOAD_QUALITY, obs)
     rows = sinks.write_partitioned(clean, layout.processed("page_loads"), "event_date")
     return {"devices": device_rows, "rows": rows, "gate": _gate_log("page_loads", obs)}

@@ -112,3 +112,14 @@ def test_worst_route_breakdown_uses_top_route(spark, page_logs):
     ranked = route_rankings(daily_vitals(pl), lab)
     assert [r.route for r in reports.worst_now(ranked).collect()] == ["/slow", "/fast"]
     assert {r.route for r in reports.worst_route_breakdown(ranked, device_breakdown(pl)).collect()} == {"/slow"}
+
+
+def test_enrich_broadcast_policy(spark):
+    loads = spark.createDataFrame([("d1", 1.0), ("d2", 2.0), ("zz", 3.0)], "device_id string, lcp_ms double")
+    devices = spark.createDataFrame([("d1", "low-end", "3G"), ("d2", "mid-range", "4G")],
+                                    "device_id string, device_class string, network_profile string")
+    small = enrich_with_devices(loads, devices, broadcast_max_rows=10)
+    big = enrich_with_devices(loads, devices, broadcast_max_rows=1)
+    assert "broadcast" in str(small._jdf.queryExecution().logical()).lower()
+    assert "broadcast" not in str(big._jdf.queryExecution().logical()).lower()
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
