@@ -30,9 +30,3 @@ def enrich_with_devices(page_loads: DataFrame, devices: DataFrame,
     if broadcast_max_rows is not None and devices.count() <= broadcast_max_rows:
         dim = F.broadcast(dim)
     return page_loads.join(dim, on="device_id", how="left")
-
-
-def devices_key_check(devices: DataFrame) -> DataFrame:
-    """Device ids that occur more than once (empty when the dimension is
-    clean); a cheap partial-aggregating check before enriching."""
-    return devices.groupBy("device_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
