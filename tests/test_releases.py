@@ -124,3 +124,22 @@ def test_hot_group_split_over_salts_matches_single_pass(spark, page_logs):
     assert parts.count() == 4
     assert [tuple(r) for r in release_aggregates_from_partials(parts).collect()] == [tuple(r) for r in one]
     assert [tuple(r) for r in one] == [tuple(r) for r in many]
+
+
+def test_salting_splits_hot_group_but_not_local_small_group(spark):
+    from pyspark.sql import functions as F
+
+    from perfwatch.operators import aggregate as agg
+
+    # 256 input splits; "hot" has rows in every split, "small" only in splits 0-3.
+    # The hot group stays under k, where the sketch is exact for any merge order.
+    df = spark.range(0, 256 * 12, 1, 256).select(
+        F.when((F.col("id") % 12 == 0) & (F.col("id") < 4 * 12), F.lit("small")).otherwise(F.lit("hot")).alias("g"),
+        (F.col("id") % 997).cast("double").alias("v"))
+    measures = [agg.p75("p75_v", "v", 1), agg.count("n")]
+    parts = agg.partial_rollup(df, ["g"], measures, salts=32, block=4)
+    per_group = {r.g: r["count"] for r in parts.groupBy("g").count().collect()}
+    assert per_group == {"hot": 32, "small": 1}
+    merged = {r.g: (r.p75_v, r.n) for r in agg.merge_rollup(parts, ["g"], measures).collect()}
+    single = {r.g: (r.p75_v, r.n) for r in agg.rollup(df.coalesce(1), ["g"], measures).collect()}
+    assert merged == single and merged["small"][1] == 4
