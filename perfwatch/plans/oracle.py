@@ -220,7 +220,7 @@ def _event_select(metric, before, after, delta, pct, flag, excess) -> str:
             f"{s(ADVICE[metric].action)} AS recommended_action FROM pairs WHERE {flag}")
 
 
-CTE["events"] = "\nUNION ALL\n".join(_event_select(*r) for r in _rules())
+CTE["reg_events"] = "\nUNION ALL\n".join(_event_select(*r) for r in _rules())
 CTE["latest_rankings"] = "SELECT * FROM rankings WHERE date = (SELECT max(date) FROM rankings)"
 _WORST_ORDER = ("rank_overall DESC, device_type ASC, route ASC, p75_lcp_ms ASC NULLS FIRST, "
                 "p75_cls ASC NULLS FIRST, p75_inp_ms ASC NULLS FIRST")
@@ -238,7 +238,7 @@ DEPS = {
     "daily0": ["page_loads"], "daily": ["daily0"], "lab_scores": ["lab"],
     "rankings": ["daily", "lab_scores"], "breakdown": ["page_loads"], "rel_agg": ["page_loads"],
     "rel_ranked": ["rel_agg"], "pairs0": ["rel_ranked"], "pairs1": ["pairs0"], "pairs": ["pairs1"],
-    "before_after": ["pairs"], "events": ["pairs"], "latest_rankings": ["rankings"],
+    "before_after": ["pairs"], "reg_events": ["pairs"], "latest_rankings": ["rankings"],
     "route_summary": ["daily"],
 }
 
@@ -300,9 +300,9 @@ def oracle_sql() -> dict[str, str]:
     q["release_aggregates"] = with_ctes("SELECT * FROM rel_agg", "rel_agg")
     q["release_pairs"] = with_ctes("SELECT * FROM pairs", "pairs")
     q["before_after"] = with_ctes("SELECT * FROM before_after", "before_after")
-    q["regression_events"] = with_ctes("SELECT * FROM events", "events")
-    q["events_by_severity"] = with_ctes("SELECT severity, count(*) AS count FROM events GROUP BY severity",
-                                        "events")
+    q["regression_events"] = with_ctes("SELECT * FROM reg_events", "reg_events")
+    q["events_by_severity"] = with_ctes("SELECT severity, count(*) AS count FROM reg_events GROUP BY severity",
+                                        "reg_events")
     q["overall_health"] = with_ctes(
         f"SELECT {exact_mean('overall_health_score', 1, 1)} AS avg_score, CAST(sum(sample_count) AS BIGINT) AS "
         "total_samples, count(DISTINCT route) AS routes, min(date) AS start_date, max(date) AS end_date "
@@ -330,21 +330,21 @@ def oracle_sql() -> dict[str, str]:
     q["top_improvements"] = with_ctes(
         "SELECT * FROM before_after WHERE improvement_status = 'improved' ORDER BY lcp_delta_percent ASC "
         "NULLS FIRST, route, device_type, before_release, after_release LIMIT 5", "before_after")
-    q["top_regressions"] = with_ctes(f"SELECT * FROM events ORDER BY {_SEV_ORDER} LIMIT 5", "events")
+    q["top_regressions"] = with_ctes(f"SELECT * FROM reg_events ORDER BY {_SEV_ORDER} LIMIT 5", "reg_events")
     q["recommended_actions"] = with_ctes(
-        "SELECT DISTINCT metric, probable_cause, recommended_action FROM events", "events")
+        "SELECT DISTINCT metric, probable_cause, recommended_action FROM reg_events", "reg_events")
     q["worst_now"] = with_ctes(
         "SELECT route, device_type, p75_lcp_ms, p75_cls, p75_inp_ms, performance_score, risk_level "
         f"FROM (SELECT * FROM latest_rankings ORDER BY {_WORST_ORDER} LIMIT 10)", "latest_rankings")
     q["active_regressions"] = with_ctes(
         "SELECT route, device_type, metric, release_version, severity, baseline_value, current_value, "
-        f"delta_percent FROM (SELECT * FROM events ORDER BY {_SEV_ORDER} LIMIT 20)", "events")
+        f"delta_percent FROM (SELECT * FROM reg_events ORDER BY {_SEV_ORDER} LIMIT 20)", "reg_events")
     q["worst_route_breakdown"] = with_ctes(
         "SELECT * FROM breakdown WHERE route = (SELECT route FROM latest_rankings ORDER BY "
         f"{_WORST_ORDER} LIMIT 1) ORDER BY device_type ASC, device_class ASC NULLS FIRST, date ASC, "
         "connection_type ASC LIMIT 20", "breakdown", "latest_rankings")
     q["export_rankings"] = with_ctes("SELECT * FROM rankings", "rankings")
-    q["export_regressions"] = with_ctes("SELECT * FROM events", "events")
+    q["export_regressions"] = with_ctes("SELECT * FROM reg_events", "reg_events")
     q["export_before_after"] = with_ctes("SELECT * FROM before_after", "before_after")
     q["export_breakdown"] = with_ctes("SELECT * FROM breakdown", "breakdown")
     li = [("l_extendedprice", "price", 50000.0, 2), ("l_quantity", "qty", 25.0, 1),
