@@ -257,6 +257,91 @@ def with_ctes(body: str, *needs: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS (\n{CTE[n]}\n)" for n in order) + "\n" + body
 
 
+# -- summary text (RP) ---------------------------------------------------------
+
+NO_DATA = "_No data for this period._"
+NO_ACTION = "_No active regressions: nothing to act on right now._"
+
+
+def txt(x: str) -> str:
+    return f"coalesce(CAST(({x}) AS VARCHAR), 'None')"
+
+
+def md_table(section: int, first: int, body: str, headers, cells, order: str) -> str:
+    """Header, separator and ordered rows of a markdown table over ``body``,
+    or one no-data line; ties in ``order`` are broken by the row text."""
+    head = "| " + " | ".join(headers) + " |"
+    sep = "| " + " | ".join("---" for _ in headers) + " |"
+    row = "'| ' || concat_ws(' | ', " + ", ".join(txt(c) for c in cells) + ") || ' |'"
+    return f"""(WITH b AS (SELECT {row} AS line, * FROM ({body})),
+  r AS (SELECT line, row_number() OVER (ORDER BY {order}, line) AS rn FROM b),
+  n AS (SELECT count(*) AS n FROM b)
+ SELECT {section} AS section, {first} AS line_no, {s(head)} AS line FROM n WHERE n > 0
+ UNION ALL SELECT {section}, {first + 1}, {s(sep)} FROM n WHERE n > 0
+ UNION ALL SELECT {section}, {first}, {s(NO_DATA)} FROM n WHERE n = 0
+ UNION ALL SELECT {section}, CAST({first + 1} + rn AS INTEGER), line FROM r)"""
+
+
+def summary_sql() -> str:
+    heads = [(0, 0, "'# Web Vitals Summary'"), (0, 1, "''"), (0, 2, "'_Generated (run time)_'"), (0, 3, "''"),
+             (1, 0, "'## Overall health'"), (2, 0, "'## Best routes'"), (3, 0, "'## Worst routes'"),
+             (4, 0, "'## Biggest improvements between releases'"), (5, 0, "'## Biggest regressions'"),
+             (6, 0, "'## Mobile, desktop and tablet'"), (7, 0, "'## Recommended actions'")]
+    parts = [f"SELECT {a} AS section, {b} AS line_no, {c} AS line" for a, b, c in heads]
+    overall = (f"SELECT {exact_mean('overall_health_score', 1, 1)} AS avg_score, sum(sample_count) AS total, "
+               "count(DISTINCT route) AS routes, min(date) AS start_date, max(date) AS end_date FROM daily")
+    bullets = [
+        f"'- **Period:** ' || {txt('start_date')} || ' to ' || {txt('end_date')}",
+        f"'- **Routes tracked:** ' || {txt('routes')}",
+        "'- **Field samples:** ' || coalesce(format('{:,}', total), 'None')",
+        f"'- **Average health score (0-100):** ' || {txt('avg_score')}",
+        "''",
+        f"'**Health score by device type on ' || {txt('(SELECT max(date) FROM daily)')} || ':**'",
+        "''",
+    ]
+    parts += [f"SELECT 1, {i + 1}, {b} FROM ({overall})" for i, b in enumerate(bullets)]
+    latest = (f"SELECT device_type, {exact_mean('overall_health_score', 1, 1)} AS avg_score FROM daily "
+              "WHERE date = (SELECT max(date) FROM daily) GROUP BY device_type")
+    parts.append(md_table(1, 100, latest, ["Device type", "Avg health score"], ["device_type", "avg_score"],
+                          "avg_score DESC NULLS LAST, device_type ASC NULLS FIRST"))
+    rh = ["Route", "Avg health score", "Avg p75 LCP (ms)", "Avg p75 CLS", "Avg p75 INP (ms)"]
+    rc = ["route", "avg_health_score", "avg_p75_lcp_ms", "avg_p75_cls", "avg_p75_inp_ms"]
+    parts.append(md_table(2, 1, "SELECT * FROM route_summary ORDER BY avg_health_score DESC NULLS LAST, route "
+                          "LIMIT 5", rh, rc, "avg_health_score DESC NULLS LAST, route ASC NULLS FIRST"))
+    parts.append(md_table(3, 1, "SELECT * FROM route_summary ORDER BY avg_health_score ASC NULLS FIRST, route "
+                          "LIMIT 5", rh, rc, "avg_health_score ASC NULLS FIRST, route ASC NULLS FIRST"))
+    imp_order = ("lcp_delta_percent ASC NULLS FIRST, route ASC NULLS FIRST, device_type ASC NULLS FIRST, "
+                 "before_release ASC NULLS FIRST, after_release ASC NULLS FIRST")
+    parts.append(md_table(
+        4, 1, f"SELECT * FROM before_after WHERE improvement_status = 'improved' ORDER BY {imp_order} LIMIT 5",
+        ["Route", "Device", "Release", "p75 LCP (ms)", "LCP change", "p75 CLS"],
+        ["route", "device_type", f"concat_ws(' -> ', {txt('before_release')}, {txt('after_release')})",
+         f"concat_ws(' -> ', {txt('before_p75_lcp_ms')}, {txt('after_p75_lcp_ms')})",
+         f"{txt('lcp_delta_percent')} || '%'",
+         f"concat_ws(' -> ', {txt('before_p75_cls')}, {txt('after_p75_cls')})"], imp_order))
+    parts.append(md_table(
+        5, 1, f"SELECT * FROM reg_events ORDER BY {_SEV_ORDER} LIMIT 5",
+        ["Route", "Device", "Metric", "Release", "Severity", "Baseline", "Current", "Change %"],
+        ["route", "device_type", "metric", "release_version", "severity", "baseline_value", "current_value",
+         f"{txt('delta_percent')} || '%'"], _SEV_ORDER))
+    dev = (f"SELECT device_type, {_SUMMARY}, {exact_mean('good_lcp_rate', 4, 1, 100)} AS good_lcp_pct "
+           "FROM daily GROUP BY device_type")
+    parts.append(md_table(
+        6, 1, dev, ["Device type", "Avg health score", "Avg p75 LCP (ms)", "Avg p75 CLS", "Avg p75 INP (ms)",
+                    "% good LCP"],
+        ["device_type", "avg_health_score", "avg_p75_lcp_ms", "avg_p75_cls", "avg_p75_inp_ms",
+         f"{txt('good_lcp_pct')} || '%'"], "avg_health_score DESC NULLS LAST, device_type ASC NULLS FIRST"))
+    acts = "SELECT DISTINCT metric, probable_cause, recommended_action FROM reg_events"
+    parts.append(f"""(WITH a AS (SELECT *, row_number() OVER (ORDER BY metric, probable_cause, recommended_action)
+    AS rn FROM ({acts}))
+ SELECT 7, CAST(2 * rn - 1 AS INTEGER), '- **' || metric || '**: ' || probable_cause FROM a
+ UNION ALL SELECT 7, CAST(2 * rn AS INTEGER), '  - _Action:_ ' || recommended_action FROM a
+ UNION ALL SELECT 7, 1, {s(NO_ACTION)} FROM (SELECT count(*) AS n FROM a) WHERE n = 0)""")
+    body = "SELECT CAST(section AS INTEGER) AS section, CAST(line_no AS INTEGER) AS line_no, line FROM (\n" + \
+        "\nUNION ALL\n".join(f"SELECT * FROM ({p})" if p.startswith("(") else p for p in parts) + "\n)"
+    return with_ctes(body, "daily", "route_summary", "before_after", "reg_events")
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["route_normalization"] = with_ctes(
@@ -355,4 +440,5 @@ def oracle_sql() -> dict[str, str]:
         + ", count(*) AS sample_count, "
         + ", ".join(f"{good_rate(c, g)} AS good_{st}_rate" for c, st, g, _ in li)
         + " FROM lineitem GROUP BY l_returnflag, l_linestatus, year(l_shipdate)")
+    q["summary_lines"] = summary_sql()
     return q

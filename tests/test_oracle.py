@@ -20,8 +20,8 @@ def duck():
     return oracle_check.duck(SF)
 
 
-def test_every_query_has_oracle_except_summary():
-    assert set(entry.queries()) - set(SQL) == {"summary_lines"}
+def test_every_query_has_oracle_sql():
+    assert set(entry.queries()) == set(SQL)
 
 
 def test_entry_smoke(spark):
