@@ -34,7 +34,9 @@ def clean_route(col: Column | str) -> Column:
     is used once), so the expression stays small even where the optimizer
     copies it into a pushed-down filter."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.concat(F.lit("/"), F.regexp_extract(F.lower(c), _ROUTE_BODY, 1))
+    # the pattern only looks at " ", "/", "?" and "#", which have no case, so
+    # lower-casing after the cut touches the path only, not the query string
+    return F.concat(F.lit("/"), F.lower(F.regexp_extract(c, _ROUTE_BODY, 1)))
 
 
 def canonical_route(col: Column | str) -> Column:
