@@ -143,3 +143,30 @@ def test_salting_splits_hot_group_but_not_local_small_group(spark):
     merged = {r.g: (r.p75_v, r.n) for r in agg.merge_rollup(parts, ["g"], measures).collect()}
     single = {r.g: (r.p75_v, r.n) for r in agg.rollup(df.coalesce(1), ["g"], measures).collect()}
     assert merged == single and merged["small"][1] == 4
+
+
+def test_threshold_boundaries_are_strict_for_regressions(page_logs):
+    # LCP +20.00 % exactly and landing on 2500 (not above): neither leg fires;
+    # INP -10.00 % exactly counts as improved (<=)
+    rows = [("/", "mobile", "v1", "2026-05-01", 2000.0, 0.05, 150.0, 400.0),
+            ("/", "mobile", "v2", "2026-05-02", 2400.0, 0.05, 135.0, 400.0),
+            ("/x", "mobile", "v1", "2026-05-01", 2083.3, 0.05, 150.0, 400.0),
+            ("/x", "mobile", "v2", "2026-05-02", 2500.0, 0.05, 150.0, 400.0)]
+    pairs = release_pairs(release_aggregates(page_logs(rows)))
+    got = {r.route: (r.lcp_delta_percent, r.improvement_status) for r in before_after(pairs).collect()}
+    assert got["/"] == (20.0, "improved")
+    assert got["/x"][1] == "stable" and got["/x"][0] == 20.0
+    assert detect_regressions(pairs).count() == 0
+
+
+def test_day_with_two_releases_lists_route_twice_in_rankings(spark, page_logs):
+    from perfwatch.operators.rankings import route_rankings
+    from perfwatch.operators.rollups import daily_vitals
+
+    rows = [("/", "mobile", "v1", "2026-05-01", 1000.0, 0.01, 100.0, 300.0),
+            ("/", "mobile", "v2", "2026-05-01", 3000.0, 0.01, 100.0, 300.0),
+            ("/a", "mobile", "v1", "2026-05-01", 2000.0, 0.01, 100.0, 300.0)]
+    lab = spark.createDataFrame([], "report_date date, route string, device_type string, performance_score double")
+    ranked = route_rankings(daily_vitals(page_logs(rows)), lab).collect()
+    assert sorted(r.route for r in ranked) == ["/", "/", "/a"]
+    assert sorted((r.p75_lcp_ms, r.rank_lcp) for r in ranked) == [(1000.0, 1), (2000.0, 2), (3000.0, 3)]
