@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perfwatch.llm import fair_mix, histogram_sort, langid, packing
+from perfwatch.llm import fair_mix, histogram_sort, langid, packing, suffix_dedup
 from perfwatch.llm._common import id_residue
 
 
@@ -30,6 +30,12 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (id_residue("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.drop_repeats(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+                       F.size("span_starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = fair_mix.mix_sources(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -40,6 +46,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": op1_packing,
         "op5_sharding": op5_sharding,
         "op7_language_id": op7_language_id,
+        "op8_repeats": op8_repeats,
         "op10_mixing": op10_mixing,
     }
 
