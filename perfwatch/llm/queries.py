@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perfwatch.llm import fair_mix, histogram_sort, langid, packing, suffix_dedup
+from perfwatch.llm import ann_tree, fair_mix, histogram_sort, langid, norm_topk, order_minhash, packing, suffix_dedup
 from perfwatch.llm._common import id_residue
 
 
@@ -20,6 +20,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset")
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_tree.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histogram_sort.shard_documents(_table(spark, sf_dir, "documents"))
 
@@ -36,6 +44,10 @@ def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.size("span_starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return norm_topk.top_inner_products(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = fair_mix.mix_sources(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -44,9 +56,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
+        "op2_nearest": op2_nearest,
+        "op3_near_duplicates": op3_near_duplicates,
         "op5_sharding": op5_sharding,
         "op7_language_id": op7_language_id,
         "op8_repeats": op8_repeats,
+        "op9_top_products": op9_top_products,
         "op10_mixing": op10_mixing,
     }
 
