@@ -4,12 +4,15 @@ A text is a sequence of five-word shingles; equal shingles are told apart by
 their occurrence number.  Each of BANDS hash functions picks the TUPLE
 smallest labelled shingles and keeps them in text order, so that a band
 agrees only if the picked shingles are shared *and* equally ordered.  Texts
-that agree in at least MIN_BANDS bands are candidates (at similarity 0.8 a
-pair is missed with probability below 0.0001).
+whose lengths allow it and that agree in at least MIN_BANDS bands are
+candidates.
 
-Candidates are verified by a banded alignment of their shingle sequences:
-similarity is aligned shingles over all shingles of the two, and the band is
-as wide as the threshold allows, so it loses nothing.
+Candidates are verified by a banded alignment of their words: similarity is
+the number of aligned equal words over the length of the longer text, and the
+band is as wide as the threshold allows, so it loses nothing.  At the least
+similarity of 0.8, edits in runs leave most shingles intact; a pair whose
+shingles overlap by half (Jaccard) is missed with probability 0.001, by 0.4
+with 0.03.
 
 Equal texts are collapsed first.  Each remaining text is first compared with
 one leader of its buckets; only buckets that then still hold texts of
@@ -18,7 +21,6 @@ candidate pair is thus verified or known to lie in one class.
 """
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,9 +33,9 @@ from perfwatch.llm.suffix_dedup import _prefix_hashes
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-BANDS = 24
-TUPLE = 4
-MIN_BANDS = 2
+BANDS = 48
+TUPLE = 2
+MIN_BANDS = 4
 BLOCK = 2048            # rows of one block of a bucket
 CHUNK_BYTES = 1 << 20
 NO_ID = -(2**63)
@@ -53,13 +55,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def labelled_shingles(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Texts laid end to end -> hashes of their occurrence-labelled shingles in
-    text order, and each text's first index.  A text of fewer than
-    SHINGLE_WORDS words is one shingle; one without a word has none."""
-    texts = len(bounds) - 1
+def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts laid end to end -> hashes of their words, and each text's first index."""
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(texts + 1, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
     sums, power = _prefix_hashes(data)
     word = ~_SPACE[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
@@ -68,8 +67,14 @@ def labelled_shingles(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray,
     end = np.flatnonzero(word & (edge[1:] | ~np.append(word[1:], False))) + 1
     words = (sums[end] - sums[start]) * power[start]
     words ^= words >> np.uint64(31)
-    words = words * _MIX + (end - start).astype(np.uint64)
-    first = np.searchsorted(start, bounds)
+    return _mixed(words + (end - start).astype(np.uint64)), np.searchsorted(start, bounds)
+
+
+def labelled_shingles(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the occurrence-labelled shingles in text order, and each
+    text's first index.  A text of fewer than SHINGLE_WORDS words is one
+    shingle; one without a word has none."""
+    texts = len(first) - 1
     count = np.diff(first)
     shingles = np.where(count >= SHINGLE_WORDS, count - SHINGLE_WORDS + 1, np.minimum(count, 1))
     begin = np.concatenate([[0], np.cumsum(shingles)])
@@ -78,7 +83,7 @@ def labelled_shingles(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray,
     value = np.zeros(len(at), dtype=np.uint64)
     for j in range(SHINGLE_WORDS):
         there = at + j < first[owner + 1]
-        value = value * _ODD + np.where(there, words[np.minimum(at + j, max(len(words) - 1, 0))], np.uint64(0))
+        value = value * _ODD + np.where(there, words[np.minimum(at + j, len(words) - 1)], np.uint64(0))
     value = _mixed(value)
     order = np.lexsort((value, owner))
     fresh = np.ones(len(order), dtype=bool)
@@ -97,8 +102,8 @@ def sketches(labelled: np.ndarray, begin: np.ndarray) -> np.ndarray:
     if not len(some):
         return out
     owner = np.repeat(np.arange(len(size)), size)
-    # all but a few values are too large to be among the smallest: look at about 16 per text
-    limit = np.where(size > 32, (16.0 / np.maximum(size, 1)) * 2.0**64, 2.0**64 - 4096).astype(np.uint64)
+    # all but a few values are too large to be among the smallest: look at about 10 per text
+    limit = np.where(size > 20, (10.0 / np.maximum(size, 1)) * 2.0**64, 2.0**64 - 4096).astype(np.uint64)
     limit_of = limit[owner]
     for band in range(BANDS):
         value = _mixed(labelled ^ _SEEDS[band])
@@ -139,53 +144,65 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(3).to_pylist()
         for a, b, data, bounds in _chunks(texts):
-            labelled, begin = labelled_shingles(data, bounds)
+            words, first = word_hashes(data, bounds)
+            labelled, begin = labelled_shingles(words, first)
             keys = sketches(labelled, begin).view(np.int64)
             bands = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32()),
                                              pa.array(keys.ravel(), pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(i).slice(a, b - a) for i in range(3)] + [pa.array(np.diff(begin), pa.int64()), bands],
-                names=["doc", "t1", "t2", "shingles", "bands"])
+                [batch.column(i).slice(a, b - a) for i in range(3)] + [pa.array(np.diff(first), pa.int64()), bands],
+                names=["doc", "t1", "t2", "words", "bands"])
 
 
 def _sequence_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b, data, bounds in _chunks(batch.column(1).to_pylist()):
-            labelled, begin = labelled_shingles(data, bounds)
-            short = labelled.astype("<u4")      # pairs are compared, not the corpus: 32 bits tell shingles apart
-            bodies = [short[x:y].tobytes() for x, y in zip(begin[:-1], begin[1:], strict=True)]
+            words, first = word_hashes(data, bounds)
+            short = words.astype("<u4")      # pairs are compared, not the corpus: 32 bits tell words apart
+            bodies = [short[x:y].tobytes() for x, y in zip(first[:-1], first[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(bodies, pa.binary())],
                                              names=["node", "sequence"])
 
 
 def aligned_similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
-    """Shingles matched in the best order-keeping alignment over all shingles
-    of the two; 0.0 where it cannot reach ``least``.
+    """Equal words in the best order-keeping alignment over the longer length;
+    0.0 where it cannot reach ``least``.
 
     With m matches required, a matched pair lies at most max(|a|, |b|) - m off
-    the diagonal: the band.  Labelled shingles occur once in a text, so the
-    alignment is a longest increasing run of matched places.
+    the diagonal: the band.  One row of the alignment table is one whole
+    number, a bit per word of ``a``, so a row costs a few additions.
     """
-    need = int(np.ceil(least * (len(a) + len(b)) / (1 + least) - 1e-9))
+    longer = max(len(a), len(b))
+    need = int(np.ceil(least * longer - 1e-9))
     if min(len(a), len(b)) < need:
         return 0.0
-    _, at, to = np.intersect1d(a, b, return_indices=True)
-    near = np.abs(at - to) <= max(len(a), len(b)) - need
-    to = to[near][np.argsort(at[near])]
-    if len(to) < need:
-        return 0.0
-    if np.all(to[1:] > to[:-1]):
-        matched = len(to)
-    else:
-        tails: list[int] = []
-        for place in to.tolist():
-            i = bisect_left(tails, place)
-            if i == len(tails):
-                tails.append(place)
-            else:
-                tails[i] = place
-        matched = len(tails)
-    return matched / max(1, len(a) + len(b) - matched)
+    same = a[:min(len(a), len(b))] == b[:min(len(a), len(b))]
+    head = len(same) if same.all() else int(same.argmin())
+    rest = min(len(a), len(b)) - head
+    tail = 0
+    if rest:
+        same = a[len(a) - rest:][::-1] == b[len(b) - rest:][::-1]
+        tail = rest if same.all() else int(same.argmin())
+    left, right = a[head:len(a) - tail].tolist(), b[head:len(b) - tail].tolist()
+    band = longer - need
+    if not left or not right:
+        return (head + tail) / longer if head + tail >= need else 0.0
+    places: dict[int, int] = {}
+    for i, word in enumerate(left):
+        places[word] = places.get(word, 0) | 1 << i
+    full = (1 << len(left)) - 1
+    window = (1 << 2 * band + 1) - 1
+    row = full
+    for j, word in enumerate(right):
+        match = places.get(word)
+        if match:
+            shift = j - band
+            match &= window << shift if shift >= 0 else window >> -shift
+            step = row & match
+            if step:
+                row = (row + step | row - step) & full
+    matched = head + tail + len(left) - row.bit_count()
+    return matched / longer if matched >= need else 0.0
 
 
 def _verify(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
@@ -197,21 +214,24 @@ def _verify(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Reco
                                           pa.array([r[1] for r in rows], pa.int64())], names=["a", "b"])
 
 
-def _cross_pairs(table: pa.Table) -> pa.Table:
-    """Pairs of one block pair of a bucket: different classes, enough equal bands."""
-    node = table.column("node").to_numpy()
-    group = table.column("root").to_numpy()
-    side = table.column("side").to_numpy()
+def _cross_pairs(table: pa.Table, least: float) -> pa.Table:
+    """Pairs of one block pair of a bucket: of different classes, of lengths
+    that allow the similarity, with enough equal bands.  A pair is told only
+    in the first band it shares."""
+    node, group, side, words = (table.column(c).to_numpy() for c in ("node", "root", "side", "words"))
     bands = np.array(table.column("bands").to_pylist(), dtype=np.int64)
+    here = table.column("band")[0].as_py()
     square = side.min() == side.max()
     left, right = np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max())
     a, b = [], []
     for i in left.tolist():
-        others = right[group[right] != group[i]]
+        fit = (group[right] != group[i]) & (words[right] >= least * words[i]) & (words[i] >= least * words[right])
         if square:
-            others = others[node[others] > node[i]]
+            fit &= node[right] > node[i]
+        others = right[fit]
         if len(others):
-            hit = others[(bands[others] == bands[i]).sum(axis=1) >= MIN_BANDS]
+            equal = bands[others] == bands[i]
+            hit = others[(equal.sum(axis=1) >= MIN_BANDS) & (bands[i][equal.argmax(axis=1)] == here)]
             a += np.minimum(node[hit], node[i]).tolist()
             b += np.maximum(node[hit], node[i]).tolist()
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -255,15 +275,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
                          F.xxhash64(text).alias("t1"), F.xxhash64(text, F.lit(3)).alias("t2"), text.alias("text"))
-    rows = cut(source.mapInArrow(_sketch_rows, "doc long, t1 long, t2 long, shingles long, bands array<long>")
+    rows = cut(source.mapInArrow(_sketch_rows, "doc long, t1 long, t2 long, words long, bands array<long>")
                .withColumn("row", F.monotonically_increasing_id()))
     # equal texts: the row of the smallest id stands for all
     nodes = cut(
         rows.groupBy("t1", "t2").agg(F.min(F.struct("doc", "row")).alias("lead"), F.count("*").alias("copies"),
-                                     F.min("doc").alias("least"), F.first("bands").alias("bands"),
-                                     F.first("shingles").alias("shingles"))
-        .select("t1", "t2", F.col("lead.doc").alias("doc"), F.col("lead.row").alias("node"), "copies", "bands", "shingles"))
-    worded = nodes.filter("shingles > 0")
+                                     F.first("bands").alias("bands"),
+                                     F.first("words").alias("words"))
+        .select("t1", "t2", F.col("lead.doc").alias("doc"), F.col("lead.row").alias("node"), "copies", "bands", "words"))
+    worded = nodes.filter("words > 0")
     keyed = worded.select("node", F.explode("bands").alias("band"))
     leads = keyed.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
     near = (
@@ -299,8 +319,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("band", "node", "root", F.col("own").alias("side"), F.least("own", "other").alias("i"),
                 F.greatest("own", "other").alias("j")))
     more = (
-        blocks.join(worded.select("node", "bands"), "node").groupBy("band", "i", "j")
-        .applyInArrow(_cross_pairs, "a long, b long").distinct())
+        blocks.join(worded.select("node", "bands", "words"), "node").groupBy("band", "i", "j")
+        .applyInArrow(lambda table: _cross_pairs(table, similarity), "a long, b long").distinct())
     links = cut(links.unionByName(verified(more)))
     classes = cut(components(links))
 
