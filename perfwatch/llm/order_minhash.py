@@ -55,19 +55,29 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Texts laid end to end -> hashes of their words, and each text's first index."""
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
-    sums, power = _prefix_hashes(data)
-    word = ~_SPACE[data]
+def word_spans(data: np.ndarray, bounds: np.ndarray, gap: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of texts laid end to end; ``gap`` marks the bytes between words."""
+    word = ~gap[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[bounds] = True
     start = np.flatnonzero(word & (edge[:-1] | ~np.append(False, word[:-1])))
     end = np.flatnonzero(word & (edge[1:] | ~np.append(word[1:], False))) + 1
+    return start, end
+
+
+def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words, and each text's first index."""
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
+    start, end = word_spans(data, bounds)
+    return hashed_spans(data, start, end), np.searchsorted(start, bounds)
+
+
+def hashed_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    sums, power = _prefix_hashes(data)
     words = (sums[end] - sums[start]) * power[start]
     words ^= words >> np.uint64(31)
-    return _mixed(words + (end - start).astype(np.uint64)), np.searchsorted(start, bounds)
+    return _mixed(words + (end - start).astype(np.uint64))
 
 
 def labelled_shingles(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +139,7 @@ def sketches(labelled: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return out
 
 
-def _chunks(texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def chunks(texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Blocks of whole texts of about CHUNK_BYTES: first, end, bytes, bounds."""
     first, held = 0, 0
     for i, text in enumerate(texts):
@@ -143,7 +153,7 @@ def _chunks(texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarr
 def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(3).to_pylist()
-        for a, b, data, bounds in _chunks(texts):
+        for a, b, data, bounds in chunks(texts):
             words, first = word_hashes(data, bounds)
             labelled, begin = labelled_shingles(words, first)
             keys = sketches(labelled, begin).view(np.int64)
@@ -156,7 +166,7 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sequence_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for a, b, data, bounds in _chunks(batch.column(1).to_pylist()):
+        for a, b, data, bounds in chunks(batch.column(1).to_pylist()):
             words, first = word_hashes(data, bounds)
             short = words.astype("<u4")      # pairs are compared, not the corpus: 32 bits tell words apart
             bodies = [short[x:y].tobytes() for x, y in zip(first[:-1], first[1:], strict=True)]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perfwatch.llm import ann_tree, fair_mix, histogram_sort, langid, norm_topk, order_minhash, packing, suffix_dedup
+from perfwatch.llm import ann_tree, fair_mix, histogram_sort, langid, nbsvm, norm_topk, order_minhash, packing, suffix_dedup, toxicity
 from perfwatch.llm._common import id_residue
 
 
@@ -28,10 +28,22 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_residue("doc_id", 5) == 0
+    scored = toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histogram_sort.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_residue("doc_id", 4) == 2
+    scored = nbsvm.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = langid.identify_language(docs, learn=id_residue("doc_id", 3) != 1)
@@ -58,7 +70,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": op1_packing,
         "op2_nearest": op2_nearest,
         "op3_near_duplicates": op3_near_duplicates,
+        "op4_toxicity": op4_toxicity,
         "op5_sharding": op5_sharding,
+        "op6_quality": op6_quality,
         "op7_language_id": op7_language_id,
         "op8_repeats": op8_repeats,
         "op9_top_products": op9_top_products,
