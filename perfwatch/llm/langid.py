@@ -25,7 +25,7 @@ LONGEST_PIECE = 8          # bytes; a piece is then one 64-bit number
 TRAIN_DOCUMENTS = 6000     # bound of the labelled sample
 ROUNDS = 4                 # of expectation maximisation
 FLOOR = 1e-8               # probability of a piece the sample never uses
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 BATCH_BYTES = 1 << 19      # word bytes scored in one vectorised pass
 UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
