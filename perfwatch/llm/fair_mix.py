@@ -52,7 +52,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, cap
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: int = 2, seed: str = "42") -> DataFrame:
-    """One row per input row: doc_id, source, size, source_size, target, taken.
+    """One row per input row: doc_id, source, size, source_size, target, taken,
+    text_key (hash of the text).
 
     * NULL text has size 0; NULL source is a source of its own, last in order;
       NULL id is shuffled as the empty id.
@@ -64,6 +65,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base = cut(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")).alias("text_key"),
     ).select("*", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("src"),
              F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
              .alias("draw")).withColumn("cell", F.substring("draw", 1, CELL_DIGITS)))
@@ -82,7 +84,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     served = cut(
         base.join(offsets, ["src", "cell"])
         .withColumn("served", F.col("offset") + F.sum("size").over(inside))
-        .select("doc_id", "source", "src", "draw", "size", "source_size", "target", "budget", "served")
+        .select("doc_id", "source", "src", "draw", "size", "source_size", "target", "budget", "served", "text_key")
     )
 
     def finish(turn: int):
@@ -127,7 +129,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             return F.coalesce((bin_of(time) < edge["bin"]) | inside_bin, F.lit(False)) & (F.col("size") > 0)
 
         taken = F.col("size") * sum(admitted(turn).cast("long") for turn in range(cap))
-    return served.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    return served.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"),
+                         "text_key")
 
 
 def oracle(weights=(3, 1, 2), share=1.5, cap=2, seed="42") -> str:

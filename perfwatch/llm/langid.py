@@ -212,16 +212,17 @@ def fit(labelled: DataFrame, vocabulary: str, text: Column, lang: Column, key: C
     return langs, prob
 
 
-def predict(docs: DataFrame, langs: list[str], prob: np.ndarray, vocabulary: str, id_col: str,
-            text_col: str) -> DataFrame:
+def predict(docs: DataFrame, langs: list[str], prob: np.ndarray, vocabulary: str, text_col: str,
+            carry: tuple[str, ...]) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(prob)
+    names, kinds = [f"c{i}" for i in range(len(carry))], dict(docs.select(*carry).dtypes)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, table = Pieces(vocabulary), sent.value
         known: dict[str, int] = {}
         values = np.zeros((0, len(langs)))
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(0).to_pylist()
             found, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
             if len(known) > CACHE_WORDS:
                 known, values = {}, values[:0]
@@ -241,17 +242,21 @@ def predict(docs: DataFrame, langs: list[str], prob: np.ndarray, vocabulary: str
                 share = 1.0 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
                 for (i, _), b, s in zip(rows, best, share, strict=True):
                     found[i], scores[i] = langs[b], s
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found), pa.array(scores)],
-                                             names=["doc_id", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found, pa.string()), pa.array(scores)],
+                                             names=[*names, "lang_pred", "score"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
-                       ).mapInArrow(score, "doc_id long, lang_pred string, score double")
+    scored = docs.select(F.col(text_col).cast("string").alias("text"),
+                         *[F.col(c).alias(n) for c, n in zip(carry, names, strict=True)]).mapInArrow(
+        score, ", ".join([f"{n} {kinds[c]}" for c, n in zip(carry, names, strict=True)] + ["lang_pred string, score double"]))
+    return scored.select(*[F.col(n).alias(c) for c, n in zip(carry, names, strict=True)], "lang_pred", "score")
 
 
 def identify_language(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
                       lang_col: str = "lang", vocabulary: str | None = None,
-                      train_documents: int = TRAIN_DOCUMENTS, rounds: int = ROUNDS) -> DataFrame:
-    """One row per input row: doc_id, lang_pred, score (posterior of the predicted language).
+                      train_documents: int = TRAIN_DOCUMENTS, rounds: int = ROUNDS,
+                      carry: tuple[str, ...] | None = None) -> DataFrame:
+    """One row per input row: the id (or the ``carry`` columns), lang_pred,
+    score (posterior of the predicted language).
 
     ``learn`` marks the rows whose text and language may be learned from; of
     these at most ``train_documents`` (smallest id hashes) are used.  NULL
@@ -264,4 +269,4 @@ def identify_language(docs: DataFrame, learn: Column, id_col: str = "doc_id", te
     text, lang = F.col(text_col).cast("string"), F.col(lang_col).cast("string")
     labelled = docs.filter(learn & text.isNotNull() & lang.isNotNull())
     langs, prob = fit(labelled, path, text, lang, F.col(id_col), train_documents, rounds)
-    return predict(docs, langs, prob, path, id_col, text_col)
+    return predict(docs, langs, prob, path, text_col, carry or (id_col,))

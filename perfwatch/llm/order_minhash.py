@@ -274,7 +274,8 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     similarity: float = SIMILARITY) -> DataFrame:
     """One row per input row: doc_id, class_id (smallest id of its class),
-    class_rows (rows in the class), kept (true for exactly one row of a class).
+    class_rows (rows in the class), kept (true for exactly one row of a class)
+    and text_key (hash of the text).
 
     * Classes are the components of the verified links, copies included.
     * NULL text counts as empty; texts without a word are like each other only
@@ -345,4 +346,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     return rows.select("doc", "row", "t1", "t2").join(member, ["t1", "t2"]).select(
         shown("doc").alias("doc_id"), shown("class_doc").alias("class_id"), "class_rows",
-        (F.col("row") == F.col("class_row")).alias("kept"))
+        (F.col("row") == F.col("class_row")).alias("kept"), F.col("t1").alias("text_key"))
