@@ -1,39 +1,26 @@
-"""Two-stage (salted) rollup for measures that include quantiles.
-
-Why: with ``percentile_approx`` a group's partial sketches from every map
-task meet in one reduce task.  When one group holds a third of all rows
-(one hot route on one device in one release), that task receives a sketch
-from every map task.  Here every measure is split into mergeable partials
-and aggregated twice:
-
-1. by (keys, salt) with ``salt = (spark_partition_id() / block) % salts``:
-   each map task contributes one partial per group, and a hot group's
-   partials are merged by up to ``salts`` reduce tasks in parallel.  Runs of
-   ``block`` neighbouring input splits share a salt, so a small group whose
-   rows sit in a few neighbouring splits (date-partitioned input) still ends
-   stage 1 as one or two rows, not ``salts``;
-2. by keys: each group merges at most ``salts`` partials.
-
-Quantiles use Spark's KLL sketches (``kll_sketch_agg_double`` /
-``kll_merge_agg_double``).  A sketch keeps every value until it holds ``k``
-of them, so groups up to about ``k`` rows get the exact quantile (the
-smallest value with at least q of the values at or below it); larger
-groups get KLL's bounded rank error at O(k) memory per sketch.  The salt is
-the input split a row was read from, so a retried task rebuilds the same
-partials.
+"""Exact rollups whose partials can be merged, p75 included.
+
+Rounding is monotone, so the q-quantile of the rounded values is the rounded
+q-quantile.  Page loads are therefore counted per (keys, metric, rounded
+value): a plain partial aggregation, combined in every map task and dealt out
+by key *and* value, so that a hot group is spread over as many reducers as it
+has values.  These counts are the partials.  They merge exactly to any subset
+of the keys, in any order, and carry along what the other measures need (row
+counts, sums, counts of good values, smallest dates).
+
+To finish, a running count over the values of one (group, metric) finds the
+first value that q of the values do not exceed: the discrete quantile.  Its
+window holds one row per *distinct rounded value*, a number bounded by the
+metric's range over its rounding step, not by the rows.
 """
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# --- fixed defaults ---------------------------------------------------------
-DEFAULT_SKETCH_K = 4096    # KLL k: exact up to ~k values per group, ~32 KB per sketch
-DEFAULT_SALTS = 32         # hot-group split factor; small groups emit at most this many partials
-DEFAULT_SALT_BLOCK = 64    # neighbouring input splits that share a salt
-# ---------------------------------------------------------------------------
+from perfwatch.functions.scoring import good_flag
 
 
 @dataclass(frozen=True)
@@ -42,7 +29,7 @@ class Measure:
 
     kind: ``avg`` (rounded mean), ``quantile`` (rounded q-quantile),
     ``count`` (rows), ``rate`` (share of non-NULL values <= ``good``,
-    rounded), ``min`` / ``max``.
+    rounded), ``min``.
     """
 
     name: str
@@ -73,78 +60,97 @@ def minimum(name, column) -> Measure:
     return Measure(name, "min", column)
 
 
-def _partials(m: Measure, k: int) -> list[Column]:
-    c = F.col(m.column) if m.column else None
-    p = f"_{m.name}"
-    if m.kind == "avg":
-        return [F.sum(c).alias(p + "_s"), F.count(c).alias(p + "_n")]
-    if m.kind == "quantile":
-        return [F.kll_sketch_agg_double(c.cast("double"), k).alias(p + "_k")]
-    if m.kind == "count":
-        return [F.count(F.lit(1)).alias(p + "_c")]
-    if m.kind == "rate":
-        flag = (c <= F.lit(float(m.good))).cast("long")
-        return [F.sum(flag).alias(p + "_g"), F.count(flag).alias(p + "_n")]
-    if m.kind in ("min", "max"):
-        return [getattr(F, m.kind)(c).alias(p + "_m")]
-    raise ValueError(f"unknown measure kind {m.kind!r}")
-
-
-def _merges(m: Measure) -> list[Column]:
-    p = f"_{m.name}"
-    if m.kind == "avg":
-        return [F.sum(p + "_s").alias(p + "_s"), F.sum(p + "_n").alias(p + "_n")]
-    if m.kind == "quantile":
-        return [F.kll_merge_agg_double(p + "_k").alias(p + "_k")]
-    if m.kind == "count":
-        return [F.sum(p + "_c").alias(p + "_c")]
-    if m.kind == "rate":
-        return [F.sum(p + "_g").alias(p + "_g"), F.sum(p + "_n").alias(p + "_n")]
-    return [getattr(F, m.kind)(p + "_m").alias(p + "_m")]
-
-
-def _final(m: Measure) -> Column:
-    p = f"_{m.name}"
-    if m.kind == "avg":
-        out = F.round(F.try_divide(F.col(p + "_s"), F.col(p + "_n")), m.scale)
-    elif m.kind == "quantile":
-        sk = F.col(p + "_k")
-        out = F.when(F.kll_sketch_get_n_double(sk) > 0,
-                     F.round(F.kll_sketch_get_quantile_double(sk, F.lit(m.q)), m.scale))
-    elif m.kind == "count":
-        out = F.col(p + "_c")
-    elif m.kind == "rate":
-        out = F.round(F.try_divide(F.col(p + "_g").cast("double"), F.col(p + "_n")), m.scale)
-    else:
-        out = F.col(p + "_m")
-    return out.alias(m.name)
-
-
-def partial_rollup(df: DataFrame, keys, measures, k: int = DEFAULT_SKETCH_K,
-                   salts: int = DEFAULT_SALTS, block: int = DEFAULT_SALT_BLOCK) -> DataFrame:
-    """Stage 1: partials of ``measures`` per (keys, salt).  The result can be
-    merged to ``keys`` or to any subset of them by ``merge_rollup``, so one
-    scan of the input can feed several rollups."""
+def _value_columns(measures) -> dict[str, dict]:
+    """Per measured column its rounding (finest asked for) and good limit."""
+    found: dict[str, dict] = {}
+    for m in measures:
+        if m.kind in ("avg", "quantile", "rate"):
+            spec = found.setdefault(m.column, {"scale": None, "good": None})
+            if m.kind == "quantile":
+                if spec["scale"] not in (None, m.scale):
+                    raise ValueError(f"quantiles of {m.column!r} at different scales")
+                spec["scale"] = m.scale
+            if m.kind == "rate":
+                if spec["good"] not in (None, m.good):
+                    raise ValueError(f"rates of {m.column!r} with different limits")
+                spec["good"] = m.good
+    return found
+
+
+def partial_rollup(df: DataFrame, keys, measures) -> DataFrame:
+    """Mergeable partials: one row per (keys, ``_metric``, ``_value``) with
+    ``_rows``, ``_measured``, ``_sum``, ``_good`` and one ``_min_<column>`` per
+    ``min`` measure.  A column no quantile is asked of has one value (NULL).
+    One scan of the input serves every rollup over a subset of ``keys``."""
     key_cols = [F.col(x) if isinstance(x, str) else x for x in keys]
     names = df.select(*key_cols).columns
-    inputs = sorted({m.column for m in measures if m.column} - set(names))
-    staged = df.select(*key_cols, *[F.col(c) for c in inputs])
-    salt = ((F.spark_partition_id() / F.lit(block)).cast("int") % F.lit(salts)).alias("_salt")
-    return staged.groupBy(*names, salt).agg(*[p for m in measures for p in _partials(m, k)])
+    minima = sorted({m.column for m in measures if m.kind == "min"})
+    none = F.lit(None).cast("double")
+    entries = []
+    for column, spec in _value_columns(measures).items():
+        c = F.col(column).cast("double")
+        entries.append(F.struct(
+            F.lit(column).alias("_metric"),
+            (F.round(c, spec["scale"]) if spec["scale"] is not None else none).alias("_value"),
+            c.alias("_raw"),
+            (good_flag(c, spec["good"]).cast("long") if spec["good"] is not None else F.lit(None).cast("long")
+             ).alias("_is_good")))
+    if not entries:
+        entries = [F.struct(F.lit("").alias("_metric"), none.alias("_value"), none.alias("_raw"),
+                            F.lit(None).cast("long").alias("_is_good"))]
+    staged = df.select(*key_cols, *[F.col(c).alias(f"_min_{c}") for c in minima], F.inline(F.array(*entries)))
+    return staged.groupBy(*names, "_metric", "_value").agg(
+        F.count(F.lit(1)).alias("_rows"), F.count("_raw").alias("_measured"), F.sum("_raw").alias("_sum"),
+        F.sum("_is_good").alias("_good"), *[F.min(f"_min_{c}").alias(f"_min_{c}") for c in minima])
 
 
 def merge_rollup(partials: DataFrame, keys, measures) -> DataFrame:
-    """Stage 2: merge the partials of ``measures`` by ``keys`` (names or
-    aliased Columns over the partials' key columns) and finish them.
-    Output: the key columns, then the measures in order."""
+    """Merge partials by ``keys`` (names or aliased Columns over the partials'
+    key columns) and finish ``measures``: the key columns, then the measures
+    in order.  Only what the measures read is read and shuffled."""
     key_cols = [F.col(x) if isinstance(x, str) else x for x in keys]
-    merged = partials.groupBy(*key_cols).agg(*[x for m in measures for x in _merges(m)])
+    columns = list(_value_columns(measures))
+    minima = sorted({m.column for m in measures if m.kind == "min"})
+    quantiles = sorted({m.column for m in measures if m.kind == "quantile"})
+    used = partials.where(F.col("_metric").isin(*columns)) if columns else partials
+    # values matter only where a quantile is asked for; elsewhere they fold into one row
+    value = F.when(F.col("_metric").isin(*quantiles), F.col("_value")) if quantiles else F.lit(None).cast("double")
+    merged = used.groupBy(*key_cols, "_metric", value.alias("_value")).agg(
+        *[F.sum(c).alias(c) for c in ("_rows", "_measured", "_sum", "_good")],
+        *[F.min(f"_min_{c}").alias(f"_min_{c}") for c in minima])
     names = merged.columns[:len(key_cols)]
-    return merged.select(*names, *[_final(m) for m in measures])
-
-
-def rollup(df: DataFrame, keys, measures, k: int = DEFAULT_SKETCH_K, salts: int = DEFAULT_SALTS) -> DataFrame:
-    """Group ``df`` by ``keys`` (names or aliased Columns) and compute
-    ``measures`` with the two-stage plan described in the module doc."""
-    partials = partial_rollup(df, keys, measures, k, salts)
+    if quantiles:
+        group = Window.partitionBy(*names, "_metric")
+        merged = merged.withColumns({
+            "_through": F.sum("_measured").over(group.orderBy(F.col("_value").asc_nulls_first()).rowsBetween(
+                Window.unboundedPreceding, Window.currentRow)),
+            "_total": F.sum("_measured").over(group)})
+    whole = columns[0] if columns else ""
+
+    def of(column: str, part: str) -> Column:
+        return F.sum(F.when(F.col("_metric") == column, F.col(part)))
+
+    def finished(m: Measure) -> Column:
+        if m.kind == "avg":
+            out = F.round(F.try_divide(of(m.column, "_sum"), of(m.column, "_measured")), m.scale)
+        elif m.kind == "quantile":
+            reached = (F.col("_metric") == m.column) & (F.col("_measured") > 0) & (
+                F.col("_through") >= F.ceil(F.col("_total") * F.lit(m.q)))
+            out = F.min(F.when(reached, F.col("_value")))
+        elif m.kind == "count":
+            out = of(whole, "_rows")
+        elif m.kind == "rate":
+            out = F.round(F.try_divide(of(m.column, "_good").cast("double"), of(m.column, "_measured")), m.scale)
+        elif m.kind == "min":
+            out = F.min(f"_min_{m.column}")
+        else:
+            raise ValueError(f"unknown measure kind {m.kind!r}")
+        return out.alias(m.name)
+
+    return merged.groupBy(*names).agg(*[finished(m) for m in measures])
+
+
+def rollup(df: DataFrame, keys, measures) -> DataFrame:
+    """Group ``df`` by ``keys`` (names or aliased Columns) and compute ``measures``."""
+    partials = partial_rollup(df, keys, measures)
     return merge_rollup(partials, partials.columns[:len(keys)], measures)

@@ -1,11 +1,11 @@
 """Aggregations.
 
-A1/A3 aggregate raw page loads with the two-stage salted rollup of
-``perfwatch.operators.aggregate`` (partial aggregation in every map task,
-KLL sketches for the p75, a hot group merged by many reduce tasks).  A5-A11
-aggregate the (small) daily table; their means are unweighted means over
-daily rows, as the summary report defines them, computed exactly from the
-rounded daily values (``mean_of_rounded``).
+A1/A3 aggregate raw page loads with the exact rollup of
+``perfwatch.operators.aggregate`` (counts per rounded value, combined in every
+map task and spread over reducers by key and value).  A5-A11 aggregate the
+(small) daily table; their means are unweighted means over daily rows, as the
+summary report defines them, computed exactly from the rounded daily values
+(``mean_of_rounded``).
 """
 from __future__ import annotations
 
@@ -33,11 +33,10 @@ def vitals_measures(metrics=METRICS, p75_of=(LCP, CLS, INP), good_of=(LCP, CLS,
     return out
 
 
-def metric_rollup(df: DataFrame, keys, specs, k: int = agg.DEFAULT_SKETCH_K,
-                  salts: int = agg.DEFAULT_SALTS) -> DataFrame:
+def metric_rollup(df: DataFrame, keys, specs) -> DataFrame:
     """The rollup for arbitrary metric specs: avg_<stem> and p75_<stem> per
     spec, sample_count, and good_<key>_rate (share at or under ``good``)."""
-    return agg.rollup(df, keys, vitals_measures(specs, tuple(specs), tuple(specs)), k, salts)
+    return agg.rollup(df, keys, vitals_measures(specs, tuple(specs), tuple(specs)))
 
 
 DAILY_KEYS = ("event_date", "route", "device_type", "release_version")
@@ -54,11 +53,10 @@ def daily_from_partials(partials: DataFrame) -> DataFrame:
         "overall_health_score", health_score())
 
 
-def daily_vitals(page_loads: DataFrame, k: int = agg.DEFAULT_SKETCH_K,
-                 salts: int = agg.DEFAULT_SALTS) -> DataFrame:
+def daily_vitals(page_loads: DataFrame) -> DataFrame:
     """A1: per (date, route, device_type, release_version): avg and p75 of
     LCP/CLS/INP, avg TTFB, sample_count, good rates and the health score."""
-    return daily_from_partials(agg.partial_rollup(page_loads, DAILY_KEYS, daily_measures(), k, salts))
+    return daily_from_partials(agg.partial_rollup(page_loads, DAILY_KEYS, daily_measures()))
 
 
 def add_health_score(df: DataFrame, lcp_col="avg_lcp_ms", cls_col="avg_cls", inp_col="avg_inp_ms",
@@ -88,30 +86,28 @@ def breakdown_from_partials(partials: DataFrame) -> DataFrame:
     return add_risk_level(agg.merge_rollup(partials, keys, breakdown_measures()))
 
 
-def device_breakdown(enriched: DataFrame, k: int = agg.DEFAULT_SKETCH_K,
-                     salts: int = agg.DEFAULT_SALTS) -> DataFrame:
+def device_breakdown(enriched: DataFrame) -> DataFrame:
     """A3: per (date, route, device_type, device_class, connection_type):
     p75 LCP/CLS/INP, sample_count and risk level.  A NULL device_class
     (unknown device) is a group of its own."""
-    return breakdown_from_partials(agg.partial_rollup(enriched, BREAKDOWN_KEYS, breakdown_measures(), k, salts))
+    return breakdown_from_partials(agg.partial_rollup(enriched, BREAKDOWN_KEYS, breakdown_measures()))
 
 
 CURATED_KEYS = ("event_date", "route", "device_type", "release_version", "device_class", "connection_type")
 
 
-def curated_partials(page_loads: DataFrame, k: int = agg.DEFAULT_SKETCH_K,
-                     salts: int = agg.DEFAULT_SALTS) -> DataFrame:
-    """Stage-1 partials of A1, A3 and A4 together, at the grain that refines
-    all three key sets.  One scan and one shuffle of the page loads then feed
+def curated_partials(page_loads: DataFrame) -> DataFrame:
+    """Partials of A1, A3 and A4 together, at the grain that refines all three
+    key sets.  One scan and one shuffle of the page loads then feed
     ``daily_from_partials``, ``breakdown_from_partials`` and
-    ``release_aggregates_from_partials`` (sketches, sums and counts merge
-    exactly), instead of three scans and three shuffles of raw rows."""
+    ``release_aggregates_from_partials`` (counts merge exactly), instead of
+    three scans and three shuffles of raw rows."""
     from perfwatch.operators.releases import release_measures
 
     measures: dict[str, agg.Measure] = {}
     for m in [*daily_measures(), *breakdown_measures(), *release_measures()]:
         measures.setdefault(m.name, m)
-    return agg.partial_rollup(page_loads, CURATED_KEYS, list(measures.values()), k, salts)
+    return agg.partial_rollup(page_loads, CURATED_KEYS, list(measures.values()))
 
 
 def overall_health(daily: DataFrame) -> DataFrame:
