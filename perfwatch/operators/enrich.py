@@ -10,23 +10,26 @@ def device_projection(devices: DataFrame) -> DataFrame:
     return devices.select("device_id", "device_class", "network_profile")
 
 
-def enrich_with_devices(page_loads: DataFrame, devices: DataFrame,
-                        broadcast_max_rows: int | None = None) -> DataFrame:
+def enrich_with_devices(page_loads: DataFrame, devices: DataFrame) -> DataFrame:
     """Left join on ``device_id``: adds ``device_class`` and
     ``network_profile``; unmatched or NULL ids keep the row with NULLs.
 
     ``devices`` must hold one row per ``device_id`` (``normalize_devices``),
-    otherwise page loads would be multiplied.
-
-    Broadcast policy: with ``broadcast_max_rows`` the dimension is counted
-    (one job over the dimension only) and broadcast when it has at most that
-    many rows; a larger catalogue takes a shuffle join, where AQE splits a
-    hot device id.  Without it the planner decides from its size estimate
-    (``spark.sql.autoBroadcastJoinThreshold``, re-checked by AQE at run
-    time), which also lets Catalyst drop the join when no device column is
-    used downstream.
+    otherwise page loads would be multiplied.  Whether the dimension is sent to
+    every task is the planner's decision, by its size in bytes
+    (``spark.sql.autoBroadcastJoinThreshold``, measured again at run time).  In
+    a shuffled join AQE splits a hot device; page loads without an id, which
+    would all meet in one task and match nothing, are spread by a key that no
+    device has.
     """
-    dim = device_projection(devices)
-    if broadcast_max_rows is not None and devices.count() <= broadcast_max_rows:
-        dim = F.broadcast(dim)
-    return page_loads.join(dim, on="device_id", how="left")
+    dim = device_projection(devices).where(F.col("device_id").isNotNull()).select(
+        F.col("device_id").alias("_dim_id"), F.lit(0).cast("long").alias("_dim_spread"), "device_class", "network_profile")
+    telling = [c for c in ("event_id", "lcp_ms") if c in page_loads.columns] or page_loads.columns
+    spread = F.when(F.col("device_id").isNull(), 1 + F.pmod(F.xxhash64(*telling), F.lit(1024))
+                    ).otherwise(F.lit(0).cast("long"))
+    return (
+        page_loads.withColumn("_spread", spread)
+        .join(dim, (F.coalesce(F.col("device_id"), F.lit("")) == F.col("_dim_id")) & (F.col("_spread") == F.col("_dim_spread")),
+              "left")
+        .drop("_spread", "_dim_id", "_dim_spread")
+    )

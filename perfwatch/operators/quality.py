@@ -42,19 +42,31 @@ def drop_negative(df: DataFrame, columns) -> DataFrame:
     return df.where(cond) if cond is not None else df
 
 
+def has_route(column: str = "route") -> Column:
+    return F.col(column).isNotNull()
+
+
+def has_device_type(column: str = "device_type", valid=VALID_DEVICE_TYPES) -> Column:
+    return F.col(column).isin(*valid)
+
+
+def has_samples(column: str = "sample_count") -> Column:
+    return F.col(column) > 0
+
+
 def require_route(df: DataFrame, column: str = "route") -> DataFrame:
     """Q4: drop rows with a NULL route."""
-    return df.where(F.col(column).isNotNull())
+    return df.where(has_route(column))
 
 
 def require_device_type(df: DataFrame, column: str = "device_type", valid=VALID_DEVICE_TYPES) -> DataFrame:
     """Q5: keep mobile / desktop / tablet."""
-    return df.where(F.col(column).isin(*valid))
+    return df.where(has_device_type(column, valid))
 
 
 def require_positive_samples(df: DataFrame, column: str = "sample_count") -> DataFrame:
     """Q6: keep sample_count > 0 (NULL dropped)."""
-    return df.where(F.col(column) > 0)
+    return df.where(has_samples(column))
 
 
 def _rules(df: DataFrame, non_negative, check_route, check_device_type, check_sample_count):
@@ -66,11 +78,11 @@ def _rules(df: DataFrame, non_negative, check_route, check_device_type, check_sa
     if cond is not None:
         rules.append(("negative", cond))
     if check_route and "route" in df.columns:
-        rules.append(("null_route", F.col("route").isNotNull()))
+        rules.append(("null_route", has_route()))
     if check_device_type and "device_type" in df.columns:
-        rules.append(("bad_device_type", F.col("device_type").isin(*VALID_DEVICE_TYPES)))
+        rules.append(("bad_device_type", has_device_type()))
     if check_sample_count and "sample_count" in df.columns:
-        rules.append(("bad_sample_count", F.col("sample_count") > 0))
+        rules.append(("bad_sample_count", has_samples()))
     return rules
 
 

@@ -1,10 +1,11 @@
 """Route rankings (A2, J2, W1-W4, RK).
 
-The inputs are aggregates (daily rollup, lab score per day), so the join and
-the window shuffle rows that number routes x devices x days, not events.
-All four ranks share one window partitioning (date, device_type): Spark
-plans one exchange and four sorts over it.  A window partition holds the
-routes of one day and device, which is bounded by the route catalogue.
+The inputs are aggregates (daily rollup, lab score per day), so the joins
+shuffle rows that number routes x devices x days, not events.  Unknown routes
+pass through normalisation, so the routes of one day and device are not
+bounded; a dense rank however depends on the *distinct* values only.  These -
+rounded, so bounded by a metric's range over its rounding step - are ranked,
+and the ranks are joined back by value.
 """
 from __future__ import annotations
 
@@ -31,16 +32,34 @@ def blend_lab_scores(daily: DataFrame, lab_scores: DataFrame) -> DataFrame:
     return daily.join(lab_scores, on=["date", "route", "device_type"], how="left")
 
 
+RANKED = (
+    ("rank_overall", "performance_score", False),
+    ("rank_lcp", "p75_lcp_ms", True),
+    ("rank_cls", "p75_cls", True),
+    ("rank_inp", "p75_inp_ms", True),
+)
+
+
 def add_ranks(df: DataFrame) -> DataFrame:
     """Dense ranks within (date, device_type): by lab score (high
     first, NULLs last) and by p75 LCP / CLS / INP (low first, NULLs first)."""
-    w = Window.partitionBy("date", "device_type")
-    return df.withColumns({
-        "rank_overall": F.dense_rank().over(w.orderBy(F.col("performance_score").desc_nulls_last())),
-        "rank_lcp": F.dense_rank().over(w.orderBy(F.col("p75_lcp_ms").asc_nulls_first())),
-        "rank_cls": F.dense_rank().over(w.orderBy(F.col("p75_cls").asc_nulls_first())),
-        "rank_inp": F.dense_rank().over(w.orderBy(F.col("p75_inp_ms").asc_nulls_first())),
-    })
+    sides = ["date", "device_type"]
+    values = df.select(*sides, F.inline(F.array(*[
+        F.struct(F.lit(name).alias("_rank"), F.col(column).cast("double").alias("_value"))
+        for name, column, _ in RANKED]))).distinct()
+    # one order for all four: high scores first, low timings first, a NULL last or first
+    falling = F.col("_rank").isin(*[name for name, _, rising in RANKED if not rising])
+    order = [F.when(falling, F.col("_value").isNull()).otherwise(F.col("_value").isNotNull()),
+             F.when(falling, -F.col("_value")).otherwise(F.col("_value"))]
+    placed = values.withColumn("_place", F.dense_rank().over(Window.partitionBy(*sides, "_rank").orderBy(*order)))
+    for name, column, _ in RANKED:
+        places = placed.where(F.col("_rank") == name).select(
+            *[F.col(s).alias(f"_{s}") for s in sides], F.col("_value").alias("_at"), F.col("_place").alias(name))
+        same = F.col(column).eqNullSafe(F.col("_at"))
+        for s in sides:
+            same &= F.col(s).eqNullSafe(F.col(f"_{s}"))
+        df = df.join(places, same, "left").drop("_at", *[f"_{s}" for s in sides])
+    return df
 
 
 def ranking_projection(df: DataFrame) -> DataFrame:
