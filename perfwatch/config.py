@@ -77,7 +77,6 @@ CLS = MetricSpec("cls", "cls", "cls", CLS_GOOD, 4)
 INP = MetricSpec("inp", "inp_ms", "inp_ms", INP_GOOD_MS, 1)
 TTFB = MetricSpec("ttfb", "ttfb_ms", "ttfb_ms", TTFB_GOOD_MS, 1)
 METRICS = (LCP, CLS, INP, TTFB)
-METRICS_BY_KEY = {m.key: m for m in METRICS}
 
 
 @dataclass(frozen=True)
@@ -125,31 +124,32 @@ class Advice:
     action: str
 
 
-# Probable cause and suggested action attached to each regression event.
+# Probable cause and suggested action attached to each regression event, after
+# the public guidance on these metrics at web.dev.
 ADVICE = {
     "LCP": Advice(
-        "The main content paints later than before; heavy hero media, slow web fonts or "
-        "render-blocking scripts and styles are the usual suspects.",
-        "Shrink and preload the above-the-fold image, preload key fonts and defer scripts "
-        "and styles that the first paint does not need.",
+        "One of the four parts of LCP grew: time to first byte, the delay before the LCP resource starts "
+        "to load, its load time, or the delay until it is drawn.",
+        "Break LCP down in a trace and treat the longest part: make the LCP resource discoverable in the "
+        "HTML with fetchpriority=high and without lazy loading, serve it in a modern format, inline "
+        "critical CSS.",
     ),
     "CLS": Advice(
-        "More content moves after it first appears, typically media, ads or embeds that "
-        "arrive without reserved space, or font swaps that reflow text.",
-        "Give media and embeds fixed dimensions or an aspect ratio, reserve ad slots and "
-        "match fallback font metrics to the web font.",
+        "A layout shift window scored higher: something was inserted above visible content, or changed "
+        "size, without a user action in the half second before.",
+        "List the layout-shift entries with their source elements; set width and height or aspect-ratio, "
+        "give late slots a min-height, animate with transform only.",
     ),
     "INP": Advice(
-        "The page answers user input more slowly, usually because long script tasks keep "
-        "the main thread busy.",
-        "Split long tasks, throttle costly input handlers and move work that is not urgent "
-        "off the main thread.",
+        "The slowest interactions got slower in one of three phases: input delay, event handlers, or "
+        "the next paint (large DOM, forced layout).",
+        "Attribute INP to its element and phase; yield with scheduler.yield() inside handlers, cut "
+        "third-party scripts at load, shrink the DOM that an interaction restyles.",
     ),
     "TTFB": Advice(
-        "The first byte arrives later, which points at the server, its data stores or the "
-        "edge cache.",
-        "Profile server response times, look for slow queries and cache misses, and check "
-        "the edge cache hit ratio.",
+        "Redirects, connection set-up or the time to produce the document grew before any byte arrived.",
+        "Compare Server-Timing with the navigation phases; drop redirects, cache HTML at the edge or use "
+        "stale-while-revalidate, stream the head early, keep connections with HTTP/3.",
     ),
 }
 

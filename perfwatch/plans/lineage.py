@@ -1,0 +1,16 @@
+"""Lineage cuts in the shared folder the cluster names."""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def checkpoint_root(spark: SparkSession) -> str | None:
+    """The folder of ``spark.checkpoint.dir``, or the one set on the context; None if there is neither."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` from a reliable checkpoint: computed once however often it is
+    read, nothing stays cached, and a lost executor costs no recomputation.
+    Without a configured folder the frame is returned as it is."""
+    return df.checkpoint(eager=True) if checkpoint_root(df.sparkSession) else df

@@ -1,26 +1,46 @@
 """DuckDB SQL equivalents of the query catalogue (the correctness oracle).
 
 The SQL is written independently of the DataFrame code, from the stated
-semantics; only the input adapters (plain projections of the driver tables)
-are shared, so both engines see the same rows.  DuckDB differences handled
-here: exact ``quantile_disc`` for the p75 (the Spark side uses an exact-
-for-these-sizes sketch), Spark's decimal HALF_UP ``round`` (reproduced by
-rounding the shortest decimal text of the double), explicit NULLS FIRST /
-LAST, and explicit zero guards where Spark uses ``try_divide``.
+semantics, limits and texts included; only the input adapters (plain
+projections of the driver tables) are shared, so both engines see the same
+rows.  DuckDB differences handled here: ``quantile_disc`` for the p75, Spark's
+decimal HALF_UP ``round`` (reproduced by rounding the shortest decimal text of
+the double), explicit NULLS FIRST / LAST, and explicit zero guards where Spark
+uses ``try_divide``.
 """
 from __future__ import annotations
 
-from perfwatch.config import (
-    ADVICE,
-    CLS_GOOD,
-    DEFAULT_THRESHOLDS,
-    INP_GOOD_MS,
-    LCP_GOOD_MS,
-    POOR_STRETCH,
-    TTFB_GOOD_MS,
-)
 from perfwatch.sources import adapters as ad
 
+# --- fixed values, stated here apart from the library's own --------------------
+LCP_GOOD_MS, CLS_GOOD, INP_GOOD_MS, TTFB_GOOD_MS, POOR_STRETCH = 2500.0, 0.1, 200.0, 800.0, 1.6
+# metric, stem, delta column, percent column, relative limit in percent or absolute limit, poor
+RULES = (
+    ("LCP", "lcp_ms", "lcp_delta_ms", "lcp_delta_percent", 20.0, 2500.0),
+    ("CLS", "cls", "cls_delta", None, 0.05, 0.1),
+    ("INP", "inp_ms", "inp_delta_ms", "inp_delta_percent", 20.0, 200.0),
+    ("TTFB", "ttfb_ms", "ttfb_delta_ms", "ttfb_delta_percent", 25.0, 800.0),
+)
+ADVICE = {
+    "LCP": ("One of the four parts of LCP grew: time to first byte, the delay before the LCP resource starts "
+            "to load, its load time, or the delay until it is drawn.",
+            "Break LCP down in a trace and treat the longest part: make the LCP resource discoverable in the "
+            "HTML with fetchpriority=high and without lazy loading, serve it in a modern format, inline "
+            "critical CSS."),
+    "CLS": ("A layout shift window scored higher: something was inserted above visible content, or changed "
+            "size, without a user action in the half second before.",
+            "List the layout-shift entries with their source elements; set width and height or aspect-ratio, "
+            "give late slots a min-height, animate with transform only."),
+    "INP": ("The slowest interactions got slower in one of three phases: input delay, event handlers, or "
+            "the next paint (large DOM, forced layout).",
+            "Attribute INP to its element and phase; yield with scheduler.yield() inside handlers, cut "
+            "third-party scripts at load, shrink the DOM that an interaction restyles."),
+    "TTFB": ("Redirects, connection set-up or the time to produce the document grew before any byte arrived.",
+             "Compare Server-Timing with the navigation phases; drop redirects, cache HTML at the edge or use "
+             "stale-while-revalidate, stream the head early, keep connections with HTTP/3."),
+}
+# -------------------------------------------------------------------------------
+
 
 def d(x: float) -> str:
     """A double literal with the exact value of the Python float."""
@@ -53,17 +73,17 @@ def sel(exprs) -> str:
     return ",\n  ".join(ad.select_list(exprs))
 
 
+ROUTE_OF = {"/": ("home", "index", "homepage"), "/product": ("products", "pdp"), "/checkout": ("cart", "basket"),
+            "/account": ("signin", "login", "profile")}
+
+
 def route_sql(x: str) -> str:
-    """Cut at ? or #, trim spaces, lower, root with '/', drop one trailing
-    '/', then resolve aliases (CASE form; independent of the Spark code)."""
-    p = f"lower(trim(regexp_extract({x}, '^([^?#]*)', 1), ' '))"
-    rooted = f"(CASE WHEN starts_with({p}, '/') THEN {p} ELSE '/' || {p} END)"
-    cleaned = (f"(CASE WHEN length({rooted}) > 1 AND ends_with({rooted}, '/') "
-               f"THEN substr({rooted}, 1, length({rooted}) - 1) ELSE {rooted} END)")
-    return (f"coalesce(CASE {cleaned} WHEN '/home' THEN '/' WHEN '/index' THEN '/' WHEN '/homepage' THEN '/' "
-            f"WHEN '/products' THEN '/product' WHEN '/pdp' THEN '/product' WHEN '/cart' THEN '/checkout' "
-            f"WHEN '/basket' THEN '/checkout' WHEN '/signin' THEN '/account' WHEN '/login' THEN '/account' "
-            f"WHEN '/profile' THEN '/account' END, {cleaned})")
+    """The canonical route: what stands before any query or fragment, without
+    the spaces around it, one slash on either side and its case, looked up
+    among the aliases and given its leading slash back."""
+    name = f"lower(regexp_replace(trim(split_part(split_part({x}, '#', 1), '?', 1), ' '), '^/?(.*?)/?$', '\\1'))"
+    arms = " ".join(f"WHEN bare IN ({', '.join(s(n) for n in names)}) THEN {s(route)}" for route, names in ROUTE_OF.items())
+    return f"(SELECT CASE {arms} ELSE '/' || bare END FROM (SELECT {name} AS bare))"
 
 
 def device_sql(x: str) -> str:
@@ -178,26 +198,13 @@ CTE["pairs"] = "SELECT *, " + ", ".join(
     f"{rnd(div0(f'{k}_delta_ms', f'before_p75_{st}') + ' * 100', 2)} AS {k}_delta_percent"
     for k, st, n, ms in _M if ms) + " FROM pairs1"
 
-_T = DEFAULT_THRESHOLDS
-
-
 def _rules():
-    """(label, before, after, delta, pct or None, limit, poor, flag, excess)"""
+    """(label, before, after, delta, pct or None, flag, excess)"""
     out = []
-    for r in _T.rules():
-        st = r.spec.stem
-        ms = st.endswith("_ms")
-        before, after = f"before_p75_{st}", f"after_p75_{st}"
-        delta = f"{r.spec.key}_delta_ms" if ms else f"{r.spec.key}_delta"
-        pct = f"{r.spec.key}_delta_percent" if ms else None
-        newly = f"({after} > {d(r.poor)} AND {before} <= {d(r.poor)})"
-        if r.mode == "pct":
-            breach = f"{pct} > {d(r.limit * 100)}"
-            excess = f"greatest({pct} / {d(r.limit * 100)}, {after} / {d(r.poor)})"
-        else:
-            breach = f"{delta} > {d(r.limit)}"
-            excess = f"greatest({delta} / {d(r.limit)}, {after} / {d(r.poor)})"
-        out.append((r.metric, before, after, delta, pct, f"(({breach}) OR {newly})", excess))
+    for metric, stem, delta, pct, limit, poor in RULES:
+        before, after, worse = f"before_p75_{stem}", f"after_p75_{stem}", pct or delta
+        flag = f"(({worse} > {d(limit)}) OR ({after} > {d(poor)} AND {before} <= {d(poor)}))"
+        out.append((metric, before, after, delta, pct, flag, f"greatest({worse} / {d(limit)}, {after} / {d(poor)})"))
     return out
 
 
@@ -216,8 +223,8 @@ def _event_select(metric, before, after, delta, pct, flag, excess) -> str:
            f"WHEN {excess} >= {d(1.2)} THEN 'medium' ELSE 'low' END")
     return (f"SELECT after_release_start_date AS detected_at, route, device_type, '{metric}' AS metric, "
             f"{before} AS baseline_value, {after} AS current_value, {delta} AS delta, {dp} AS delta_percent, "
-            f"after_release AS release_version, {sev} AS severity, {s(ADVICE[metric].cause)} AS probable_cause, "
-            f"{s(ADVICE[metric].action)} AS recommended_action FROM pairs WHERE {flag}")
+            f"after_release AS release_version, {sev} AS severity, {s(ADVICE[metric][0])} AS probable_cause, "
+            f"{s(ADVICE[metric][1])} AS recommended_action FROM pairs WHERE {flag}")
 
 
 CTE["reg_events"] = "\nUNION ALL\n".join(_event_select(*r) for r in _rules())
@@ -225,7 +232,7 @@ CTE["latest_rankings"] = "SELECT * FROM rankings WHERE date = (SELECT max(date)
 _WORST_ORDER = ("rank_overall DESC, device_type ASC, route ASC, p75_lcp_ms ASC NULLS FIRST, "
                 "p75_cls ASC NULLS FIRST, p75_inp_ms ASC NULLS FIRST")
 _SEV_ORDER = (f"{sev_rank()} DESC, delta_percent DESC NULLS LAST, route ASC, device_type ASC, "
-              f"metric ASC, release_version ASC")
+              f"metric ASC, release_version ASC NULLS FIRST")
 _SUMMARY = (f"{exact_mean('overall_health_score', 1, 1)} AS avg_health_score, "
             f"{exact_mean('p75_lcp_ms', 1, 0)} AS avg_p75_lcp_ms, "
             f"{exact_mean('p75_cls', 4, 3)} AS avg_p75_cls, {exact_mean('p75_inp_ms', 1, 0)} AS avg_p75_inp_ms")
@@ -259,86 +266,58 @@ def with_ctes(body: str, *needs: str) -> str:
 
 # -- summary text (RP) ---------------------------------------------------------
 
-NO_DATA = "_No data for this period._"
-NO_ACTION = "_No active regressions: nothing to act on right now._"
+def txt(x: str) -> str:
+    return f"coalesce(CAST({x} AS VARCHAR), '-')"
 
 
-def txt(x: str) -> str:
-    return f"coalesce(CAST(({x}) AS VARCHAR), 'None')"
+def say(*parts) -> str:
+    """Literal texts and (given as one-item lists) columns, one after the other."""
+    return " || ".join(txt(p[0]) if isinstance(p, list) else s(p) for p in parts)
 
 
-def md_table(section: int, first: int, body: str, headers, cells, order: str) -> str:
-    """Header, separator and ordered rows of a markdown table over ``body``,
-    or one no-data line; ties in ``order`` are broken by the row text."""
-    head = "| " + " | ".join(headers) + " |"
-    sep = "| " + " | ".join("---" for _ in headers) + " |"
-    row = "'| ' || concat_ws(' | ', " + ", ".join(txt(c) for c in cells) + ") || ' |'"
-    return f"""(WITH b AS (SELECT {row} AS line, * FROM ({body})),
-  r AS (SELECT line, row_number() OVER (ORDER BY {order}, line) AS rn FROM b),
-  n AS (SELECT count(*) AS n FROM b)
- SELECT {section} AS section, {first} AS line_no, {s(head)} AS line FROM n WHERE n > 0
- UNION ALL SELECT {section}, {first + 1}, {s(sep)} FROM n WHERE n > 0
- UNION ALL SELECT {section}, {first}, {s(NO_DATA)} FROM n WHERE n = 0
- UNION ALL SELECT {section}, CAST({first + 1} + rn AS INTEGER), line FROM r)"""
+def listed(section: int, first: int, body: str, line: str, order: str) -> str:
+    """One line per row of ``body`` from line ``first`` on, or one that says there is nothing."""
+    return f"""SELECT {section} AS section, CAST({first - 1} + row_number() OVER (ORDER BY {order}) AS INTEGER) AS line_no,
+  {line} AS line FROM ({body})
+ UNION ALL SELECT {section}, {first}, '(nothing)' WHERE NOT EXISTS (SELECT * FROM ({body}))"""
 
 
 def summary_sql() -> str:
-    heads = [(0, 0, "'# Web Vitals Summary'"), (0, 1, "''"), (0, 2, "'_Generated (run time)_'"), (0, 3, "''"),
-             (1, 0, "'## Overall health'"), (2, 0, "'## Best routes'"), (3, 0, "'## Worst routes'"),
-             (4, 0, "'## Biggest improvements between releases'"), (5, 0, "'## Biggest regressions'"),
-             (6, 0, "'## Mobile, desktop and tablet'"), (7, 0, "'## Recommended actions'")]
-    parts = [f"SELECT {a} AS section, {b} AS line_no, {c} AS line" for a, b, c in heads]
-    overall = (f"SELECT {exact_mean('overall_health_score', 1, 1)} AS avg_score, sum(sample_count) AS total, "
-               "count(DISTINCT route) AS routes, min(date) AS start_date, max(date) AS end_date FROM daily")
-    bullets = [
-        f"'- **Period:** ' || {txt('start_date')} || ' to ' || {txt('end_date')}",
-        f"'- **Routes tracked:** ' || {txt('routes')}",
-        "'- **Field samples:** ' || coalesce(format('{:,}', total), 'None')",
-        f"'- **Average health score (0-100):** ' || {txt('avg_score')}",
-        "''",
-        f"'**Health score by device type on ' || {txt('(SELECT max(date) FROM daily)')} || ':**'",
-        "''",
-    ]
-    parts += [f"SELECT 1, {i + 1}, {b} FROM ({overall})" for i, b in enumerate(bullets)]
-    latest = (f"SELECT device_type, {exact_mean('overall_health_score', 1, 1)} AS avg_score FROM daily "
-              "WHERE date = (SELECT max(date) FROM daily) GROUP BY device_type")
-    parts.append(md_table(1, 100, latest, ["Device type", "Avg health score"], ["device_type", "avg_score"],
-                          "avg_score DESC NULLS LAST, device_type ASC NULLS FIRST"))
-    rh = ["Route", "Avg health score", "Avg p75 LCP (ms)", "Avg p75 CLS", "Avg p75 INP (ms)"]
-    rc = ["route", "avg_health_score", "avg_p75_lcp_ms", "avg_p75_cls", "avg_p75_inp_ms"]
-    parts.append(md_table(2, 1, "SELECT * FROM route_summary ORDER BY avg_health_score DESC NULLS LAST, route "
-                          "LIMIT 5", rh, rc, "avg_health_score DESC NULLS LAST, route ASC NULLS FIRST"))
-    parts.append(md_table(3, 1, "SELECT * FROM route_summary ORDER BY avg_health_score ASC NULLS FIRST, route "
-                          "LIMIT 5", rh, rc, "avg_health_score ASC NULLS FIRST, route ASC NULLS FIRST"))
-    imp_order = ("lcp_delta_percent ASC NULLS FIRST, route ASC NULLS FIRST, device_type ASC NULLS FIRST, "
-                 "before_release ASC NULLS FIRST, after_release ASC NULLS FIRST")
-    parts.append(md_table(
-        4, 1, f"SELECT * FROM before_after WHERE improvement_status = 'improved' ORDER BY {imp_order} LIMIT 5",
-        ["Route", "Device", "Release", "p75 LCP (ms)", "LCP change", "p75 CLS"],
-        ["route", "device_type", f"concat_ws(' -> ', {txt('before_release')}, {txt('after_release')})",
-         f"concat_ws(' -> ', {txt('before_p75_lcp_ms')}, {txt('after_p75_lcp_ms')})",
-         f"{txt('lcp_delta_percent')} || '%'",
-         f"concat_ws(' -> ', {txt('before_p75_cls')}, {txt('after_p75_cls')})"], imp_order))
-    parts.append(md_table(
+    titles = ["PERFWATCH DIGEST, (run time)", "COVERAGE", "HEALTHIEST ROUTES", "LEAST HEALTHY ROUTES",
+              "FASTER SINCE A RELEASE", "SLOWER SINCE A RELEASE", "DEVICE TYPES", "NEXT STEPS"]
+    parts = [f"SELECT {i} AS section, 0 AS line_no, {s(t)} AS line" for i, t in enumerate(titles)]
+    cover = say(["min(date)"], " to ", ["max(date)"], ": ", ["sum(sample_count)"], " page loads on ",
+                ["count(DISTINCT route)"], " routes, mean health ", [exact_mean("overall_health_score", 1, 1)], " of 100")
+    parts.append(f"SELECT 1, 1, {cover} FROM daily")
+    latest = (f"SELECT date, device_type, {exact_mean('overall_health_score', 1, 1)} AS avg_score FROM daily "
+              "WHERE date = (SELECT max(date) FROM daily) GROUP BY date, device_type")
+    parts.append(listed(1, 2, latest, say(["date"], " ", ["device_type"], ": health ", ["avg_score"]),
+                        "avg_score DESC NULLS LAST, device_type NULLS FIRST"))
+    vitals = ("health ", ["avg_health_score"], ", p75 LCP ", ["avg_p75_lcp_ms"], " ms, CLS ", ["avg_p75_cls"], ", INP ",
+              ["avg_p75_inp_ms"], " ms")
+    for section, order in ((2, "avg_health_score DESC NULLS LAST, route NULLS FIRST"),
+                           (3, "avg_health_score NULLS FIRST, route NULLS FIRST")):
+        parts.append(listed(section, 1, f"SELECT * FROM route_summary ORDER BY {order} LIMIT 5",
+                            say(["route"], ": ", *vitals), order))
+    order = ("lcp_delta_percent NULLS FIRST, route NULLS FIRST, device_type NULLS FIRST, before_release NULLS FIRST, "
+             "after_release NULLS FIRST")
+    parts.append(listed(
+        4, 1, f"SELECT * FROM before_after WHERE improvement_status = 'improved' ORDER BY {order} LIMIT 5",
+        say(["route"], " on ", ["device_type"], ", ", ["before_release"], " to ", ["after_release"], ": p75 LCP ",
+            ["lcp_delta_percent"], " % (", ["before_p75_lcp_ms"], " to ", ["after_p75_lcp_ms"], " ms), CLS ",
+            ["before_p75_cls"], " to ", ["after_p75_cls"]), order))
+    parts.append(listed(
         5, 1, f"SELECT * FROM reg_events ORDER BY {_SEV_ORDER} LIMIT 5",
-        ["Route", "Device", "Metric", "Release", "Severity", "Baseline", "Current", "Change %"],
-        ["route", "device_type", "metric", "release_version", "severity", "baseline_value", "current_value",
-         f"{txt('delta_percent')} || '%'"], _SEV_ORDER))
-    dev = (f"SELECT device_type, {_SUMMARY}, {exact_mean('good_lcp_rate', 4, 1, 100)} AS good_lcp_pct "
-           "FROM daily GROUP BY device_type")
-    parts.append(md_table(
-        6, 1, dev, ["Device type", "Avg health score", "Avg p75 LCP (ms)", "Avg p75 CLS", "Avg p75 INP (ms)",
-                    "% good LCP"],
-        ["device_type", "avg_health_score", "avg_p75_lcp_ms", "avg_p75_cls", "avg_p75_inp_ms",
-         f"{txt('good_lcp_pct')} || '%'"], "avg_health_score DESC NULLS LAST, device_type ASC NULLS FIRST"))
-    acts = "SELECT DISTINCT metric, probable_cause, recommended_action FROM reg_events"
-    parts.append(f"""(WITH a AS (SELECT *, row_number() OVER (ORDER BY metric, probable_cause, recommended_action)
-    AS rn FROM ({acts}))
- SELECT 7, CAST(2 * rn - 1 AS INTEGER), '- **' || metric || '**: ' || probable_cause FROM a
- UNION ALL SELECT 7, CAST(2 * rn AS INTEGER), '  - _Action:_ ' || recommended_action FROM a
- UNION ALL SELECT 7, 1, {s(NO_ACTION)} FROM (SELECT count(*) AS n FROM a) WHERE n = 0)""")
+        say(["severity"], ": ", ["metric"], " of ", ["route"], " on ", ["device_type"], " since ", ["release_version"],
+            ", ", ["baseline_value"], " to ", ["current_value"], " (", ["delta_percent"], " %)"), _SEV_ORDER))
+    devices = (f"SELECT device_type, {_SUMMARY}, {exact_mean('good_lcp_rate', 4, 1, 100)} AS good_lcp_pct "
+               "FROM daily GROUP BY device_type")
+    parts.append(listed(6, 1, devices, say(["device_type"], ": ", *vitals, ", good LCP ", ["good_lcp_pct"], " %"),
+                        "avg_health_score DESC NULLS LAST, device_type NULLS FIRST"))
+    parts.append(listed(7, 1, "SELECT DISTINCT metric, probable_cause, recommended_action FROM reg_events",
+                        say(["metric"], ": ", ["probable_cause"], " ", ["recommended_action"]), "metric, probable_cause"))
     body = "SELECT CAST(section AS INTEGER) AS section, CAST(line_no AS INTEGER) AS line_no, line FROM (\n" + \
-        "\nUNION ALL\n".join(f"SELECT * FROM ({p})" if p.startswith("(") else p for p in parts) + "\n)"
+        "\nUNION ALL\n".join(f"SELECT * FROM ({p})" for p in parts) + "\n)"
     return with_ctes(body, "daily", "route_summary", "before_after", "reg_events")
 
 
@@ -360,7 +339,7 @@ def oracle_sql() -> dict[str, str]:
         f"CAST(count_if(coalesce({keep_nonneg} AND route IS NOT NULL AND device_type IN {VALID}, false)) "
         "AS BIGINT) AS rows_out, "
         + ", ".join(f"count(CASE WHEN {c} < 0 THEN 1 END) AS negatives_{c}" for c in NONNEG_PAGE)
-        + " FROM pl_enriched", "pl_enriched")
+        + " FROM pl_norm", "pl_norm")
     q["quality_clean"] = with_ctes(
         "SELECT event_id, event_date, route, device_type, device_id, connection_type, release_version, "
         "lcp_ms, cls, inp_ms, ttfb_ms, device_class, network_profile FROM page_loads", "page_loads")
@@ -441,4 +420,8 @@ def oracle_sql() -> dict[str, str]:
         + ", ".join(f"{good_rate(c, g)} AS good_{st}_rate" for c, st, g, _ in li)
         + " FROM lineitem GROUP BY l_returnflag, l_linestatus, year(l_shipdate)")
     q["summary_lines"] = summary_sql()
+    q["metric_events"] = q["regression_events"]
+    q["daily_from_partials"] = q["daily_vitals"]
+    q["breakdown_from_partials"] = q["device_breakdown"]
+    q["releases_from_partials"] = q["release_aggregates"]
     return q

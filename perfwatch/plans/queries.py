@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perfwatch.config import (
+    DEFAULT_THRESHOLDS,
     DEVICE_QUALITY,
     FIELD_QUALITY,
     LAB_QUALITY,
@@ -21,6 +22,7 @@ from perfwatch.config import (
 )
 from perfwatch.functions.routes import canonical_route, url_path
 from perfwatch.operators import enrich, normalize, quality, rankings, regressions, releases, reports, rollups
+from perfwatch.plans.lineage import cut
 from perfwatch.sources import adapters
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -52,10 +54,9 @@ class DriverTables:
             normalize.normalize_devices(adapters.devices_from_nation(self.table("nation"))), DEVICE_QUALITY)
 
     def page_loads(self) -> DataFrame:
-        """P3 without the write: normalise, enrich with devices, gate."""
+        """P3 without the write: normalise, gate, enrich with devices."""
         normalized = normalize.normalize_page_loads(self.page_loads_raw())
-        return quality.apply_quality(enrich.enrich_with_devices(normalized, self.devices()),
-                                     PAGE_LOAD_QUALITY)
+        return enrich.enrich_with_devices(quality.apply_quality(normalized, PAGE_LOAD_QUALITY), self.devices())
 
     def lab(self) -> DataFrame:
         return quality.apply_quality(normalize.normalize_lab(self.lab_raw()), LAB_QUALITY)
@@ -64,6 +65,15 @@ class DriverTables:
     def daily(self) -> DataFrame:
         return rollups.daily_vitals(self.page_loads())
 
+    def latest_rankings(self) -> DataFrame:
+        """Rankings of the latest day: ranks never reach across days, so only
+        that day's page loads are rolled up."""
+        loads = quality.latest_date_slice(self.page_loads(), "event_date")
+        return rankings.route_rankings(rollups.daily_vitals(loads), self.lab())
+
+    def curated_partials(self) -> DataFrame:
+        return rollups.curated_partials(self.page_loads())
+
     def rankings(self) -> DataFrame:
         return rankings.route_rankings(self.daily(), self.lab())
 
@@ -124,7 +134,7 @@ def page_url_routes(t: DriverTables) -> DataFrame:
 
 def quality_counts(t: DriverTables) -> DataFrame:
     normalized = normalize.normalize_page_loads(t.page_loads_raw())
-    return quality.quality_metrics(enrich.enrich_with_devices(normalized, t.devices()), PAGE_LOAD_QUALITY)
+    return quality.quality_metrics(normalized, PAGE_LOAD_QUALITY)
 
 
 def field_metrics_clean(t: DriverTables) -> DataFrame:
@@ -139,16 +149,24 @@ def lab_clean(t: DriverTables) -> DataFrame:
 
 
 def summary_lines(t: DriverTables) -> DataFrame:
-    """RP over the curated frames.  The daily rollup and the release pairs
-    feed several sections each, so they are persisted (both are aggregates,
-    bounded by routes x devices x days/releases; the cache keeps lineage, so
-    a lost block is recomputed, not lost)."""
-    daily = t.daily().persist()
-    pairs = t.pairs().persist()
+    """RP over the curated frames, each computed once."""
+    daily, pairs = cut(t.daily()), cut(t.pairs())
     return reports.summary_lines(daily, releases.before_after(pairs), regressions.detect_regressions(pairs),
                                  generated_at=F.lit("(run time)"))
 
 
+def worst_route_breakdown(t: DriverTables) -> DataFrame:
+    """T11 with the route found first: page loads of other routes are never rolled up."""
+    loads = reports.of_worst_route(t.latest_rankings(), t.page_loads())
+    return reports.breakdown_head(rollups.device_breakdown(loads))
+
+
+def metric_events(t: DriverTables) -> DataFrame:
+    """U1 over D7: the events of each metric by itself, stacked."""
+    pairs = cut(t.pairs())
+    return regressions.union_events([regressions.metric_events(pairs, r) for r in DEFAULT_THRESHOLDS.rules()])
+
+
 def device_dedupe(t: DriverTables) -> DataFrame:
     return normalize.normalize_devices(adapters.device_records_from_events(t.table("events")))
 
@@ -182,15 +200,19 @@ QUERIES: dict[str, Callable[[DriverTables], DataFrame]] = {
     "top_improvements": lambda t: reports.top_improvements(t.before_after()),
     "top_regressions": lambda t: reports.top_regressions(t.events()),
     "recommended_actions": lambda t: reports.recommended_actions(t.events()),
-    "worst_now": lambda t: reports.worst_now(t.rankings()),
+    "worst_now": lambda t: reports.last_ranked(t.latest_rankings()),
     "active_regressions": lambda t: reports.active_regressions(t.events()),
-    "worst_route_breakdown": lambda t: reports.worst_route_breakdown(t.rankings(), t.breakdown()),
+    "worst_route_breakdown": worst_route_breakdown,
     "export_rankings": lambda t: reports.export_rankings(t.rankings()),
     "export_regressions": lambda t: reports.export_regressions(t.events()),
     "export_before_after": lambda t: reports.export_before_after(t.before_after()),
     "export_breakdown": lambda t: reports.export_breakdown(t.breakdown()),
     "summary_lines": summary_lines,
     "order_vitals": order_vitals,
+    "metric_events": metric_events,
+    "daily_from_partials": lambda t: rollups.daily_from_partials(t.curated_partials()),
+    "breakdown_from_partials": lambda t: rollups.breakdown_from_partials(t.curated_partials()),
+    "releases_from_partials": lambda t: releases.release_aggregates_from_partials(t.curated_partials()),
 }
 
 

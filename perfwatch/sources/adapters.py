@@ -12,10 +12,12 @@ scales with the table.
 * ``routes_from_pages``         -> raw routes taken from page URLs
 
 The spellings are deliberately dirty (mixed case, query strings, aliases,
-unknown device types, NULL routes, a negative LCP now and then, NULL INPs)
-so that normalisation and the quality gate have work to do, and metric
-shifts are seeded per release so that regressions exist.  Releases are
-named so that their names do not sort in time order.
+unknown device types, NULL routes, device ids and releases, negative values
+in every gated column now and then, NULL INPs) so that normalisation and the
+quality gate have work to do, and metric shifts are seeded per release so
+that regressions exist, one of them over a CLS of 0.  Releases are named so
+that their names do not sort in time order; two start on the same days on
+one route.
 """
 from __future__ import annotations
 
@@ -29,13 +31,16 @@ RAW_ROUTE = """CASE WHEN event_id % 97 = 0 THEN CAST(NULL AS STRING)
 RAW_DEVICE = """CASE WHEN user_id % 7 IN (0, 1) THEN 'Phone' WHEN user_id % 7 IN (2, 3) THEN ' PC '
   WHEN user_id % 7 = 4 THEN 'iPad' WHEN user_id % 7 = 5 THEN 'desktop' ELSE 'smartwatch' END"""
 CONNECTION = "CASE WHEN user_id % 3 = 0 THEN 'wifi' WHEN user_id % 3 = 1 THEN '4G' ELSE '3G' END"
-RELEASE = "CASE WHEN day(ts) <= 10 THEN 'r-b' WHEN day(ts) <= 20 THEN 'r-a' ELSE 'r-c' END"
+RELEASE = """CASE WHEN event_id % 211 = 0 THEN CAST(NULL AS STRING)
+  WHEN event_id % 6 = 4 AND day(ts) > 20 THEN (CASE WHEN user_id % 2 = 0 THEN 'r-d' ELSE 'r-e' END)
+  WHEN day(ts) <= 10 THEN 'r-b' WHEN day(ts) <= 20 THEN 'r-a' ELSE 'r-c' END"""
 LCP = """CASE WHEN event_id % 101 = 0 THEN CAST(-1.0 AS DOUBLE)
   ELSE (1000 + value * CAST(15.0371 AS DOUBLE))
      * (CASE WHEN event_id % 6 = 3 AND day(ts) BETWEEN 11 AND 20 THEN CAST(1.5 AS DOUBLE)
              ELSE CAST(1.0 AS DOUBLE) END) END"""
 CLS = """CAST(event_id % 89 AS DOUBLE) / CAST(1013.7 AS DOUBLE)
-  * CAST(CASE WHEN event_id % 6 = 3 AND day(ts) BETWEEN 11 AND 20 THEN 3 ELSE 1 END AS DOUBLE)"""
+  * CAST(CASE WHEN event_id % 6 = 3 AND day(ts) BETWEEN 11 AND 20 THEN 3
+              WHEN event_id % 6 = 4 AND day(ts) <= 10 THEN 0 ELSE 1 END AS DOUBLE)"""
 INP = """CASE WHEN event_id % 103 = 0 THEN CAST(NULL AS DOUBLE)
   ELSE (80 + value * CAST(1.0137 AS DOUBLE))
      * (CASE WHEN event_id % 6 = 2 AND user_id % 7 IN (0, 1) AND day(ts) > 20
@@ -43,7 +48,12 @@ INP = """CASE WHEN event_id % 103 = 0 THEN CAST(NULL AS DOUBLE)
 TTFB = """(300 + value * CAST(4.0193 AS DOUBLE))
   * (CASE WHEN event_id % 6 = 5 AND day(ts) BETWEEN 11 AND 20 THEN CAST(1.8 AS DOUBLE)
           ELSE CAST(1.0 AS DOUBLE) END)"""
-DEVICE_ID = "CAST(user_id % 30 AS STRING)"
+FCP = """CASE WHEN event_id % 107 = 0 THEN CAST(-5.0 AS DOUBLE) WHEN event_id % 5 = 0 THEN CAST(NULL AS DOUBLE)
+  ELSE 500 + value * CAST(7.3 AS DOUBLE) END"""
+PAGE_WEIGHT = "CASE WHEN event_id % 109 = 0 THEN CAST(-1.0 AS DOUBLE) ELSE 100 + value * CAST(2.5 AS DOUBLE) END"
+JS_ERRORS = "CAST(CASE WHEN event_id % 113 = 0 THEN -1 ELSE event_id % 3 END AS INT)"
+REQUESTS = "CASE WHEN event_id % 127 = 0 THEN CAST(-2.0 AS DOUBLE) ELSE CAST(20 + event_id % 60 AS DOUBLE) END"
+DEVICE_ID = "CASE WHEN user_id % 41 = 0 THEN CAST(NULL AS STRING) ELSE CAST(user_id % 30 AS STRING) END"
 LAB_ENVIRONMENT = "CASE WHEN event_type = 'error' THEN 'staging' ELSE 'production' END"
 LAB_SCORE = "CAST(100.0 AS DOUBLE) - value * CAST(0.1973 AS DOUBLE)"
 SHOP_ORIGIN = "'https://shop.example.com'"
@@ -65,7 +75,7 @@ PAGE_LOAD_EXPRS = (
     (NULL_S, "browser"), (NULL_S, "os"), (NULL_S, "country"),
     (CONNECTION, "connection_type"),
     (LCP, "lcp_ms"), (CLS, "cls"), (INP, "inp_ms"), (TTFB, "ttfb_ms"),
-    (NULL_D, "fcp_ms"), (NULL_D, "page_weight_kb"), (NULL_I, "js_error_count"),
+    (FCP, "fcp_ms"), (PAGE_WEIGHT, "page_weight_kb"), (JS_ERRORS, "js_error_count"),
     (NULL_D, "api_latency_ms"), (NULL_S, "cache_status"),
     (RELEASE, "release_version"),
 )
@@ -79,11 +89,11 @@ LAB_REPORT_EXPRS = (
     (LAB_ENVIRONMENT, "environment"),
     (NULL_S, "git_commit"),
     (RELEASE, "release_version"),
-    (LCP, "lcp_ms"), (CLS, "cls"), (INP, "inp_ms"), (NULL_D, "fcp_ms"), (TTFB, "ttfb_ms"),
+    (LCP, "lcp_ms"), (CLS, "cls"), (INP, "inp_ms"), (FCP, "fcp_ms"), (TTFB, "ttfb_ms"),
     (NULL_D, "speed_index_ms"), (NULL_D, "total_blocking_time_ms"),
     (LAB_SCORE, "performance_score"),
     (NULL_D, "accessibility_score"), (NULL_D, "best_practices_score"), (NULL_D, "seo_score"),
-    (NULL_D, "request_count"), (NULL_D, "js_transfer_kb"), (NULL_D, "css_transfer_kb"),
+    (REQUESTS, "request_count"), (NULL_D, "js_transfer_kb"), (NULL_D, "css_transfer_kb"),
     (NULL_D, "image_transfer_kb"), (NULL_D, "total_transfer_kb"),
 )
 

@@ -1,7 +1,9 @@
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
+from perfwatch.functions.stats import mean_of_rounded
 from perfwatch.operators import reports
 from perfwatch.operators.enrich import enrich_with_devices
 from perfwatch.operators.rankings import route_rankings
@@ -17,16 +19,15 @@ from perfwatch.operators.rollups import (
 )
 
 
-def test_daily_vitals_known_answers(page_logs):
-    rows = [("/", "mobile", "v1", "2026-05-01", float(v), 0.01 * i, 100.0 + 50 * i, 700.0 + 100 * i)
-            for i, v in enumerate([1000, 2000, 3000, 4000])]
+def test_daily_vitals_known_answers(page_logs, load):
+    rows = [load(7, "n", lcp=v, cls=0.03 * i, inp=90.0 + 60 * i, ttfb=250.0 + 50 * i)
+            for i, v in enumerate([800.0, 1700.0, 2600.0, 3500.0])]
     r = daily_vitals(page_logs(rows)).first()
-    assert (r.date, r.sample_count, r.avg_lcp_ms, r.p75_lcp_ms) == (date(2026, 5, 1), 4, 2500.0, 3000.0)
-    assert (r.p75_cls, r.p75_inp_ms, r.avg_ttfb_ms) == (0.02, 200.0, 850.0)
-    # LCP <= 2500: 2 of 4; INP <= 200: 100, 150, 200 -> 3 of 4; CLS all good
-    assert (r.good_lcp_rate, r.good_inp_rate, r.good_cls_rate) == (0.5, 0.75, 1.0)
-    # scores: LCP 100, CLS 100, INP 100*(2-175/200)=... weighted then x 4/30
-    assert 0 < r.overall_health_score < 20
+    assert (r.date, r.sample_count, r.avg_lcp_ms, r.p75_lcp_ms) == (date(2031, 3, 7), 4, 2150.0, 2600.0)
+    assert (r.p75_cls, r.p75_inp_ms, r.avg_ttfb_ms) == (0.06, 210.0, 325.0)
+    # good: LCP up to 2500 in 2 of 4, INP up to 200 in 90 and 150, CLS up to 0.1 in all
+    assert (r.good_lcp_rate, r.good_inp_rate, r.good_cls_rate) == (0.5, 0.5, 1.0)
+    assert 0 < r.overall_health_score < 100 * 4 / 30
 
 
 def test_device_breakdown_keeps_unmatched_devices(spark):
@@ -44,13 +45,11 @@ def test_device_breakdown_keeps_unmatched_devices(spark):
     assert got == {"low-end": (1, "low"), None: (2, "critical")}
 
 
-def test_rankings_dense_ranks_and_null_lab_score(spark, page_logs):
-    rows = [("/a", "mobile", "v1", "2026-05-01", 1000.0, 0.01, 100.0, 300.0),
-            ("/b", "mobile", "v1", "2026-05-01", 3000.0, 0.01, 100.0, 300.0),
-            ("/c", "mobile", "v1", "2026-05-01", 3000.0, 0.2, 100.0, 300.0)]
+def test_rankings_dense_ranks_and_null_lab_score(spark, page_logs, load):
+    rows = [load(9, "n", "/a", lcp=1000.0), load(9, "n", "/b", lcp=3000.0), load(9, "n", "/c", lcp=3000.0, cls=0.2)]
     daily = daily_vitals(page_logs(rows))
-    lab = spark.createDataFrame([("2026-05-01", "/a", "mobile", 60.0), ("2026-05-01", "/a", "mobile", 80.0),
-                                 ("2026-05-01", "/b", "mobile", 90.0)],
+    lab = spark.createDataFrame([("2031-03-09", "/a", "tablet", 60.0), ("2031-03-09", "/a", "tablet", 80.0),
+                                 ("2031-03-09", "/b", "tablet", 90.0)],
                                 "d string, route string, device_type string, performance_score double"
                                 ).withColumn("report_date", F.to_date("d"))
     got = {r.route: r for r in route_rankings(daily, lab).collect()}
@@ -63,21 +62,20 @@ def test_rankings_dense_ranks_and_null_lab_score(spark, page_logs):
                                          "rank_inp", "risk_level"]
 
 
-def _curated(page_logs):
-    rows = []
-    for day, rel, lcp in [("2026-05-01", "v1", 1500.0), ("2026-05-02", "v1", 1600.0),
-                          ("2026-05-03", "v2", 2600.0), ("2026-05-04", "v2", 2700.0)]:
-        for route, dev in [("/", "mobile"), ("/cart", "desktop"), ("/x", "tablet")]:
-            rows.append((route, dev, rel, day, lcp, 0.02, 120.0, 400.0))
-    pl = page_logs(rows)
-    pairs = release_pairs(release_aggregates(pl))
-    return daily_vitals(pl), before_after(pairs), detect_regressions(pairs)
+@pytest.fixture
+def curated(page_logs, load):
+    rows = [load(day, release, route, device, lcp=lcp)
+            for day, release, lcp in ((11, "n", 1500.0), (12, "n", 1600.0), (13, "o", 2600.0), (14, "o", 2700.0))
+            for route, device in (("/a", "mobile"), ("/b", "desktop"), ("/c", "tablet"))]
+    loads = page_logs(rows)
+    pairs = release_pairs(release_aggregates(loads))
+    return daily_vitals(loads), before_after(pairs), detect_regressions(pairs)
 
 
-def test_report_aggregates_and_top_lists(page_logs):
-    daily, comparisons, events = _curated(page_logs)
+def test_report_aggregates_and_top_lists(curated):
+    daily, comparisons, events = curated
     o = overall_health(daily).first()
-    assert (o.total_samples, o.routes, str(o.start_date), str(o.end_date)) == (12, 3, "2026-05-01", "2026-05-04")
+    assert (o.total_samples, o.routes, str(o.start_date), str(o.end_date)) == (12, 3, "2031-03-11", "2031-03-14")
     assert route_summary(daily).count() == 3
     assert [r.device_type for r in device_summary(daily).collect()] == ["desktop", "mobile", "tablet"]
     assert health_trend_pivot(daily).columns == ["date", "mobile", "desktop", "tablet"]
@@ -86,40 +84,70 @@ def test_report_aggregates_and_top_lists(page_logs):
     assert [r.metric for r in reports.recommended_actions(events).collect()] == ["LCP"]
 
 
-def test_summary_lines_sections_and_empty_tables(spark, page_logs):
-    daily, comparisons, events = _curated(page_logs)
-    lines = reports.summary_lines(daily, comparisons, events, generated_at=F.lit("now"))
-    text = [r.line for r in lines.orderBy("section", "line_no").collect()]
-    assert text[0] == "# Web Vitals Summary" and "_Generated now_" in text
-    assert any(t.startswith("- **Field samples:** 12") for t in text)
-    # no improved pair -> that table prints the no-data line
-    i = text.index("## Biggest improvements between releases")
-    assert text[i + 1] == reports.NO_DATA
-    empty = daily.limit(0)
-    text2 = [r.line for r in reports.summary_lines(empty, comparisons.limit(0), events.limit(0),
-                                                   F.lit("now")).orderBy("section", "line_no").collect()]
-    assert reports.NO_ACTION in text2 and text2.count(reports.NO_DATA) == 6
-    assert any(t == "- **Field samples:** None" for t in text2)
-
-
-def test_worst_route_breakdown_uses_top_route(spark, page_logs):
-    rows = [("/slow", "mobile", "v1", "2026-05-01", 4000.0, 0.01, 100.0, 300.0),
-            ("/fast", "mobile", "v1", "2026-05-01", 1000.0, 0.01, 100.0, 300.0)]
-    pl = page_logs(rows).withColumn("device_class", F.lit("low-end")).withColumn("connection_type", F.lit("4G"))
-    lab = spark.createDataFrame([("2026-05-01", "/slow", "mobile", 20.0), ("2026-05-01", "/fast", "mobile", 90.0)],
+def digest(*frames):
+    lines = reports.summary_lines(*frames, generated_at=F.lit("now")).orderBy("section", "line_no").collect()
+    sections: dict = {}
+    for r in lines:
+        sections.setdefault(r.section, []).append(r.line)
+    assert all(list(range(len(v))) == [r.line_no for r in lines if r.section == k] for k, v in sections.items())
+    return sections
+
+
+def test_digest(curated):
+    found = digest(*curated)
+    assert found[0] == ["PERFWATCH DIGEST, now"] and [found[i][0] for i in range(1, 8)] == list(reports.SECTIONS)
+    assert found[1][1].startswith("2031-03-11 to 2031-03-14: 12 page loads on 3 routes, mean health ")
+    assert [line.split(":")[0] for line in found[1][2:]] == [f"2031-03-14 {d}" for d in ("desktop", "mobile", "tablet")]
+    assert found[4][1:] == [reports.NOTHING] and len(found[5]) == 4 and len(found[7]) == 2
+    assert found[5][1] == "critical: LCP of /a on mobile since o, 1600.0 to 2700.0 (68.75 %)"
+
+
+def test_digest_of_nothing(curated):
+    found = digest(*(frame.limit(0) for frame in curated))
+    assert found[1][1] == "- to -: - page loads on 0 routes, mean health - of 100"
+    assert all(lines[-1] == reports.NOTHING for section, lines in found.items() if section > 0)
+
+
+def test_means_keep_every_value(spark):
+    df = spark.createDataFrame([("nan", float("nan")), ("nan", 1.0), ("inf", float("inf")), ("inf", 2.0), ("big", 1e18),
+                                ("big", 0.0), ("tie", 0.1), ("tie", 0.2), ("tie", None)], "k string, v double")
+    got = {r.k: r.m for r in df.groupBy("k").agg(mean_of_rounded("v", 1, 1).alias("m")).collect()}
+    assert str(got["nan"]) == "nan" and got["inf"] == float("inf") and got["big"] == 5e17 and got["tie"] == 0.2
+
+
+def test_exports_are_ordered(curated, spark):
+    daily, comparisons, events = curated
+    lab = spark.createDataFrame([], "report_date date, route string, device_type string, performance_score double")
+    for frame, keys in ((reports.export_rankings(route_rankings(daily, lab)), ("date", "device_type", "rank_overall", "route")),
+                        (reports.export_before_after(comparisons), ("route", "device_type", "before_release"))):
+        rows = [tuple(r[k] for k in keys) for r in frame.collect()]
+        assert rows == sorted(rows) and rows
+    dates = [e.detected_at for e in reports.export_regressions(events).collect()]
+    assert dates == sorted(dates, reverse=True)
+
+
+def test_worst_route_breakdown_uses_top_route(spark, page_logs, load):
+    loads = page_logs([load(9, "n", "/slow", lcp=4000.0), load(9, "n", "/fast", lcp=1000.0), load(8, "n", "/old", lcp=9000.0)])
+    loads = loads.withColumn("device_class", F.lit("low-end")).withColumn("connection_type", F.lit("4G"))
+    lab = spark.createDataFrame([("2031-03-09", "/slow", "tablet", 20.0), ("2031-03-09", "/fast", "tablet", 90.0),
+                                 ("2031-03-08", "/old", "tablet", 1.0)],
                                 "d string, route string, device_type string, performance_score double"
                                 ).withColumn("report_date", F.to_date("d"))
-    ranked = route_rankings(daily_vitals(pl), lab)
+    ranked = route_rankings(daily_vitals(loads), lab)
     assert [r.route for r in reports.worst_now(ranked).collect()] == ["/slow", "/fast"]
-    assert {r.route for r in reports.worst_route_breakdown(ranked, device_breakdown(pl)).collect()} == {"/slow"}
+    whole = reports.worst_route_breakdown(ranked, device_breakdown(loads)).collect()
+    day = ranked.where("date = '2031-03-09'")
+    first = reports.breakdown_head(device_breakdown(reports.of_worst_route(day, loads))).collect()
+    assert [r.asDict() for r in whole] == [r.asDict() for r in first]
+    assert {r.route for r in whole} == {"/slow"}
 
 
-def test_enrich_broadcast_policy(spark):
-    loads = spark.createDataFrame([("d1", 1.0), ("d2", 2.0), ("zz", 3.0)], "device_id string, lcp_ms double")
-    devices = spark.createDataFrame([("d1", "low-end", "3G"), ("d2", "mid-range", "4G")],
+def test_enrichment_keeps_rows_without_an_id(spark):
+    loads = spark.createDataFrame([("d1", 1.0), (None, 2.0), ("", 3.0), (None, 4.0), ("zz", 5.0)], "device_id string, lcp_ms double")
+    devices = spark.createDataFrame([("d1", "low-end", "3G"), ("", "odd", "4G"), (None, "none", "5G")],
                                     "device_id string, device_class string, network_profile string")
-    small = enrich_with_devices(loads, devices, broadcast_max_rows=10)
-    big = enrich_with_devices(loads, devices, broadcast_max_rows=1)
-    assert "broadcast" in str(small._jdf.queryExecution().logical()).lower()
-    assert "broadcast" not in str(big._jdf.queryExecution().logical()).lower()
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
+    for limit in ("10MB", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        got = sorted((r.lcp_ms, r.device_class) for r in enrich_with_devices(loads, devices).collect())
+        assert got == [(1.0, "low-end"), (2.0, None), (3.0, "odd"), (4.0, None), (5.0, None)]
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
