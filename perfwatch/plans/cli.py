@@ -11,11 +11,14 @@ checkpoint folder come from ``spark-submit`` / ``spark-defaults.conf``.
 from __future__ import annotations
 
 import argparse
+import dataclasses
+import inspect
 import json
 import logging
 
 from pyspark.sql import SparkSession
 
+from perfwatch.config import RegressionThresholds
 from perfwatch.plans import jobs
 
 JOBS = {
@@ -33,12 +36,19 @@ def main(argv=None) -> dict:
     parser = argparse.ArgumentParser(prog="perfwatch", description="web-vitals pipeline jobs")
     parser.add_argument("job", choices=sorted(JOBS))
     parser.add_argument("--root", required=True, help="shared folder holding raw/, processed/, curated/, reports/")
+    limits = parser.add_argument_group("regression limits")
+    for field in dataclasses.fields(RegressionThresholds):
+        limits.add_argument(f"--{field.name.replace('_', '-')}", type=float, default=field.default,
+                            help=f"default {field.default}")
     args = parser.parse_args(argv)
+    thresholds = RegressionThresholds(**{f.name: getattr(args, f.name) for f in dataclasses.fields(RegressionThresholds)})
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
     spark = (SparkSession.builder.appName(f"perfwatch-{args.job}")
              .config("spark.sql.session.timeZone", "UTC")
              .getOrCreate())
-    result = JOBS[args.job](spark, jobs.Layout(args.root.rstrip("/")))
+    job = JOBS[args.job]
+    takes = {"thresholds": thresholds} if "thresholds" in inspect.signature(job).parameters else {}
+    result = job(spark, jobs.Layout(args.root.rstrip("/")), **takes)
     print(json.dumps(result, default=str))
     return result
 

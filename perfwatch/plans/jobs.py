@@ -15,14 +15,28 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from perfwatch.config import DEVICE_QUALITY, FIELD_QUALITY, LAB_QUALITY, PAGE_LOAD_QUALITY
+from perfwatch.config import (
+    DEFAULT_THRESHOLDS,
+    DEVICE_QUALITY,
+    FIELD_QUALITY,
+    LAB_QUALITY,
+    PAGE_LOAD_QUALITY,
+    RegressionThresholds,
+)
 from perfwatch.operators import enrich, normalize, quality, rankings, regressions, releases, reports, rollups
 from perfwatch.sources import readers, sinks
 
 log = logging.getLogger("perfwatch")
 
-# P3 broadcasts the device dimension up to this many rows (~40 MB in memory).
-DEVICE_BROADCAST_MAX_ROWS = 1_000_000
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+
+
+def require_utc(spark: SparkSession) -> None:
+    """Days are cut from timestamps in the session's time zone; any other
+    than UTC would move rows between days."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in UTC_NAMES:
+        raise ValueError(f"spark.sql.session.timeZone is {zone!r}; the jobs need 'UTC'")
 
 
 @dataclass(frozen=True)
@@ -43,6 +57,9 @@ class Layout:
     def report(self, name: str) -> str:
         return f"{self.root}/reports/{name}"
 
+    def scratch(self, name: str) -> str:
+        return f"{self.root}/_scratch/{name}"
+
 
 def concurrently(**actions) -> dict:
     """Run independent actions (each ends in its own Spark job) from separate
@@ -68,6 +85,7 @@ def _gate_log(table: str, obs: Observation) -> dict:
 def ingest_lab(spark: SparkSession, layout: Layout, raw: DataFrame | None = None) -> dict:
     """Lab reports -> normalised, production-only, gated ->
     processed/lab_reports partitioned by report_date."""
+    require_utc(spark)
     raw = raw if raw is not None else readers.read_lab_reports(spark, layout.raw("lab_reports"))
     obs = Observation("gate:lab_reports")
     clean = quality.apply_quality(normalize.normalize_lab(raw), LAB_QUALITY, obs)
@@ -79,6 +97,7 @@ def ingest_field_metrics(spark: SparkSession, layout: Layout, raw: DataFrame | N
     """Field metrics -> normalised, gated (incl. sample_count > 0) ->
     processed/field_metrics partitioned by date.  Nothing downstream reads
     it; it is kept as a processed table for ad-hoc use."""
+    require_utc(spark)
     raw = raw if raw is not None else readers.read_field_metrics(spark, layout.raw("field_metrics"))
     obs = Observation("gate:field_metrics")
     clean = quality.apply_quality(normalize.normalize_field_metrics(raw), FIELD_QUALITY, obs)
@@ -89,8 +108,11 @@ def ingest_field_metrics(spark: SparkSession, layout: Layout, raw: DataFrame | N
 def ingest_page_loads(spark: SparkSession, layout: Layout, raw: DataFrame | None = None,
                       raw_devices: DataFrame | None = None) -> dict:
     """Devices -> deduped, gated -> processed/devices; page loads ->
-    normalised, enriched with devices, gated -> processed/page_loads
-    partitioned by event_date.  The join reads the written device table."""
+    normalised, gated, enriched with devices -> processed/page_loads
+    partitioned by event_date.  Every gate rule looks at page-load columns
+    only, so rows that fail are dropped before the join; the join reads the
+    written device table."""
+    require_utc(spark)
     raw_devices = raw_devices if raw_devices is not None else readers.read_devices(spark, layout.raw("devices"))
     dev_obs = Observation("gate:devices")
     devices = quality.apply_quality(normalize.normalize_devices(raw_devices), DEVICE_QUALITY, dev_obs)
@@ -99,35 +121,36 @@ def ingest_page_loads(spark: SparkSession, layout: Layout, raw: DataFrame | None
 
     raw = raw if raw is not None else readers.read_page_loads(spark, layout.raw("page_loads"))
     obs = Observation("gate:page_loads")
-    enriched = enrich.enrich_with_devices(normalize.normalize_page_loads(raw),
-                                          readers.read_layer(spark, layout.processed("devices")),
-                                          broadcast_max_rows=DEVICE_BROADCAST_MAX_ROWS)
-    clean = quality.apply_quality(enriched, PAGE_LOAD_QUALITY, obs)
+    passed = quality.apply_quality(normalize.normalize_page_loads(raw), PAGE_LOAD_QUALITY, obs)
+    clean = enrich.enrich_with_devices(passed, readers.read_layer(spark, layout.processed("devices")))
     rows = sinks.write_partitioned(clean, layout.processed("page_loads"), "event_date")
     return {"devices": device_rows, "rows": rows, "gate": _gate_log("page_loads", obs)}
 
 
-def lineage_cut(spark: SparkSession, df: DataFrame, layout: Layout) -> DataFrame:
-    """Materialise ``df`` with a reliable checkpoint in the folder the session
-    names (``spark.checkpoint.dir``); only when none is configured, a folder
-    under the layout root (shared storage) is used."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or f"{layout.root}/_checkpoints")
-    return df.checkpoint(eager=True)
+def processed_page_loads(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The page loads of the batch job and, where there is one, those of the
+    streaming ingest, which keeps a table of its own."""
+    batch = readers.read_layer(spark, layout.processed("page_loads"))
+    if not sinks.exists(spark, layout.processed("page_loads_stream")):
+        return batch
+    stream = readers.read_layer(spark, layout.processed("page_loads_stream"))
+    return batch.unionByName(stream.select(*batch.columns))
 
 
-def build_curated(spark: SparkSession, layout: Layout) -> dict:
+def build_curated(spark: SparkSession, layout: Layout, thresholds: RegressionThresholds = DEFAULT_THRESHOLDS) -> dict:
     """Daily rollup, rankings, device breakdown, release aggregates and
     before/after comparisons.
 
-    The page loads are scanned and shuffled once: the stage-1 partials of
-    the three rollups are checkpointed and each rollup merges them.
-    Rankings read the written daily table; the before/after table reads the
-    written release aggregates."""
-    page_loads = readers.read_layer(spark, layout.processed("page_loads"))
+    The page loads are scanned and shuffled once: the partials of the three
+    rollups are written as a Parquet table, of which each rollup reads the
+    columns and metrics it needs, and which is removed in the end.  Rankings
+    read the written daily table; the before/after table reads the written
+    release aggregates."""
+    require_utc(spark)
     lab = readers.read_layer(spark, layout.processed("lab_reports"))
-    partials = lineage_cut(spark, rollups.curated_partials(page_loads), layout)
+    scratch = layout.scratch("curated_partials")
+    sinks.write_table(rollups.curated_partials(processed_page_loads(spark, layout)), scratch)
+    partials = readers.read_layer(spark, scratch)
 
     def daily_and_rankings():
         rows = sinks.write_partitioned(rollups.daily_from_partials(partials),
@@ -145,28 +168,29 @@ def build_curated(spark: SparkSession, layout: Layout) -> dict:
         rows = sinks.write_table(releases.release_aggregates_from_partials(partials),
                                  layout.curated("release_aggregates"))
         aggregates = readers.read_layer(spark, layout.curated("release_aggregates"))
-        compared = sinks.write_table(releases.before_after(releases.release_pairs(aggregates)),
+        compared = sinks.write_table(releases.before_after(releases.release_pairs(aggregates), thresholds),
                                      layout.curated("before_after_comparisons"))
         return rows, compared
 
-    done = concurrently(daily=daily_and_rankings, breakdown=breakdown, releases=releases_and_comparisons)
+    try:
+        done = concurrently(daily=daily_and_rankings, breakdown=breakdown, releases=releases_and_comparisons)
+    finally:
+        sinks.remove(spark, scratch)
     return {"daily": done["daily"][0], "rankings": done["daily"][1], "breakdown": done["breakdown"],
             "release_aggregates": done["releases"][0], "before_after": done["releases"][1]}
 
 
-def build_regressions(spark: SparkSession, layout: Layout, reuse_aggregates: bool = True) -> dict:
-    """P5: regression events.  Uses the release aggregates written by P4
-    when present (``reuse_aggregates``), otherwise recomputes them from the
-    processed page loads so the job can run on its own."""
-    aggregates = None
+def build_regressions(spark: SparkSession, layout: Layout, reuse_aggregates: bool = False,
+                      thresholds: RegressionThresholds = DEFAULT_THRESHOLDS) -> dict:
+    """P5: regression events, from the processed page loads.  With
+    ``reuse_aggregates`` the release aggregates that P4 has written are read
+    instead, however old they are: for callers that have just run P4."""
+    require_utc(spark)
     if reuse_aggregates:
-        try:
-            aggregates = readers.read_layer(spark, layout.curated("release_aggregates"))
-        except Exception:  # noqa: BLE001 - table not written yet
-            aggregates = None
-    if aggregates is None:
-        aggregates = releases.release_aggregates(readers.read_layer(spark, layout.processed("page_loads")))
-    events = regressions.detect_regressions(releases.release_pairs(aggregates))
+        aggregates = readers.read_layer(spark, layout.curated("release_aggregates"))
+    else:
+        aggregates = releases.release_aggregates(processed_page_loads(spark, layout))
+    events = regressions.detect_regressions(releases.release_pairs(aggregates), thresholds)
     rows = sinks.write_table(events, layout.curated("regression_events"))
     written = readers.read_layer(spark, layout.curated("regression_events"))
     by_severity = {r["severity"]: r["count"] for r in regressions.events_by_severity(written).collect()}
@@ -199,13 +223,16 @@ def build_reports(spark: SparkSession, layout: Layout, generated_at=None) -> dic
 
 def run_all(spark: SparkSession, layout: Layout, lab: DataFrame | None = None,
             field: DataFrame | None = None, page_loads: DataFrame | None = None,
-            devices: DataFrame | None = None, generated_at=None) -> dict:
-    """The three ingests side by side, then P4, P5 and P6."""
+            devices: DataFrame | None = None, generated_at=None,
+            thresholds: RegressionThresholds = DEFAULT_THRESHOLDS) -> dict:
+    """The three ingests side by side, then P4, P5 (on the release
+    aggregates P4 has just written) and P6."""
+    require_utc(spark)
     ingested = concurrently(
         lab=lambda: ingest_lab(spark, layout, lab),
         field=lambda: ingest_field_metrics(spark, layout, field),
         page_loads=lambda: ingest_page_loads(spark, layout, page_loads, devices),
     )
-    curated = build_curated(spark, layout)
-    return {**ingested, "curated": curated, "regressions": build_regressions(spark, layout),
+    curated = build_curated(spark, layout, thresholds)
+    return {**ingested, "curated": curated, "regressions": build_regressions(spark, layout, True, thresholds),
             "reports": build_reports(spark, layout, generated_at)}

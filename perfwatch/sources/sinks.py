@@ -7,7 +7,7 @@ replaced, as a rebuild should.  Row counts for logs come from an
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,17 +16,36 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def _path(spark: SparkSession, path: str):
+    """The path in whatever store it names, and that store's file system."""
+    jvm = spark.sparkContext._jvm
+    found = jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table has been written to ``path``."""
+    store, found = _path(spark, path)
+    return store.exists(found)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a table this library has written for its own use."""
+    store, found = _path(spark, path)
+    store.delete(found, True)
+
+
 def write_partitioned(df: DataFrame, path: str, partition_col: str, rebalance: bool = False) -> int:
     """Overwrite a parquet table partitioned by ``partition_col``;
     returns the number of rows written.
 
     Without ``rebalance`` no shuffle is added: the file writer sorts each
     task's rows by the partition column and keeps one file open per task.
-    That is the right choice for raw-sized ingest, where input files already
-    follow the date.  ``rebalance=True`` clusters rows by the partition
-    column first (the ``rebalance`` hint: AQE splits a hot date over several
-    tasks and merges small ones), for aggregate-sized curated tables where
-    the extra shuffle is cheap and well-sized files matter.
+    That is the right choice for raw-sized ingest whose files already follow
+    the date.  ``rebalance=True`` clusters rows by the partition column first
+    (the ``rebalance`` hint: AQE splits a hot date over several tasks and
+    merges small ones), for curated tables, and for raw input that is not laid
+    out by date, which would else leave a small file per task and date.
     """
     if rebalance:
         df = df.hint("rebalance", partition_col)
