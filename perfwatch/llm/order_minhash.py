@@ -15,8 +15,8 @@ shingles overlap by half (Jaccard) is missed with probability 0.001, by 0.4
 with 0.03.
 
 Equal texts are collapsed first.  Each remaining text is first compared with
-one leader of its buckets; only buckets that then still hold texts of
-different classes are compared across, in blocks of bounded size.  Every
+two leaders of each of its buckets; only buckets that then still hold texts
+of different classes are compared across, in blocks of bounded size.  Every
 candidate pair is thus verified or known to lie in one class.
 """
 from __future__ import annotations
@@ -170,8 +170,9 @@ def _sequence_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             words, first = word_hashes(data, bounds)
             short = words.astype("<u4")      # pairs are compared, not the corpus: 32 bits tell words apart
             bodies = [short[x:y].tobytes() for x, y in zip(first[:-1], first[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(bodies, pa.binary())],
-                                             names=["node", "sequence"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(i).slice(a, b - a) for i in (0, 2, 3)] + [pa.array(bodies, pa.binary())],
+                names=["node", "words", "bands", "sequence"])
 
 
 def aligned_similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
@@ -224,26 +225,39 @@ def _verify(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Reco
                                           pa.array([r[1] for r in rows], pa.int64())], names=["a", "b"])
 
 
-def _cross_pairs(table: pa.Table, least: float) -> pa.Table:
-    """Pairs of one block pair of a bucket: of different classes, of lengths
-    that allow the similarity, with enough equal bands.  A pair is told only
-    in the first band it shares."""
+def _cross_links(table: pa.Table, least: float) -> pa.Table:
+    """Verified links of one block pair of a bucket, between texts of different
+    classes whose lengths allow the similarity and that share enough bands.  A
+    pair is looked at only in the first band it shares, and no more once links
+    found before have joined its classes."""
     node, group, side, words = (table.column(c).to_numpy() for c in ("node", "root", "side", "words"))
     bands = np.array(table.column("bands").to_pylist(), dtype=np.int64)
+    texts = [np.frombuffer(s, "<u4") for s in table.column("sequence").to_pylist()]
     here = table.column("band")[0].as_py()
     square = side.min() == side.max()
     left, right = np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max())
+    above: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while x in above:
+            x = above[x]
+        return x
+
     a, b = [], []
     for i in left.tolist():
         fit = (group[right] != group[i]) & (words[right] >= least * words[i]) & (words[i] >= least * words[right])
         if square:
             fit &= node[right] > node[i]
         others = right[fit]
-        if len(others):
-            equal = bands[others] == bands[i]
-            hit = others[(equal.sum(axis=1) >= MIN_BANDS) & (bands[i][equal.argmax(axis=1)] == here)]
-            a += np.minimum(node[hit], node[i]).tolist()
-            b += np.maximum(node[hit], node[i]).tolist()
+        if not len(others):
+            continue
+        equal = bands[others] == bands[i]
+        for j in others[(equal.sum(axis=1) >= MIN_BANDS) & (bands[i][equal.argmax(axis=1)] == here)].tolist():
+            x, y = root(int(group[i])), root(int(group[j]))
+            if x != y and aligned_similarity(texts[i], texts[j], least) >= least:
+                above[max(x, y)] = min(x, y)
+                a.append(int(node[i]))
+                b.append(int(node[j]))
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
@@ -296,20 +310,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("t1", "t2", F.col("lead.doc").alias("doc"), F.col("lead.row").alias("node"), "copies", "bands", "words"))
     worded = nodes.filter("words > 0")
     keyed = worded.select("node", F.explode("bands").alias("band"))
-    leads = keyed.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    leads = keyed.groupBy("band").agg(F.array_distinct(F.array(F.min("node"), F.max("node"))).alias("leads")).filter(
+        F.size("leads") > 1)
     near = (
-        keyed.join(leads, "band").filter("node <> a").groupBy("a", F.col("node").alias("b"))
-        .agg(F.count("*").alias("agree")).filter(F.col("agree") >= MIN_BANDS))
-    # one leader per text: the one it agrees with most
-    first = near.groupBy("b").agg(F.max(F.struct("agree", (-F.col("a")).alias("near"))).alias("best")).select(
-        (-F.col("best.near")).alias("a"), "b")
+        keyed.join(leads, "band").select("node", F.explode("leads").alias("lead")).filter("node <> lead")
+        .groupBy(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).agg(F.count("*").alias("agree"))
+        .filter(F.col("agree") >= MIN_BANDS).select("a", "b"))
 
     shared = cut(keyed.join(leads.select("band"), "band").select("band", "node"))
     taking_part = shared.groupBy("node").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_BANDS).select("node")
-    wanted = worded.join(taking_part, "node").select("doc", "t1", "t2", "node")
+    wanted = worded.join(taking_part, "node").select("doc", "t1", "t2", "node", "words", "bands")
     sequences = cut(
-        source.join(wanted, ["doc", "t1", "t2"]).select("node", "text").mapInArrow(
-            _sequence_rows, "node long, sequence binary").dropDuplicates(["node"]))
+        source.join(wanted, ["doc", "t1", "t2"]).select("node", "text", "words", "bands").mapInArrow(
+            _sequence_rows, "node long, words long, bands array<long>, sequence binary").dropDuplicates(["node"]))
 
     def verified(pairs: DataFrame) -> DataFrame:
         left = sequences.select(F.col("node").alias("a"), F.col("sequence").alias("left"))
@@ -317,7 +330,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(
             lambda batches: _verify(batches, similarity), "a long, b long")
 
-    links = cut(verified(first))
+    links = cut(verified(near))
     classes = cut(components(links))
     # buckets that still hold more than one class, in blocks of at most BLOCK rows
     placed = shared.join(classes, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
@@ -330,9 +343,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("band", "node", "root", F.col("own").alias("side"), F.least("own", "other").alias("i"),
                 F.greatest("own", "other").alias("j")))
     more = (
-        blocks.join(worded.select("node", "bands", "words"), "node").groupBy("band", "i", "j")
-        .applyInArrow(lambda table: _cross_pairs(table, similarity), "a long, b long").distinct())
-    links = cut(links.unionByName(verified(more)))
+        blocks.join(sequences, "node").groupBy("band", "i", "j")
+        .applyInArrow(lambda table: _cross_links(table, similarity), "a long, b long"))
+    links = cut(links.unionByName(more))
     classes = cut(components(links))
 
     rooted = nodes.join(classes, "node", "left").select("t1", "t2", "doc", "node", "copies",

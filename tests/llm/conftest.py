@@ -5,9 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF_DIR = "/root/testdata/sf0.001"
-
-
 @pytest.fixture
 def messy(spark):
     """Documents with every awkward row of ``brute.MESSY`` and clashing extra columns."""

@@ -1,8 +1,7 @@
 """Language, quality and toxicity: brute force, gradients, held-out accuracy, awkward rows."""
 import numpy as np
 import pytest
-from brute import MESSY, all_segmentations
-from conftest import SF_DIR
+from brute import MESSY, SF_DIR, all_segmentations
 from pyspark.sql import functions as F
 
 from perfwatch.llm import langid, nbsvm, queries, toxicity

@@ -1,7 +1,6 @@
 """The pipeline's stages on given and on messy documents."""
 import corpus_pipeline
-from brute import near_classes, removed_repeats
-from conftest import SF_DIR
+from brute import SF_DIR, near_classes, removed_repeats
 from pyspark.sql import functions as F
 
 from perfwatch.llm import fair_mix

@@ -5,7 +5,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
-from conftest import SF_DIR
+from brute import SF_DIR
 
 from perfwatch.llm import fair_mix, histogram_sort, packing, queries
 

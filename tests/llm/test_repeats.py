@@ -2,8 +2,7 @@
 import random
 
 import numpy as np
-from brute import MESSY, longest_common, near_classes, removed_repeats
-from conftest import SF_DIR
+from brute import MESSY, SF_DIR, longest_common, near_classes, removed_repeats
 from pyspark.sql import functions as F
 
 from perfwatch.llm import order_minhash, suffix_dedup

@@ -3,8 +3,7 @@ import math
 
 import numpy as np
 import pytest
-from brute import best_products
-from conftest import SF_DIR
+from brute import SF_DIR, best_products
 from pyspark.sql import functions as F
 
 from perfwatch.llm import ann_tree, norm_topk
