@@ -26,6 +26,7 @@ TRAIN_DOCUMENTS = 6000     # bound of the labelled sample
 ROUNDS = 4                 # of expectation maximisation
 FLOOR = 1e-8               # probability of a piece the sample never uses
 CACHE_WORDS = 250_000
+ROWS = 1000                # scored at a time
 BATCH_BYTES = 1 << 19      # word bytes scored in one vectorised pass
 UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -221,7 +222,7 @@ def predict(docs: DataFrame, langs: list[str], prob: np.ndarray, vocabulary: str
         pieces, table = Pieces(vocabulary), sent.value
         known: dict[str, int] = {}
         values = np.zeros((0, len(langs)))
-        for batch in batches:
+        for batch in (whole.slice(i, ROWS) for whole in batches for i in range(0, max(1, whole.num_rows), ROWS)):
             texts = batch.column(0).to_pylist()
             found, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
             if len(known) > CACHE_WORDS:
@@ -230,17 +231,15 @@ def predict(docs: DataFrame, langs: list[str], prob: np.ndarray, vocabulary: str
             for i, text in enumerate(texts):
                 if langs and text and LETTER.search(text):
                     split = text.split()
-                    rows.append((i, len(split)))
-                    words.append([known.setdefault(w, len(known)) for w in split])
+                    rows.append(i)
+                    words.append(np.array([known.setdefault(w, len(known)) for w in split], dtype=np.int32))
             if rows:
                 fresh = list(known)[len(values):]
                 values = np.concatenate([values, likelihoods([_word_bytes(w) for w in fresh], pieces, table)])
-                sizes = np.array([n for _, n in rows])
-                flat = np.concatenate([np.array(w, dtype=np.int64) for w in words])
-                total = np.add.reduceat(values[flat], np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0)
+                total = np.array([values[w].sum(axis=0) for w in words])
                 best = total.argmax(axis=1)
                 share = 1.0 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-                for (i, _), b, s in zip(rows, best, share, strict=True):
+                for i, b, s in zip(rows, best, share, strict=True):
                     found[i], scores[i] = langs[b], s
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found, pa.string()), pa.array(scores)],
                                              names=[*names, "lang_pred", "score"])

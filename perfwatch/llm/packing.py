@@ -25,7 +25,7 @@ from perfwatch.llm._common import cut
 WINDOW = 2048
 OPEN_WINDOWS = 32
 MERGE_PARTITIONS = 8
-CACHE_ENTRIES = 900_000
+CACHE_ENTRIES = 500_000
 END_ID = 1
 
 PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
