@@ -82,18 +82,20 @@ def _gate_log(table: str, obs: Observation) -> dict:
     return counts
 
 
-def ingest_lab(spark: SparkSession, layout: Layout, raw: DataFrame | None = None) -> dict:
+def ingest_lab(spark: SparkSession, layout: Layout, raw: DataFrame | None = None, rebalance: bool = False) -> dict:
     """Lab reports -> normalised, production-only, gated ->
-    processed/lab_reports partitioned by report_date."""
+    processed/lab_reports partitioned by report_date.  ``rebalance``, here and
+    in the other ingests: for raw files that are not laid out by date."""
     require_utc(spark)
     raw = raw if raw is not None else readers.read_lab_reports(spark, layout.raw("lab_reports"))
     obs = Observation("gate:lab_reports")
     clean = quality.apply_quality(normalize.normalize_lab(raw), LAB_QUALITY, obs)
-    rows = sinks.write_partitioned(clean, layout.processed("lab_reports"), "report_date")
+    rows = sinks.write_partitioned(clean, layout.processed("lab_reports"), "report_date", rebalance)
     return {"rows": rows, "gate": _gate_log("lab_reports", obs)}
 
 
-def ingest_field_metrics(spark: SparkSession, layout: Layout, raw: DataFrame | None = None) -> dict:
+def ingest_field_metrics(spark: SparkSession, layout: Layout, raw: DataFrame | None = None,
+                         rebalance: bool = False) -> dict:
     """Field metrics -> normalised, gated (incl. sample_count > 0) ->
     processed/field_metrics partitioned by date.  Nothing downstream reads
     it; it is kept as a processed table for ad-hoc use."""
@@ -101,12 +103,12 @@ def ingest_field_metrics(spark: SparkSession, layout: Layout, raw: DataFrame | N
     raw = raw if raw is not None else readers.read_field_metrics(spark, layout.raw("field_metrics"))
     obs = Observation("gate:field_metrics")
     clean = quality.apply_quality(normalize.normalize_field_metrics(raw), FIELD_QUALITY, obs)
-    rows = sinks.write_partitioned(clean, layout.processed("field_metrics"), "date")
+    rows = sinks.write_partitioned(clean, layout.processed("field_metrics"), "date", rebalance)
     return {"rows": rows, "gate": _gate_log("field_metrics", obs)}
 
 
 def ingest_page_loads(spark: SparkSession, layout: Layout, raw: DataFrame | None = None,
-                      raw_devices: DataFrame | None = None) -> dict:
+                      raw_devices: DataFrame | None = None, rebalance: bool = False) -> dict:
     """Devices -> deduped, gated -> processed/devices; page loads ->
     normalised, gated, enriched with devices -> processed/page_loads
     partitioned by event_date.  Every gate rule looks at page-load columns
@@ -123,7 +125,7 @@ def ingest_page_loads(spark: SparkSession, layout: Layout, raw: DataFrame | None
     obs = Observation("gate:page_loads")
     passed = quality.apply_quality(normalize.normalize_page_loads(raw), PAGE_LOAD_QUALITY, obs)
     clean = enrich.enrich_with_devices(passed, readers.read_layer(spark, layout.processed("devices")))
-    rows = sinks.write_partitioned(clean, layout.processed("page_loads"), "event_date")
+    rows = sinks.write_partitioned(clean, layout.processed("page_loads"), "event_date", rebalance)
     return {"devices": device_rows, "rows": rows, "gate": _gate_log("page_loads", obs)}
 
 
