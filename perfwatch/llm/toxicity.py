@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from perfwatch.llm.nbsvm import _plain, labelled_sample, logistic_fit
 from perfwatch.llm.order_minhash import chunks, hashed_spans, word_spans
 
-TOXIC_DOCUMENTS = 2500     # bounds of the labelled sample
-OTHER_DOCUMENTS = 4500
+TOXIC_DOCUMENTS = 1800     # bounds of the labelled sample
+OTHER_DOCUMENTS = 3200
 WINDOW = 128
 STRIDE = 96
 WORD_PLACES = 1 << 17
@@ -60,8 +60,8 @@ class Words:
         start, end = word_spans(data, bounds, _GAP) if len(data) else (np.zeros(0, np.int64),) * 2
         self.first = np.searchsorted(start, bounds)
         hashes = hashed_spans(data, start, end) if len(start) else np.zeros(0, np.uint64)
-        distinct, at, self.number = np.unique(hashes, return_index=True, return_inverse=True)
-        self.place = (distinct >> np.uint64(64 - 17)).astype(np.int64)
+        self.distinct, at, self.number = np.unique(hashes, return_index=True, return_inverse=True)
+        self.place = (self.distinct >> np.uint64(64 - 17)).astype(np.int64)
         a, size = start[at], (end - start)[at]
         # "<word>": one trigram per byte
         owner = np.repeat(np.arange(len(a)), size)
@@ -87,16 +87,35 @@ class Words:
         code ^= code >> np.uint64(23)
         self.long = ((code * np.uint64(0x94D049BB133111EB)) >> np.uint64(64 - 16)).astype(np.int64)
 
-    def inputs(self, p: dict[str, np.ndarray], used: np.ndarray | slice = slice(None)):
+    @classmethod
+    def of_texts(cls, texts: list[bytes]) -> Words:
+        """The same for many texts, a block of them at a time: only the distinct
+        words are laid end to end."""
+        hashes, counts, known, kept = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)], np.zeros(0, np.uint64), []
+        for _, _, data, bounds in chunks(texts):
+            data = _LOWER[data]
+            start, end = word_spans(data, bounds, _GAP) if len(data) else (np.zeros(0, np.int64),) * 2
+            found = hashed_spans(data, start, end) if len(start) else np.zeros(0, np.uint64)
+            hashes.append(found)
+            counts.append(np.diff(np.searchsorted(start, bounds)))
+            distinct, at = np.unique(found, return_index=True)
+            fresh = ~np.isin(distinct, known)
+            known = np.union1d(known, distinct)
+            whole = data.tobytes()
+            kept += [whole[a:b] for a, b in zip(start[at[fresh]].tolist(), end[at[fresh]].tolist(), strict=True)]
+        line = b" ".join(kept)
+        words = cls(np.frombuffer(line, np.uint8), np.array([0, len(line)]))
+        words.first = np.cumsum(np.concatenate(counts))
+        words.number = np.searchsorted(words.distinct, np.concatenate(hashes))
+        return words
+
+    def inputs(self, p: dict[str, np.ndarray], used: np.ndarray):
         """Input vectors of the distinct words ``used``; with them trigrams,
-        their owners and number, and the same of the longer n-grams."""
+        their owners and number, and the longer n-grams and their owners."""
         size, longs = np.diff(self.trigram_first)[used], np.diff(self.long_first)[used]
         owner, long_owner = np.repeat(np.arange(len(size)), size), np.repeat(np.arange(len(longs)), longs)
-        if isinstance(used, slice):
-            trigram, long = self.trigram, self.long
-        else:
-            trigram = self.trigram[_ranges(self.trigram_first[:-1][used], size)]
-            long = self.long[_ranges(self.long_first[:-1][used], longs)]
+        trigram = self.trigram[_ranges(self.trigram_first[:-1][used], size)]
+        long = self.long[_ranges(self.long_first[:-1][used], longs)]
         chars, wide = np.zeros((len(size), CHAR_SIZE), np.float32), np.zeros((len(size), LONG_SIZE), np.float32)
         if len(size):
             chars = np.add.reduceat(p["char"][trigram], np.cumsum(size) - size, axis=0) / size[:, None].astype(np.float32)
@@ -104,6 +123,11 @@ class Words:
         table = np.concatenate([p["word"][self.place[used]], chars, wide], axis=1)
         return table, (trigram, owner, size), (long, long_owner)
 
+    def table(self, p: dict[str, np.ndarray], block: int = 1 << 15) -> np.ndarray:
+        """Input vectors of all distinct words."""
+        every = np.arange(len(self.place))
+        return np.concatenate([self.inputs(p, every[i:i + block])[0] for i in range(0, max(1, len(every)), block)])
+
 
 def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
@@ -115,7 +139,7 @@ def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     count = np.where(size > 0, 1 + np.maximum(0, -(-(size - WINDOW) // STRIDE)), 0)
     text = np.repeat(np.arange(len(size)), count)
     nth = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
-    index = (first[text] + nth * STRIDE)[:, None] + np.arange(WINDOW)
+    index = ((first[text] + nth * STRIDE)[:, None] + np.arange(WINDOW)).astype(np.int32)
     present = index < first[text + 1][:, None]
     return np.where(present, index, 0), present, text
 
@@ -214,7 +238,7 @@ class Network:
     def logits(self, words: Words, block: int = 2048) -> tuple[np.ndarray, np.ndarray]:
         """Logit and text of every window of the texts."""
         index, present, text = windows(words.first)
-        table = words.inputs(self.p)[0]
+        table = words.table(self.p)
         out = [self.forward(table, words.number[index[i:i + block]], present[i:i + block])
                for i in range(0, len(text), block)]
         return np.concatenate(out) if out else np.zeros(0), text
@@ -249,36 +273,50 @@ class _Steps:
         self.params[name][rows] -= scale * m[rows] / (np.sqrt(v[rows]) + 1e-6)
 
 
-def log_odds(text: np.ndarray, place: np.ndarray, places: int, labels: np.ndarray) -> np.ndarray:
-    """Log odds, by class, of the share of documents that hold each place."""
-    held = np.unique(text.astype(np.int64) * places + place)
-    toxic, number = labels[held // places] > 0, held % places
-    ones = np.bincount(number[toxic], minlength=places)
-    zeros = np.bincount(number[~toxic], minlength=places)
-    odds = np.log((ones + 0.5) / (labels.sum() + 1.0)) - np.log((zeros + 0.5) / ((labels == 0).sum() + 1.0))
-    return np.where(ones + zeros >= 5, odds, 0.0)
+def log_odds(holds, labels: np.ndarray, learn: np.ndarray, places: int, block: int = 256) -> np.ndarray:
+    """Log odds, by class, of the share of the documents to learn from that
+    hold each place; ``holds(a, b)``: texts and places of texts a to b."""
+    counts = np.zeros((2, places))
+    for a in range(0, len(labels), block):
+        text, place = holds(a, min(a + block, len(labels)))
+        held = np.unique(text * places + place)
+        held = held[learn[held // places]]
+        for label in (0, 1):
+            counts[label] += np.bincount(held[labels[held // places] == label] % places, minlength=places)
+    known = labels[learn]
+    odds = np.log((counts[1] + 0.5) / (known.sum() + 1.0)) - np.log((counts[0] + 0.5) / ((known == 0).sum() + 1.0))
+    return np.where(counts.sum(axis=0) >= 5, np.clip(odds, -2, 4), 0.0)
 
 
 def train(texts: list[bytes], labels: np.ndarray, seed: int = 23) -> Network:
     rng = np.random.default_rng(seed)
     network = Network()
-    words = Words(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts]))
+    words = Words.of_texts(texts)
     index, present, text = windows(words.first)
     if not len(text):
         return network
     learn = rng.random(len(texts)) >= CALIBRATION_SHARE
     # one coordinate of words and longer n-grams starts from the log odds of the training documents
-    owner = np.repeat(np.arange(len(texts)), np.diff(words.first))
-    known = learn[owner]
-    odds = np.clip(log_odds(owner[known], words.place[words.number[known]], WORD_PLACES, labels), -2, 4)
-    number, size = words.number[known], np.diff(words.long_first)
-    grams = words.long[_ranges(words.long_first[:-1][number], size[number])]
-    long_odds = np.clip(log_odds(np.repeat(owner[known], size[number]), grams, LONG_PLACES, labels), -2, 4)
+    longs = np.diff(words.long_first)
+
+    def held_words(a: int, b: int):
+        return (np.repeat(np.arange(a, b), np.diff(words.first[a:b + 1])),
+                words.place[words.number[words.first[a]:words.first[b]]])
+
+    def held_grams(a: int, b: int):
+        owner = np.repeat(np.arange(a, b), np.diff(words.first[a:b + 1]))
+        held = np.unique(owner * len(longs) + words.number[words.first[a]:words.first[b]])
+        number = held % len(longs)
+        return np.repeat(held // len(longs), longs[number]), words.long[_ranges(words.long_first[:-1][number], longs[number])]
+
+    odds = log_odds(held_words, labels, learn, WORD_PLACES)
+    long_odds = log_odds(held_grams, labels, learn, LONG_PLACES)
     network.p["word"][:, 0] = odds / 2
     network.p["long"][:, 0] = long_odds / 4
     most = np.maximum.reduceat(long_odds[words.long], words.long_first[:-1])
     word_odds = np.maximum(np.maximum(odds[words.place], most), 0.0)
-    suspicion = np.where(present, word_odds[words.number[index]], 0.0).sum(axis=1)
+    suspicion = np.concatenate([np.where(present[i:i + 2048], word_odds[words.number[index[i:i + 2048]]], 0.0).sum(axis=1)
+                                for i in range(0, len(index), 2048)])
     steps = _Steps(network.p)
     for turn in range(ROUNDS):
         if turn:
