@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perfwatch.llm._common import cut, sampled
-from perfwatch.llm.norm_topk import _expand, _found, _matrix, clean_vectors, collapsed
+from perfwatch.llm.norm_topk import _best_entries, _expand, _found, _matrix, clean_vectors, collapsed
 
 FIT_SAMPLE = 20_000       # vectors the tree is fitted on, at most
 CALIBRATION_QUERIES = 128
@@ -27,6 +27,7 @@ BRANCHES = 8
 LEAF_SIZE = 256           # wished rows per leaf
 MOST_LEAVES = 4096        # bound of the tree
 RECALL = 0.97             # calibrated on the sample; the promise is 0.9
+FIRST_VISITS = 4          # leaves of the first round
 BLOCK = 2048              # rows of one block of a leaf
 QUERY_BLOCK = 512
 
@@ -101,18 +102,17 @@ def _inner(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     return (vectors * query).sum(axis=1)
 
 
-def _best_of(vectors: np.ndarray, ids: list, queries: np.ndarray, names: list, k: int) -> list[tuple]:
+def _best_of(vectors: np.ndarray, ids: list, queries: np.ndarray, names: list, floors: list, k: int) -> list[tuple]:
+    """Each query's k best of a block that reach its floor, the k-th best so far."""
     out = []
     rough = queries @ vectors.T
     for q, name in enumerate(names):
         row = rough[q]
-        if len(row) > k:
-            cutoff = np.partition(row, len(row) - k)[len(row) - k]
-            near = np.flatnonzero(row >= cutoff - 1e-9 * max(1.0, abs(cutoff)))
-        else:
-            near = np.arange(len(row))
-        found, scores = _expand([], [ids[i] for i in near.tolist()], _inner(vectors[near], queries[q]), k - 1)
-        out.append((name, found.tolist(), scores.tolist()))
+        cutoff = max(floors[q], np.partition(row, len(row) - k)[len(row) - k] if len(row) > k else -np.inf)
+        near = np.flatnonzero(row >= cutoff - 1e-9 * max(1.0, abs(cutoff))) if np.isfinite(cutoff) else np.arange(len(row))
+        if len(near):
+            found, scores = _expand([], [ids[i] for i in near.tolist()], _inner(vectors[near], queries[q]), k - 1)
+            out.append((name, found.tolist(), scores.tolist()))
     return out
 
 
@@ -121,7 +121,7 @@ def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
         for row in batch.to_pylist():
             vectors = np.frombuffer(row["vectors"], "<f8").reshape(len(row["ids"]), -1)
             queries = np.frombuffer(row["asked"], "<f8").reshape(len(row["queries"]), -1)
-            yield _found(_best_of(vectors, row["ids"], queries, row["queries"], k))
+            yield _found(_best_of(vectors, row["ids"], queries, row["queries"], row["floors"], k))
 
 
 def _leaf_block(table: pa.Table) -> pa.Table:
@@ -131,18 +131,10 @@ def _leaf_block(table: pa.Table) -> pa.Table:
 
 def _query_block(table: pa.Table) -> pa.Table:
     return pa.table({"leaf": table.column("leaf").slice(0, 1), "queries": pa.array([table.column("query").to_pylist()]),
+                     "floors": pa.array([table.column("floor").to_pylist()], pa.list_(pa.float64())),
                      "asked": pa.array([_matrix(table.column("vector")).astype("<f8").tobytes()], pa.binary())})
 
 
-def _merge_best(found: DataFrame, k: int) -> DataFrame:
-    """Each query's k + 1 best (score, id) of all blocks, as one ordered list."""
-    best = Window.partitionBy("query").orderBy(F.col("scores").desc(), "ids")
-    return (
-        found.select("query", F.explode(F.arrays_zip("ids", "scores")).alias("e")).select("query", "e.ids", "e.scores")
-        .withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1)
-        .groupBy("query").agg(F.array_sort(F.collect_list(F.struct("place", "ids", "scores"))).alias("list")))
-
-
 def calibrate(tree: Tree, placed: DataFrame, queries: np.ndarray, names: list[int], k: int, recall: float) -> int:
     """Least number of leaf visits at which the sample queries reach ``recall``.
 
@@ -190,8 +182,8 @@ def nearest(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vector_co
     * Vectors NULL, empty, zero, or with NULL or non-finite components take no
       part, neither do rows without an id.  Vectors of another length meet
       only queries of their length.
-    * Ties go to the smaller id.  Fewer than k candidates are all returned:
-      such tables have one leaf.
+    * Ties go to the smaller id.  Fewer than k candidates are all returned;
+      with more, a query visits on until its leaves hold over k entries.
     * Rows that repeat id and vector count once.  An empty table gives no
       rows; other columns are ignored.
     """
@@ -231,13 +223,22 @@ def _one_width(vectors: DataFrame, asked_ids: DataFrame, k: int, recall: float,
         most = calibrate(tree, placed, _matrix(pa.array([r["vector"] for r in probe], pa.list_(pa.float64()))),
                          [r["query"] for r in probe], k, recall)
     sizes = {r["leaf"]: r["n"] for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
-    filled = max(1, sum(1 for n in sizes.values() if n))
-    most = max(most, min(filled, -(-4 * k * filled // max(1, total))))
+
+    def leaves_of(query: np.ndarray) -> list[int]:
+        """The calibrated visits; more, if those leaves hold too few entries."""
+        order = tree.visits(query, most)
+        if sum(sizes.get(leaf, 0) for leaf in order) <= k:
+            order, held = tree.visits(query, tree.leaves), 0
+            for n, leaf in enumerate(order):
+                held += sizes.get(leaf, 0)
+                if held > k and n + 1 >= most:
+                    return order[:n + 1]
+        return order
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                leaves = [tree.visits(q, most) for q in _matrix(batch.column("vector"))]
+                leaves = [leaves_of(q) for q in _matrix(batch.column("vector"))]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves, pa.list_(pa.int64()))],
                                                  names=["vector", "query", "leaves"])
 
@@ -248,14 +249,32 @@ def _one_width(vectors: DataFrame, asked_ids: DataFrame, k: int, recall: float,
         placed.withColumn("part", F.pmod(F.xxhash64(F.col("ids")[0]), F.create_map(
             *[F.lit(x) for leaf, n in sizes.items() for x in (leaf, -(-n // BLOCK))])[F.col("leaf")]))
         .groupBy("leaf", "part").applyInArrow(_leaf_block, "leaf long, ids array<array<long>>, vectors binary"))
-    asking = (
-        walked.withColumn("leaf", F.explode("leaves")).withColumn("crew", F.pmod(F.xxhash64("query"), F.lit(crews)))
-        .groupBy("leaf", "crew").applyInArrow(_query_block, "leaf long, queries array<long>, asked binary"))
-    found = asking.join(blocks, "leaf").select("ids", "vectors", "queries", "asked").mapInArrow(
-        lambda it: _search(it, k + 1), "query long, ids array<long>, scores array<double>")
-    lists = _merge_best(found, k)
+    blocks, walked = cut(blocks), cut(walked)
+    # visits are widened round by round, three times as many leaves as before; each round tells
+    # only what reaches the k-th best of the rounds before
+    met, done = None, 0
+    most = walked.agg(F.max(F.size("leaves"))).first()[0] or 0
+    while done < most:
+        upto = min(most, 4 * done or FIRST_VISITS)
+        if met is None:
+            asking = walked.withColumn("floor", F.lit(float("-inf")))
+        else:
+            asking = walked.join(met.groupBy("query").agg(F.min("score").alias("least"), F.count("*").alias("n")), "query",
+                                 "left").withColumn("floor", F.when(F.col("n") > k, F.col("least")).otherwise(float("-inf")))
+        asking = (
+            asking.withColumn("leaf", F.explode(F.slice("leaves", done + 1, upto - done)))
+            .withColumn("crew", F.pmod(F.xxhash64("query"), F.lit(crews))).select("leaf", "crew", "query", "floor", "vector")
+            .groupBy("leaf", "crew").applyInArrow(
+                _query_block, "leaf long, queries array<long>, floors array<double>, asked binary"))
+        found = asking.join(blocks, "leaf").select("ids", "vectors", "queries", "floors", "asked").mapInArrow(
+            lambda it: _search(it, k + 1), "query long, ids array<long>, scores array<double>")
+        met, done = cut(_best_entries(found, met, k)), upto
+    if met is None:     # no query of this length
+        met = distinct_asked.select("query", F.lit(0).alias("place"), F.col("query").alias("vec_id"),
+                                    F.lit(0.0).alias("score"))
+    lists = met.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("place", "vec_id", "score"))).alias("list"))
     return (
         asked.join(distinct_asked, "vector").select("id", "query").join(lists, "query")
-        .select("id", F.posexplode(F.slice(F.filter("list", lambda e: e["ids"] != F.col("id")), 1, k)).alias("pos", "e"))
-        .select(F.col("id").alias("query_id"), (F.col("pos") + 1).alias("rank"), F.col("e.ids").alias("vec_id"),
-                F.col("e.scores").alias("score")))
+        .select("id", F.posexplode(F.slice(F.filter("list", lambda e: e["vec_id"] != F.col("id")), 1, k)).alias("pos", "e"))
+        .select(F.col("id").alias("query_id"), (F.col("pos") + 1).alias("rank"), F.col("e.vec_id").alias("vec_id"),
+                F.col("e.score").alias("score")))

@@ -9,8 +9,9 @@ below the query's k-th best so far, and a vector is finished in exact integer
 arithmetic only if its bound does not.
 
 The longest vectors, one block, are seen by all queries first; they give each
-query its first k-th best.  The remaining blocks are then independent tasks.
-Equal vectors are collapsed first; of their ids the k + 1 smallest suffice.
+query its first k-th best.  Rounds over more and more blocks follow, each with
+the k-th best of the rounds before; the blocks of a round are independent
+tasks.  Equal vectors are collapsed first; of their ids the k + 1 smallest suffice.
 """
 from __future__ import annotations
 
@@ -82,10 +83,10 @@ def _search_block(vectors: np.ndarray, norms: np.ndarray, rotation: np.ndarray,
         if not len(left):
             continue
         exact = vectors[left] @ queries[q]
-        if len(left) > k:
-            cutoff = max(floor[q], np.partition(exact, len(exact) - k)[len(exact) - k])
-            left, exact = left[exact >= cutoff], exact[exact >= cutoff]
-        yield q, left, exact
+        cutoff = max(floor[q], np.partition(exact, len(exact) - k)[len(exact) - k]) if len(left) > k else floor[q]
+        left, exact = left[exact >= cutoff], exact[exact >= cutoff]
+        if len(left):
+            yield q, left, exact
 
 
 def _expand(query_ids: list, ids: list, scores: np.ndarray, k: int):
@@ -162,6 +163,16 @@ def top_inner_products(rows: DataFrame, is_query: Column, id_col: str = "vec_id"
     return out
 
 
+def _best_entries(found: DataFrame, met: DataFrame | None, k: int) -> DataFrame:
+    """(query, vec_id, score, place) of each query's k + 1 best so far."""
+    entries = found.select("query", F.explode(F.arrays_zip("ids", "scores")).alias("e")).select(
+        "query", F.col("e.ids").alias("vec_id"), F.col("e.scores").alias("score"))
+    if met is not None:
+        entries = entries.unionByName(met.drop("place"))
+    best = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
+    return entries.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1)
+
+
 def _one_width(kinds: DataFrame, vectors: DataFrame, asked_ids: DataFrame, k: int) -> DataFrame:
     sample = _matrix(pa.array([r[0] for r in kinds.orderBy(F.xxhash64(F.col("ids")[0])).select("vector").limit(SAMPLE)
                                .collect()], pa.list_(pa.float64())))
@@ -196,18 +207,23 @@ def _one_width(kinds: DataFrame, vectors: DataFrame, asked_ids: DataFrame, k: in
             "ids", "vectors", "queries", "asked", "floor").mapInArrow(
                 lambda it: _pair_blocks(it, rotation, k), "query long, ids array<long>, scores array<double>")
 
-    first = blocks.agg(F.max(F.struct("top", (-F.col("block")).alias("n")))).first()[0]
-    longest = -first["n"]
-    met = cut(search(blocks.filter(F.col("block") == longest), queries.withColumn("floor", F.lit(float("-inf")))))
-    floors = queries.join(
-        met.select("query", F.when(F.size("scores") > k, F.element_at("scores", k + 1)).alias("floor")), "query", "left"
-    ).withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
-    met = met.unionByName(search(blocks.filter(F.col("block") != longest), floors))
-    entries = met.select("query", F.explode(F.arrays_zip("ids", "scores")).alias("e")).select(
-        "query", F.col("e.ids").alias("vec_id"), F.col("e.scores").alias("score"))
-    best = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
-    kept = entries.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1)
-    lists = kept.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("place", "vec_id", "score"))).alias("list"))
+    # block by block of falling length, each round over three times as many as all before it, so that
+    # every query's k-th best is known early and later blocks tell little
+    order = Window.orderBy(F.col("top").desc(), "block")
+    ranked = cut(blocks.join(blocks.select("block", "top").withColumn("turn", F.row_number().over(order) - 1)
+                             .select("block", "turn"), "block"))
+    turns, done, met = ranked.count(), 0, None
+    while done < turns:
+        upto = min(turns, 4 * done or 1)
+        if met is None:
+            asking = queries.withColumn("floor", F.lit(float("-inf")))
+        else:
+            asking = queries.join(met.groupBy("query").agg(F.min("score").alias("least"), F.count("*").alias("n")), "query",
+                                  "left").withColumn("floor", F.when(F.col("n") > k, F.col("least")).otherwise(float("-inf"))
+                                                     ).drop("least", "n")
+        found = search(ranked.filter((F.col("turn") >= done) & (F.col("turn") < upto)).drop("turn"), asking)
+        met, done = cut(_best_entries(found, met, k)), upto
+    lists = met.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("place", "vec_id", "score"))).alias("list"))
     # back to every query id of that vector, without its own id
     asked = vectors.join(asked_ids, "id").join(queries.select("vector", "query"), "vector").select("id", "query")
     return (
