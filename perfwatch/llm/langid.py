@@ -138,28 +138,21 @@ def expected_counts(words: list[bytes], weights: np.ndarray, pieces: Pieces, pro
     column = prob[:, 0]
     for rows, block in by_length(words):
         size, starts = lattice(block, pieces)
-        n, scale = len(block), np.zeros(len(block))
-        alpha = np.zeros((size + 1, n))
-        beta = np.zeros((size + 1, n))
-        alpha[0] = beta[size] = 1.0
         moves = [column[s] for s in starts]
-        # each position carries its own scale, so that long words do not vanish
-        a_log, b_log = np.zeros((size + 1, n)), np.zeros((size + 1, n))
+        # logarithms of what reaches each position from the left and from the right; they are
+        # taken relative to a neighbour, so that long words do not vanish
+        left, right = np.zeros((size + 1, len(block))), np.zeros((size + 1, len(block)))
         for end in range(1, size + 1):
-            lengths = range(1, min(len(starts), end) + 1)
-            base = a_log[end - 1]
-            value = sum(alpha[end - k] * np.exp(a_log[end - k] - base) * moves[k - 1][:, end - k] for k in lengths)
-            alpha[end], a_log[end] = 1.0, base + np.log(value)
+            near = left[end - 1]
+            left[end] = near + np.log(sum(np.exp(left[end - k] - near) * moves[k - 1][:, end - k]
+                                          for k in range(1, min(len(starts), end) + 1)))
         for at in range(size - 1, -1, -1):
-            lengths = range(1, min(len(starts), size - at) + 1)
-            base = b_log[at + 1]
-            value = sum(beta[at + k] * np.exp(b_log[at + k] - base) * moves[k - 1][:, at] for k in lengths)
-            beta[at], b_log[at] = 1.0, base + np.log(value)
-        scale = a_log[size]
-        share = weights[rows]
+            near = right[at + 1]
+            right[at] = near + np.log(sum(np.exp(right[at + k] - near) * moves[k - 1][:, at]
+                                          for k in range(1, min(len(starts), size - at) + 1)))
         for k in range(1, len(starts) + 1):
-            first = slice(0, size - k + 1)
-            used = np.exp(a_log[first] + b_log[k:] - scale) * moves[k - 1].T * share
+            used = np.exp(left[:size - k + 1] + right[k:] - left[size]) * moves[k - 1].T * weights[rows]
+            # "no such piece" (-1) is the last place
             total += np.bincount(starts[k - 1].T.ravel() % len(total), weights=used.ravel(), minlength=len(total))
     return total[:-1]
 

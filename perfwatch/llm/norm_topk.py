@@ -231,3 +231,20 @@ def _one_width(kinds: DataFrame, vectors: DataFrame, asked_ids: DataFrame, k: in
         .select("id", F.posexplode(F.slice(F.filter("list", lambda e: e["vec_id"] != F.col("id")), 1, k)).alias("pos", "e"))
         .select(F.col("id").alias("query_id"), (F.col("pos") + 1).alias("rank"), F.col("e.vec_id").alias("vec_id"),
                 F.col("e.score").cast("long").alias("score")))
+
+
+def oracle(divisor: int = 50, k: int = 5) -> str:
+    """DuckDB statement for the query: every product, no pruning."""
+    return f"""
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor({SCALE} * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+products AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % {divisor} = 0)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM products)
+WHERE place <= {k}
+"""

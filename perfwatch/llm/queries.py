@@ -81,4 +81,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mixing": fair_mix.oracle()}
+    return {"op9_top_products": norm_topk.oracle(), "op10_mixing": fair_mix.oracle()}
