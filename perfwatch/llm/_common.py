@@ -2,7 +2,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,3 +49,10 @@ def sampled(df: DataFrame, key: Column, limit: int) -> DataFrame:
     hashed = F.xxhash64(key, F.lit(7))
     top = df.select(hashed.alias("h")).orderBy("h").limit(limit).agg(F.max("h")).first()[0]
     return df.filter(F.lit(False) if top is None else hashed <= F.lit(top))
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what a task makes of a batch stays small."""
+    for batch in batches:
+        for at in range(0, max(1, batch.num_rows), rows):
+            yield batch.slice(at, rows)

@@ -19,14 +19,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perfwatch.llm._common import cut, sampled
+from perfwatch.llm._common import cut, sampled, slices
 
 LONGEST_PIECE = 8          # bytes; a piece is then one 64-bit number
 TRAIN_DOCUMENTS = 6000     # bound of the labelled sample
 ROUNDS = 4                 # of expectation maximisation
 FLOOR = 1e-8               # probability of a piece the sample never uses
 CACHE_WORDS = 250_000
-ROWS = 1000                # scored at a time
 BATCH_BYTES = 1 << 19      # word bytes scored in one vectorised pass
 UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -215,7 +214,7 @@ def predict(docs: DataFrame, langs: list[str], prob: np.ndarray, vocabulary: str
         pieces, table = Pieces(vocabulary), sent.value
         known: dict[str, int] = {}
         values = np.zeros((0, len(langs)))
-        for batch in (whole.slice(i, ROWS) for whole in batches for i in range(0, max(1, whole.num_rows), ROWS)):
+        for batch in slices(batches):
             texts = batch.column(0).to_pylist()
             found, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
             if len(known) > CACHE_WORDS:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perfwatch.llm._common import sampled
+from perfwatch.llm._common import sampled, slices
 from perfwatch.llm.order_minhash import chunks, word_hashes
 
 TRAIN_DOCUMENTS = 8000    # bound of the labelled sample
@@ -146,7 +146,7 @@ def _plain(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str, id_col: str, text_col: str,
         train_documents: int) -> Model | None:
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for a, b, data, bounds in chunks(batch.column(1).to_pylist()):
                 found = [f.astype("<i4").tobytes() for f in features(data, bounds)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a),
@@ -180,7 +180,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, label_col:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
-        for batch in batches:
+        for batch in slices(batches):
             for a, b, data, bounds in chunks(batch.column(1).to_pylist()):
                 values = own.scores(features(data, bounds)) if own else np.full(b - a, 0.5)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(values)],

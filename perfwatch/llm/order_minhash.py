@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perfwatch.llm._common import cut
+from perfwatch.llm._common import cut, slices
 from perfwatch.llm.suffix_dedup import _prefix_hashes
 
 SHINGLE_WORDS = 5
@@ -37,7 +37,7 @@ BANDS = 48
 TUPLE = 2
 MIN_BANDS = 4
 BLOCK = 2048            # rows of one block of a bucket
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 NO_ID = -(2**63)
 
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -151,7 +151,7 @@ def chunks(texts: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
 
 
 def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch.column(3).to_pylist()
         for a, b, data, bounds in chunks(texts):
             words, first = word_hashes(data, bounds)
@@ -165,7 +165,7 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sequence_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         for a, b, data, bounds in chunks(batch.column(1).to_pylist()):
             words, first = word_hashes(data, bounds)
             short = words.astype("<u4")      # pairs are compared, not the corpus: 32 bits tell words apart

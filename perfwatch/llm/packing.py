@@ -20,12 +20,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perfwatch.llm._common import cut
+from perfwatch.llm._common import cut, slices
 
 WINDOW = 2048
 OPEN_WINDOWS = 32
 MERGE_PARTITIONS = 8
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 250_000
 END_ID = 1
 
 PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
@@ -118,7 +118,7 @@ def _packed(batches: Iterator[pa.RecordBatch], path: str, window: int, open_wind
         return batch
 
     end = struct.pack("<I", END_ID)
-    for batch in batches:
+    for batch in slices(batches):
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             ids = ids_of(text or "") + end
             tokens, start = len(ids) // 4, 0

@@ -37,8 +37,8 @@ from perfwatch.llm._common import cut, fanout
 MATCH = 100
 ANCHOR = 50
 SPREAD = MATCH - ANCHOR           # largest distance from a window's start to its anchor
-SEGMENT = 1 << 20                 # bytes hashed in one vectorised pass
-FLUSH_RUNS = 1 << 20              # stretches kept in a task before they are dealt out
+SEGMENT = 1 << 19                 # bytes hashed in one vectorised pass
+FLUSH_RUNS = 1 << 18              # stretches kept in a task before they are dealt out
 TASK_MANY = 256                   # different stretches of one anchor in one task that make it frequent
 GROUP_MANY = 20_000               # and in all tasks
 SAMPLE_KEYS = 1 << 16             # bound of the splitter sample

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from perfwatch.llm._common import slices
 from perfwatch.llm.nbsvm import _plain, labelled_sample, logistic_fit
 from perfwatch.llm.order_minhash import chunks, hashed_spans, word_spans
 
@@ -392,7 +393,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, label_col:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
-        for batch in batches:
+        for batch in slices(batches):
             for a, b, data, bounds in chunks(batch.column(1).to_pylist()):
                 words = Words(data, bounds)
                 values = own.scores(words) if own else np.zeros(b - a)
