@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by a hierarchical k-means tree.
 
-The tree is fitted on a bounded sample and holds a bounded number of leaves,
+The tree is fitted on a bounded sample of the distinct vectors and holds a bounded number of leaves,
 so it can be sent to every task; *every* row is then assigned to a leaf.  A
 query walks the tree best bin first: a priority queue of branches, ordered by
 inner product with the branch centre, yields leaves until enough are visited.
@@ -57,9 +57,12 @@ class Tree:
             return -self.leaves
         node = len(self.centres)
         centres = _kmeans(points, branches, rng)
+        nearest = ((centres ** 2).sum(axis=1) - 2 * points @ centres.T).argmin(axis=1)
+        if (nearest == nearest[0]).all():       # cannot be divided
+            self.leaves += 1
+            return -self.leaves
         self.centres.append(centres)
         self.children.append([])
-        nearest = ((centres ** 2).sum(axis=1) - 2 * points @ centres.T).argmin(axis=1)
         for c in range(len(centres)):
             part = points[nearest == c]
             share = max(1, round(leaves * len(part) / len(points)))
@@ -201,11 +204,11 @@ def nearest(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vector_co
 
 
 def _one_width(vectors: DataFrame, asked_ids: DataFrame, k: int, recall: float, fit_sample: int) -> DataFrame:
-    kinds = collapsed(vectors, k + 1)
+    kinds = cut(collapsed(vectors, k + 1))
     asked = vectors.join(asked_ids, "id")
     distinct_asked = cut(asked.groupBy("vector").agg(F.min("id").alias("query")))
-    total = vectors.count()
-    points = _matrix(pa.array([r[0] for r in sampled(vectors, F.col("id"), fit_sample).select("vector").collect()],
+    total = kinds.count()
+    points = _matrix(pa.array([r[0] for r in sampled(kinds, F.col("vector"), fit_sample).select("vector").collect()],
                               pa.list_(pa.float64())))
     tree = Tree(points, min(MOST_LEAVES, -(-total // LEAF_SIZE)))
     del points
