@@ -67,7 +67,7 @@ def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed windows; a document taken twice is packed twice."""
-    pieces = packing.pack_documents(docs)
+    pieces = packing.pack_documents(docs, added_tokens=True)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                          "offset", "ids")
 

@@ -10,6 +10,7 @@ at most one window that is not full.
 """
 from __future__ import annotations
 
+import re
 import struct
 from array import array
 from collections.abc import Iterator
@@ -58,26 +59,42 @@ class TokenIds:
     that stands between two characters that are not white space, so such
     stretches are encoded once and remembered, in a bounded cache that lives
     as long as the worker; texts with any other spacing are encoded whole.
+
+    ``added_tokens``: the string of an added token ('<|endoftext|>') in a text
+    becomes that token's id, as the file's tokenizer has it; otherwise it is
+    encoded like any other text.
     """
 
-    def __init__(self, path: str, entries: int = CACHE_ENTRIES):
+    def __init__(self, path: str, entries: int = CACHE_ENTRIES, added_tokens: bool = False):
         import public_tokenizers
         import tiktoken
         from tokenizers import Tokenizer
 
-        byte_of, special = _byte_of(), set()
+        byte_of = _byte_of()
         tokenizer = Tokenizer.from_file(path)
-        special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
+        added = tokenizer.get_added_tokens_decoder()
+        special = {t.content for t in added.values()}
         ranks = {bytes(byte_of[c] for c in token): i for token, i in tokenizer.get_vocab().items()
                  if token not in special}
         self.encode = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                         special_tokens={}).encode_ordinary
         self.entries, self.known = entries, {}
+        self.added, self.cuts = {}, None
+        if added_tokens and added:
+            if odd := [t.content for t in added.values() if t.lstrip or t.rstrip or t.single_word]:
+                raise ValueError(f"added tokens that depend on their surroundings: {odd}")
+            self.added = {t.content: struct.pack("<I", i) for i, t in added.items()}
+            self.cuts = re.compile(f"({'|'.join(map(re.escape, sorted(self.added, key=len, reverse=True)))})")
 
     def whole(self, text: str) -> bytes:
         return array("I", self.encode(text)).tobytes()
 
     def __call__(self, text: str) -> bytes:
+        if self.cuts and self.cuts.search(text):
+            return b"".join(self.added.get(part) or self.between(part) for part in self.cuts.split(text) if part)
+        return self.between(text)
+
+    def between(self, text: str) -> bytes:
         words = text.split(" ")
         # white space next to a cutting space may join it in one token
         if "" in words or list(map(str.strip, words)) != words:
@@ -96,9 +113,10 @@ class TokenIds:
         return b"".join(found)
 
 
-def _packed(batches: Iterator[pa.RecordBatch], path: str, window: int, open_windows: int) -> Iterator[pa.RecordBatch]:
+def _packed(batches: Iterator[pa.RecordBatch], path: str, window: int, open_windows: int,
+            added_tokens: bool) -> Iterator[pa.RecordBatch]:
     part = TaskContext.get().partitionId()
-    ids_of, serial = TokenIds(path), part << 33
+    ids_of, serial = TokenIds(path, added_tokens=added_tokens), part << 33
     out: list[tuple] = []
     opened: list[list] = []  # [free, pieces]
 
@@ -170,18 +188,20 @@ def _merged(pieces, window: int):
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                   open_windows: int = OPEN_WINDOWS, vocabulary: str | None = None) -> DataFrame:
+                   open_windows: int = OPEN_WINDOWS, vocabulary: str | None = None,
+                   added_tokens: bool = False) -> DataFrame:
     """Pieces: doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
 
     Every token of every document, its end token included, lies in exactly
     one piece.  NULL and empty texts consist of the end token.  NULL ids stay
     NULL; repeated rows are packed as often as they occur; an empty table
-    gives no pieces.  Other columns are ignored.
+    gives no pieces.  Other columns are ignored.  ``added_tokens``: strings of
+    added tokens in a text become their ids (see TokenIds).
     """
     path = vocabulary or vocabulary_path()
     pieces = cut(
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-        .mapInArrow(lambda batches: _packed(batches, path, window, open_windows), PIECE_DDL)
+        .mapInArrow(lambda batches: _packed(batches, path, window, open_windows, added_tokens), PIECE_DDL)
     )
     rest = (
         pieces.filter("NOT closed").withColumn("crew", F.floor(F.col("part") / MERGE_PARTITIONS))

@@ -15,7 +15,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack_documents(_table(spark, sf_dir, "documents"))
+    pieces = packing.pack_documents(_table(spark, sf_dir, "documents"), added_tokens=True)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                          "offset")
 
