@@ -6,7 +6,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perfwatch.llm import ann_tree, fair_mix, histogram_sort, langid, nbsvm, norm_topk, order_minhash, packing, suffix_dedup, toxicity
+from perfwatch.llm import (
+    aho_resample,
+    ann_tree,
+    fair_mix,
+    histogram_sort,
+    langid,
+    nbsvm,
+    norm_topk,
+    order_minhash,
+    packing,
+    suffix_dedup,
+    toxicity,
+)
 from perfwatch.llm._common import id_residue
 
 
@@ -65,6 +77,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = aho_resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -77,8 +94,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_repeats": op8_repeats,
         "op9_top_products": op9_top_products,
         "op10_mixing": op10_mixing,
+        "op11_resampling": op11_resampling,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_top_products": norm_topk.oracle(), "op10_mixing": fair_mix.oracle()}
+    return {"op9_top_products": norm_topk.oracle(), "op10_mixing": fair_mix.oracle(),
+            "op11_resampling": aho_resample.oracle()}
