@@ -12,6 +12,7 @@ from perfwatch.llm import (
     fair_mix,
     histogram_sort,
     langid,
+    line_runs,
     nbsvm,
     norm_topk,
     order_minhash,
@@ -82,6 +83,11 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_runs.drop_repeated_lines(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -95,9 +101,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_top_products": op9_top_products,
         "op10_mixing": op10_mixing,
         "op11_resampling": op11_resampling,
+        "op12_line_dedup": op12_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op9_top_products": norm_topk.oracle(), "op10_mixing": fair_mix.oracle(),
-            "op11_resampling": aho_resample.oracle()}
+            "op11_resampling": aho_resample.oracle(), "op12_line_dedup": line_runs.oracle()}
