@@ -17,6 +17,7 @@ from perfwatch.llm import (
     norm_topk,
     order_minhash,
     packing,
+    spelling,
     suffix_dedup,
     toxicity,
 )
@@ -88,6 +89,10 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(_table(spark, sf_dir, "documents"), delete_one_in=199)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -102,9 +107,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_mixing": op10_mixing,
         "op11_resampling": op11_resampling,
         "op12_line_dedup": op12_line_dedup,
+        "op13_spelling": op13_spelling,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op9_top_products": norm_topk.oracle(), "op10_mixing": fair_mix.oracle(),
-            "op11_resampling": aho_resample.oracle(), "op12_line_dedup": line_runs.oracle()}
+            "op11_resampling": aho_resample.oracle(), "op12_line_dedup": line_runs.oracle(),
+            "op13_spelling": spelling.oracle()}
