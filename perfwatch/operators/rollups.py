@@ -1,8 +1,7 @@
 """Aggregations.
 
 A1/A3 aggregate raw page loads with the exact rollup of
-``perfwatch.operators.aggregate`` (counts per rounded value, combined in every
-map task and spread over reducers by key and value).  A5-A11 aggregate the
+``perfwatch.operators.aggregate`` (p75 by selection over refined histograms).  A5-A11 aggregate the
 (small) daily table; their means are unweighted means over daily rows, as the
 summary report defines them, computed exactly from the rounded daily values
 (``mean_of_rounded``).
@@ -46,17 +45,17 @@ def daily_measures() -> list[agg.Measure]:
     return vitals_measures()
 
 
-def daily_from_partials(partials: DataFrame) -> DataFrame:
-    """A1 from partials keyed by at least ``DAILY_KEYS``."""
+def daily_from_partials(partials: DataFrame, page_loads: DataFrame) -> DataFrame:
+    """A1 from partials keyed by at least ``DAILY_KEYS``, and the page loads they were made of."""
     keys = [F.col("event_date").alias("date"), "route", "device_type", "release_version"]
-    return agg.merge_rollup(partials, keys, daily_measures()).withColumn(
+    return agg.merge_rollup(partials, keys, daily_measures(), page_loads).withColumn(
         "overall_health_score", health_score())
 
 
 def daily_vitals(page_loads: DataFrame) -> DataFrame:
     """A1: per (date, route, device_type, release_version): avg and p75 of
     LCP/CLS/INP, avg TTFB, sample_count, good rates and the health score."""
-    return daily_from_partials(agg.partial_rollup(page_loads, DAILY_KEYS, daily_measures()))
+    return daily_from_partials(agg.partial_rollup(page_loads, DAILY_KEYS, daily_measures()), page_loads)
 
 
 def add_health_score(df: DataFrame, lcp_col="avg_lcp_ms", cls_col="avg_cls", inp_col="avg_inp_ms",
@@ -80,17 +79,17 @@ def breakdown_measures() -> list[agg.Measure]:
     return [agg.p75(f"p75_{m.stem}", m.column, m.scale) for m in (LCP, CLS, INP)] + [agg.count("sample_count")]
 
 
-def breakdown_from_partials(partials: DataFrame) -> DataFrame:
-    """A3 from partials keyed by at least ``BREAKDOWN_KEYS``."""
+def breakdown_from_partials(partials: DataFrame, page_loads: DataFrame) -> DataFrame:
+    """A3 from partials keyed by at least ``BREAKDOWN_KEYS``, and the page loads they were made of."""
     keys = [F.col("event_date").alias("date"), "route", "device_type", "device_class", "connection_type"]
-    return add_risk_level(agg.merge_rollup(partials, keys, breakdown_measures()))
+    return add_risk_level(agg.merge_rollup(partials, keys, breakdown_measures(), page_loads))
 
 
 def device_breakdown(enriched: DataFrame) -> DataFrame:
     """A3: per (date, route, device_type, device_class, connection_type):
     p75 LCP/CLS/INP, sample_count and risk level.  A NULL device_class
     (unknown device) is a group of its own."""
-    return breakdown_from_partials(agg.partial_rollup(enriched, BREAKDOWN_KEYS, breakdown_measures()))
+    return breakdown_from_partials(agg.partial_rollup(enriched, BREAKDOWN_KEYS, breakdown_measures()), enriched)
 
 
 CURATED_KEYS = ("event_date", "route", "device_type", "release_version", "device_class", "connection_type")
@@ -100,8 +99,7 @@ def curated_partials(page_loads: DataFrame) -> DataFrame:
     """Partials of A1, A3 and A4 together, at the grain that refines all three
     key sets.  One scan and one shuffle of the page loads then feed
     ``daily_from_partials``, ``breakdown_from_partials`` and
-    ``release_aggregates_from_partials`` (counts merge exactly), instead of
-    three scans and three shuffles of raw rows."""
+    ``release_aggregates_from_partials``: bins merge exactly."""
     from perfwatch.operators.releases import release_measures
 
     measures: dict[str, agg.Measure] = {}

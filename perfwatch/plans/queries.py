@@ -22,7 +22,7 @@ from perfwatch.config import (
 )
 from perfwatch.functions.routes import canonical_route, url_path
 from perfwatch.operators import enrich, normalize, quality, rankings, regressions, releases, reports, rollups
-from perfwatch.plans.lineage import cut
+from perfwatch.lineage import cut
 from perfwatch.sources import adapters
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -210,9 +210,9 @@ QUERIES: dict[str, Callable[[DriverTables], DataFrame]] = {
     "summary_lines": summary_lines,
     "order_vitals": order_vitals,
     "metric_events": metric_events,
-    "daily_from_partials": lambda t: rollups.daily_from_partials(t.curated_partials()),
-    "breakdown_from_partials": lambda t: rollups.breakdown_from_partials(t.curated_partials()),
-    "releases_from_partials": lambda t: releases.release_aggregates_from_partials(t.curated_partials()),
+    "daily_from_partials": lambda t: rollups.daily_from_partials(t.curated_partials(), t.page_loads()),
+    "breakdown_from_partials": lambda t: rollups.breakdown_from_partials(t.curated_partials(), t.page_loads()),
+    "releases_from_partials": lambda t: releases.release_aggregates_from_partials(t.curated_partials(), t.page_loads()),
 }
 
 

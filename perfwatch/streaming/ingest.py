@@ -24,7 +24,7 @@ from perfwatch.operators.enrich import enrich_with_devices
 from perfwatch.operators.normalize import normalize_page_loads
 from perfwatch.operators.quality import apply_quality
 from perfwatch.plans.jobs import Layout, require_utc
-from perfwatch.plans.lineage import checkpoint_root
+from perfwatch.lineage import checkpoint_root
 from perfwatch.sources.readers import read_layer
 from perfwatch.sources.schemas import PAGE_LOAD_SCHEMA
 

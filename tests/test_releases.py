@@ -1,6 +1,7 @@
 """Release pairing, status and regression events on rows of our own."""
 import itertools
 import random
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 
@@ -126,10 +127,38 @@ def test_partials_merge_to_any_subset_of_the_keys(spark):
     measures = [agg.p75("p75_v", "v", 1), agg.count("n"), agg.rate("good", "v", 1.0), agg.minimum("least", "j")]
     partials = agg.partial_rollup(df, ["k", "j"], measures)
     for keys in (["k"], ["j"], ["k", "j"]):
-        merged = sorted(map(repr, agg.merge_rollup(partials, keys, measures).collect()))
+        merged = sorted(map(repr, agg.merge_rollup(partials, keys, measures, df).collect()))
         assert merged == sorted(map(repr, agg.rollup(df, keys, measures).collect()))
 
 
+@pytest.mark.parametrize("selected", [100_000, 3, 0.5])
+def test_selection_is_exact_for_any_number_of_groups(spark, monkeypatch, selected):
+    """Large and small groups, NULL keys, wide ranges, negative and extreme values; few groups selected at once."""
+    monkeypatch.setattr(agg, "SELECTED", selected)
+    rng = random.Random(5)
+    odd = [0.0, -0.0, 1e-9, 1e300, float("inf"), float("-inf"), None, float("nan"), 5e-324]
+    rows = []
+    for g in [None, *range(12)]:
+        for n in range(3000 if g in (None, 3, 4) else rng.randrange(1, 40)):
+            wide = rng.lognormvariate(7, 2) * rng.choice([1, 1, -1])
+            rows.append((g, wide if g != 4 else 17.25, rng.choice(odd) if n % 7 == 0 else rng.random() * 1e6))
+    df = spark.createDataFrame(rows, "g int, v double, w double").repartition(5)
+    got = agg.rollup(df, ["g"], [agg.p75("p", "v", 1), agg.p75("q", "w", 3), agg.count("n"), agg.avg("a", "v", 2)])
+
+    def exact(values, scale):
+        values = sorted((x for x in values if x is not None), key=lambda x: (x != x, x))
+        if not values:
+            return None
+        v = values[-(-3 * len(values) // 4) - 1]
+        return v if v != v or abs(v) > 1e15 else float(Decimal(repr(v)).quantize(Decimal(1).scaleb(-scale), ROUND_HALF_UP)) + 0.0
+
+    want = {}
+    for g in [None, *range(12)]:
+        mine = [r for r in rows if r[0] == g]
+        want[g] = (exact([r[1] for r in mine], 1), exact([r[2] for r in mine], 3), len(mine))
+    assert {r.g: repr((r.p, r.q, r.n)) for r in got.collect()} == {g: repr(w) for g, w in want.items()}
+
+
 def test_quantile_ignores_null_and_keeps_nan(spark):
     df = spark.createDataFrame([("a", None), ("a", 3.0), ("a", 1.0), ("a", 2.0), ("b", None), ("c", float("nan"))],
                                "k string, v double")
