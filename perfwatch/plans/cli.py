@@ -36,6 +36,8 @@ def main(argv=None) -> dict:
     parser = argparse.ArgumentParser(prog="perfwatch", description="web-vitals pipeline jobs")
     parser.add_argument("job", choices=sorted(JOBS))
     parser.add_argument("--root", required=True, help="shared folder holding raw/, processed/, curated/, reports/")
+    parser.add_argument("--replace-dates", action="store_true", help="page_loads: exchange only the days the raw input holds")
+    parser.add_argument("--full", action="store_true", help="curated: build every day, changed or not")
     limits = parser.add_argument_group("regression limits")
     for field in dataclasses.fields(RegressionThresholds):
         limits.add_argument(f"--{field.name.replace('_', '-')}", type=float, default=field.default,
@@ -47,7 +49,8 @@ def main(argv=None) -> dict:
              .config("spark.sql.session.timeZone", "UTC")
              .getOrCreate())
     job = JOBS[args.job]
-    takes = {"thresholds": thresholds} if "thresholds" in inspect.signature(job).parameters else {}
+    given = {"thresholds": thresholds, "replace_dates": args.replace_dates, "full": args.full}
+    takes = {name: value for name, value in given.items() if name in inspect.signature(job).parameters}
     result = job(spark, jobs.Layout(args.root.rstrip("/")), **takes)
     print(json.dumps(result, default=str))
     return result

@@ -2,18 +2,26 @@
 report exports.
 
 Each job can run alone: it reads its inputs from the layer directories of a
-``Layout`` (or takes already-built raw frames) and writes its outputs as
-full overwrites.  Written tables are the lineage cut between jobs, so a lost
-executor only ever recomputes from the last written layer.  Row counts are
-taken with ``Observation`` during the writes, not by re-scanning outputs.
+``Layout`` (or takes already-built raw frames) and publishes its outputs in
+one step (``sources.sinks``): a job that dies half way leaves the tables as
+they were, and readers keep what they began to read.  P4 is incremental: every
+curated table carries a ledger of the partitions it was built from, and only
+days whose ledger differs are built again.  Written tables are the lineage cut
+between jobs, so a lost executor only ever recomputes from the last written
+layer.  Row counts are taken with ``Observation`` during the writes.
 """
 from __future__ import annotations
 
 import logging
-from concurrent.futures import ThreadPoolExecutor
+import uuid
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import dataclass
+from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from perfwatch.config import (
     DEFAULT_THRESHOLDS,
@@ -23,6 +31,7 @@ from perfwatch.config import (
     PAGE_LOAD_QUALITY,
     RegressionThresholds,
 )
+from perfwatch.lineage import cut
 from perfwatch.operators import enrich, normalize, quality, rankings, regressions, releases, reports, rollups
 from perfwatch.sources import readers, sinks
 
@@ -57,17 +66,28 @@ class Layout:
     def report(self, name: str) -> str:
         return f"{self.root}/reports/{name}"
 
-    def scratch(self, name: str) -> str:
-        return f"{self.root}/_scratch/{name}"
 
-
-def concurrently(**actions) -> dict:
-    """Run independent actions (each ends in its own Spark job) from separate
+def concurrently(spark: SparkSession, **actions) -> dict:
+    """Run independent actions (each ends in its own Spark jobs) from separate
     threads, so Spark schedules their stages side by side and one job's last
-    wave does not leave the cluster idle.  Returns {name: result}; the first
-    failure is raised."""
+    wave does not leave the cluster idle.  Returns {name: result}.  When one
+    fails, the jobs of the others are cancelled and its error is raised."""
+    tag = f"perfwatch-{uuid.uuid4().hex}"
+
+    def tagged(action):
+        spark.sparkContext.addJobTag(tag)
+        try:
+            return action()
+        finally:
+            spark.sparkContext.removeJobTag(tag)
+
     with ThreadPoolExecutor(max_workers=len(actions)) as pool:
-        futures = {name: pool.submit(fn) for name, fn in actions.items()}
+        futures = {name: pool.submit(tagged, fn) for name, fn in actions.items()}
+        done, _ = wait(futures.values(), return_when=FIRST_EXCEPTION)
+        failed = [f for f in done if f.exception()]
+        if failed:
+            spark.sparkContext.cancelJobsWithTag(tag)
+            raise failed[0].exception()
         return {name: f.result() for name, f in futures.items()}
 
 
@@ -108,7 +128,7 @@ def ingest_field_metrics(spark: SparkSession, layout: Layout, raw: DataFrame | N
 
 
 def ingest_page_loads(spark: SparkSession, layout: Layout, raw: DataFrame | None = None,
-                      raw_devices: DataFrame | None = None, rebalance: bool = False) -> dict:
+                      raw_devices: DataFrame | None = None, rebalance: bool = False, replace_dates: bool = False) -> dict:
     """Devices -> deduped, gated -> processed/devices; page loads ->
     normalised, gated, enriched with devices -> processed/page_loads
     partitioned by event_date.  Every gate rule looks at page-load columns
@@ -125,7 +145,8 @@ def ingest_page_loads(spark: SparkSession, layout: Layout, raw: DataFrame | None
     obs = Observation("gate:page_loads")
     passed = quality.apply_quality(normalize.normalize_page_loads(raw), PAGE_LOAD_QUALITY, obs)
     clean = enrich.enrich_with_devices(passed, readers.read_layer(spark, layout.processed("devices")))
-    rows = sinks.write_partitioned(clean, layout.processed("page_loads"), "event_date", rebalance)
+    rows = sinks.write_partitioned(clean, layout.processed("page_loads"), "event_date", rebalance,
+                                   sinks.PRESENT if replace_dates else None)
     return {"devices": device_rows, "rows": rows, "gate": _gate_log("page_loads", obs)}
 
 
@@ -139,45 +160,115 @@ def processed_page_loads(spark: SparkSession, layout: Layout) -> DataFrame:
     return batch.unionByName(stream.select(*batch.columns))
 
 
-def build_curated(spark: SparkSession, layout: Layout, thresholds: RegressionThresholds = DEFAULT_THRESHOLDS) -> dict:
+UNDATED = "__HIVE_DEFAULT_PARTITION__"
+
+
+def on_dates(df: DataFrame, column: str, dates) -> DataFrame:
+    """Rows of the given days (as folder names write them); prunes partitions."""
+    known = [date.fromisoformat(d) for d in dates if d != UNDATED]
+    kept = F.col(column).isin(known) if known else F.lit(False)
+    return df.where(kept | F.col(column).isNull() if UNDATED in dates else kept)
+
+
+def page_load_ledger(spark: SparkSession, layout: Layout) -> dict[str, list[str]]:
+    """Day -> what its page loads were written by: the generation of the batch
+    table's partition and the batches of the stream that hold the day.  Only
+    folder names are read.  Days of a table that was not published by this
+    library count as changed every time."""
+    batch, stream = layout.processed("page_loads"), layout.processed("page_loads_stream")
+    parts = sinks.partitions(spark, batch) or {
+        name: uuid.uuid4().hex for name in sinks.folder_names(spark, batch) if name.startswith("event_date=")}
+    ledger = {name.partition("=")[2]: [generation] for name, generation in parts.items()}
+    for query in sinks.folder_names(spark, stream):
+        for number in sinks.folder_names(spark, f"{stream}/{query}") if query.startswith("query=") else ():
+            for day in sinks.folder_names(spark, f"{stream}/{query}/{number}"):
+                if day.startswith("event_date="):
+                    ledger.setdefault(day.partition("=")[2], []).append(f"{query}/{number}")
+    return ledger
+
+
+def _changed(before: dict, now: dict) -> list[str]:
+    return sorted(day for day in before.keys() | now.keys() if before.get(day) != now.get(day))
+
+
+def _refresh(spark: SparkSession, path: str, column: str, now: dict, full: bool, build) -> int:
+    """Publish the days of a table whose ledger differs from ``now``;
+    ``build(days)`` gives their rows.  Returns the rows written."""
+    held = None if full else sinks.current(spark, path)
+    if held is None:
+        return sinks.write_partitioned(build(sorted(now)), path, column, rebalance=True, ledger=now)
+    days = _changed(held.ledger, now)
+    return sinks.write_partitioned(build(days), path, column, rebalance=True, replace=days, ledger=now) if days else 0
+
+
+def build_curated(spark: SparkSession, layout: Layout, thresholds: RegressionThresholds = DEFAULT_THRESHOLDS,
+                  full: bool = False) -> dict:
     """Daily rollup, rankings, device breakdown, release aggregates and
     before/after comparisons.
 
-    The page loads are scanned and shuffled once: the partials of the three
-    rollups are written as a Parquet table, of which each rollup reads the
-    columns and metrics it needs, and which is removed in the end.  Rankings
-    read the written daily table; the before/after table reads the written
-    release aggregates."""
+    The page loads are scanned and aggregated once into the partials of the
+    three rollups, a table by day that stays.  When it runs again, only days
+    are built that were added, exchanged or removed since (of the rankings
+    also those whose lab reports were), and of the release aggregates those
+    releases that have, or had, page loads on such a day; their partials are
+    merged over all days.  The result equals that of ``full``, which builds
+    everything.  Each table's ledger is published with its rows, so a run that
+    died half way is completed by the next.  Returns the rows written."""
     require_utc(spark)
+    now = page_load_ledger(spark, layout)
+    loads = processed_page_loads(spark, layout)
     lab = readers.read_layer(spark, layout.processed("lab_reports"))
-    scratch = layout.scratch("curated_partials")
-    sinks.write_table(rollups.curated_partials(processed_page_loads(spark, layout)), scratch)
-    partials = readers.read_layer(spark, scratch)
+    lab_days = {name.partition("=")[2]: g for name, g in sinks.partitions(spark, layout.processed("lab_reports")).items()}
+    path = layout.curated("page_load_partials")
+    held = sinks.current(spark, path)
+    earlier = None if held is None or full else sinks.read_published(spark, path, held)
+    _refresh(spark, path, "event_date", now, full, lambda days: rollups.curated_partials(on_dates(loads, "event_date", days)))
+    partials = readers.read_layer(spark, path)
 
     def daily_and_rankings():
-        rows = sinks.write_partitioned(rollups.daily_from_partials(partials),
-                                       layout.curated("core_web_vitals_daily"), "date", rebalance=True)
-        daily = readers.read_layer(spark, layout.curated("core_web_vitals_daily"))
-        ranked = sinks.write_partitioned(rankings.route_rankings(daily, lab),
-                                         layout.curated("route_performance_rankings"), "date", rebalance=True)
+        daily_path = layout.curated("core_web_vitals_daily")
+        rows = _refresh(spark, daily_path, "date", now, full, lambda days: rollups.daily_from_partials(
+            on_dates(partials, "event_date", days), on_dates(loads, "event_date", days)))
+        daily = readers.read_layer(spark, daily_path)
+        with_lab = {day: [*made_of, f"lab {lab_days.get(day)}"] for day, made_of in now.items()}
+        ranked = _refresh(spark, layout.curated("route_performance_rankings"), "date", with_lab, full or not lab_days,
+                          lambda days: rankings.route_rankings(on_dates(daily, "date", days), on_dates(lab, "report_date", days)))
         return rows, ranked
 
     def breakdown():
-        return sinks.write_partitioned(rollups.breakdown_from_partials(partials),
-                                       layout.curated("device_breakdowns"), "date", rebalance=True)
+        return _refresh(spark, layout.curated("device_breakdowns"), "date", now, full, lambda days: rollups.breakdown_from_partials(
+            on_dates(partials, "event_date", days), on_dates(loads, "event_date", days)))
+
+    def changed_releases(aggregates: DataFrame) -> DataFrame:
+        """``aggregates`` with the releases of the changed days computed anew."""
+        days = _changed(held.ledger, now)
+        keys = releases.RELEASE_KEYS
+        touched = on_dates(earlier, "event_date", days).select(*keys).unionByName(
+            on_dates(partials, "event_date", days).select(*keys)).distinct()
+        touched = cut(touched.select(*[F.col(key).alias(f"_{key}") for key in keys]))
+        same = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])
+        theirs = partials.join(touched, same, "left_semi")
+        seen = [str(r[0]) if r[0] else UNDATED for r in theirs.select("event_date").distinct().collect()]   # days
+        anew = releases.release_aggregates_from_partials(
+            theirs, on_dates(loads, "event_date", seen).join(touched, same, "left_semi"))
+        return aggregates.join(touched, same, "left_anti").unionByName(anew)
 
     def releases_and_comparisons():
-        rows = sinks.write_table(releases.release_aggregates_from_partials(partials),
-                                 layout.curated("release_aggregates"))
-        aggregates = readers.read_layer(spark, layout.curated("release_aggregates"))
+        release_path = layout.curated("release_aggregates")
+        known = None if full else sinks.current(spark, release_path)
+        rows = 0
+        if known is None or known.ledger != now:
+            if known is not None and earlier is not None and known.ledger == held.ledger:
+                aggregates = changed_releases(sinks.read_published(spark, release_path, known))
+            else:
+                aggregates = releases.release_aggregates_from_partials(partials, loads)
+            rows = sinks.write_table(aggregates, release_path, ledger=now)
+        aggregates = readers.read_layer(spark, release_path)
         compared = sinks.write_table(releases.before_after(releases.release_pairs(aggregates), thresholds),
                                      layout.curated("before_after_comparisons"))
         return rows, compared
 
-    try:
-        done = concurrently(daily=daily_and_rankings, breakdown=breakdown, releases=releases_and_comparisons)
-    finally:
-        sinks.remove(spark, scratch)
+    done = concurrently(spark, daily=daily_and_rankings, breakdown=breakdown, releases=releases_and_comparisons)
     return {"daily": done["daily"][0], "rankings": done["daily"][1], "breakdown": done["breakdown"],
             "release_aggregates": done["releases"][0], "before_after": done["releases"][1]}
 
@@ -209,6 +300,7 @@ def build_reports(spark: SparkSession, layout: Layout, generated_at=None) -> dic
     events = readers.read_layer(spark, layout.curated("regression_events"))
     breakdown = readers.read_layer(spark, layout.curated("device_breakdowns"))
     done = concurrently(
+        spark,
         route_rankings=lambda: sinks.export_csv(reports.export_rankings(ranked), layout.report("route_rankings")),
         regression_events=lambda: sinks.export_csv(reports.export_regressions(events),
                                                    layout.report("regression_events")),
@@ -231,6 +323,7 @@ def run_all(spark: SparkSession, layout: Layout, lab: DataFrame | None = None,
     aggregates P4 has just written) and P6."""
     require_utc(spark)
     ingested = concurrently(
+        spark,
         lab=lambda: ingest_lab(spark, layout, lab),
         field=lambda: ingest_field_metrics(spark, layout, field),
         page_loads=lambda: ingest_page_loads(spark, layout, page_loads, devices),

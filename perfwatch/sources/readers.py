@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from perfwatch.sources.sinks import current, read_published
 from perfwatch.sources.schemas import (
     DEVICE_SCHEMA,
     FIELD_METRICS_SCHEMA,
@@ -38,6 +39,8 @@ def read_devices(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_layer(spark: SparkSession, path: str) -> DataFrame:
-    """A processed or curated parquet table.  Partition directories are
-    discovered (``date=2024-01-01`` comes back as a DATE column, last)."""
-    return spark.read.parquet(path)
+    """A processed or curated parquet table, as it was last published
+    (``sinks``), with the schema it was published with and the partition
+    column last.  Any other folder is read as the Parquet files it holds."""
+    manifest = current(spark, path)
+    return spark.read.parquet(path) if manifest is None else read_published(spark, path, manifest)

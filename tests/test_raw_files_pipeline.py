@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from perfwatch.plans import cli, jobs
 from perfwatch.plans.queries import DriverTables, queries
-from perfwatch.sources import adapters
+from perfwatch.sources import adapters, read_layer
 
 SF = "/root/testdata/sf0.001"
 
@@ -47,6 +47,6 @@ def test_pipeline_from_raw_files(spark, tmp_path):
                         ("device_breakdown", "device_breakdowns"), ("before_after", "before_after_comparisons"),
                         ("regression_events", "regression_events")]:
         expect = q[name](spark, SF)
-        got = spark.read.parquet(layout.curated(table)).select(*expect.columns)
+        got = read_layer(spark, layout.curated(table)).select(*expect.columns)
         assert got.count() == expect.count(), name
         assert got.exceptAll(expect).count() == 0, name

@@ -1,8 +1,10 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
+from perfwatch.sources import sinks
 from perfwatch.sources import (
     export_csv,
     read_devices,
@@ -60,7 +62,7 @@ def test_partitioned_and_plain_parquet_round_trip(spark, tmp_path):
                                "d string, route string, n int").withColumn("date", F.to_date("d")).drop("d")
     path = str(tmp_path / "t")
     assert write_partitioned(df, path, "date") == 3
-    assert sorted(p for p in os.listdir(path) if p.startswith("date=")) == ["date=2026-02-01", "date=2026-02-02"]
+    assert sorted(sinks.partitions(spark, path)) == ["date=2026-02-01", "date=2026-02-02"]
     back = read_layer(spark, path)
     assert back.columns[-1] == "date" and dict(back.dtypes)["date"] == "date"
     # overwrite replaces the whole table, not only the partitions written
@@ -70,6 +72,67 @@ def test_partitioned_and_plain_parquet_round_trip(spark, tmp_path):
     assert read_layer(spark, str(tmp_path / "u")).count() == 3
 
 
+def test_a_killed_write_leaves_the_old_table(spark, tmp_path):
+    df = spark.range(0, 60, 1, 6).selectExpr("id", "DATE '2031-01-01' + CAST(id % 3 AS INT) AS date")
+    path, plain = str(tmp_path / "t"), str(tmp_path / "u")
+    write_partitioned(df, path, "date")
+    write_table(df, plain)
+    reading = read_layer(spark, path), read_layer(spark, plain)      # planned before the others write
+    dies = df.withColumn("id", F.when(F.col("id") == 59, F.raise_error(F.lit("lost")).cast("long")).otherwise(F.col("id") + 1000))
+    for write in (lambda: write_partitioned(dies, path, "date"), lambda: write_table(dies, plain),
+                  lambda: write_partitioned(dies, path, "date", replace=["2031-01-01", "2031-01-03"])):
+        with pytest.raises(Exception, match="lost"):
+            write()
+    (tmp_path / "u" / "_manifests" / "0000000002.json").write_text('{"number": 2, "par')      # died while publishing
+    for frame in (*reading, read_layer(spark, path), read_layer(spark, plain)):
+        assert frame.agg(F.sum("id"), F.count("date")).first()[:] == (1770, 60)
+    assert write_table(df.where("id < 5"), plain) == 5 and read_layer(spark, plain).count() == 5
+    assert [r.count() for r in reading] == [60, 60]        # a reader keeps the files it planned with
+
+
+def test_partitions_are_exchanged_one_by_one_and_old_generations_go(spark, tmp_path):
+    df = spark.range(12).selectExpr("id", "DATE '2031-01-01' + CAST(id % 3 AS INT) AS date")
+    path = str(tmp_path / "t")
+    write_partitioned(df, path, "date")
+    first = sinks.partitions(spark, path)
+    assert len(set(first.values())) == 1
+    write_partitioned(df.where("id = 1").selectExpr("id + 100 AS id", "date"), path, "date", replace=["2031-01-02", "2031-01-03"],
+                      ledger={"x": 1})
+    second = sinks.partitions(spark, path)
+    assert sorted(second) == ["date=2031-01-01", "date=2031-01-02"]      # the third day has no rows left
+    assert second["date=2031-01-01"] == first["date=2031-01-01"] and second["date=2031-01-02"] != first["date=2031-01-02"]
+    assert sorted(r.id for r in read_layer(spark, path).collect()) == [0, 3, 6, 9, 101]
+    assert sinks.current(spark, path).ledger == {"x": 1}
+    with pytest.raises(ValueError, match="outside"):
+        write_partitioned(df, path, "date", replace=["2031-01-02"])
+    assert write_partitioned(df.where("id = 2"), path, "date", replace=sinks.PRESENT) == 1
+    assert sorted(r.id for r in read_layer(spark, path).collect()) == [0, 2, 3, 6, 9, 101]
+    for _ in range(5):
+        write_partitioned(df, path, "date")
+    generations = [p for p in os.listdir(path) if p.startswith("generation=")]
+    assert len(os.listdir(tmp_path / "t" / "_manifests")) <= 2 * (sinks.KEPT + 2) and len(generations) <= sinks.KEPT + 3
+    assert read_layer(spark, path).count() == 12
+    write_partitioned(df.where("false"), path, "date")
+    assert read_layer(spark, path).count() == 0 and read_layer(spark, path).columns == ["id", "date"]
+
+
+def test_two_writers_of_partitions_do_not_lose_rows(spark, tmp_path, monkeypatch):
+    df = spark.range(4).selectExpr("id", "DATE '2031-01-01' + CAST(id % 2 AS INT) AS date")
+    path = str(tmp_path / "t")
+    write_partitioned(df, path, "date")
+    publish = sinks._publish
+
+    def overtaken(*args):
+        monkeypatch.setattr(sinks, "_publish", publish)
+        write_partitioned(df.where("id = 0"), path, "date", replace=sinks.PRESENT)
+        return publish(*args)
+
+    monkeypatch.setattr(sinks, "_publish", overtaken)
+    with pytest.raises(RuntimeError, match="another writer"):
+        write_partitioned(df.where("id = 1"), path, "date", replace=sinks.PRESENT)
+    assert sorted(r.id for r in read_layer(spark, path).collect()) == [0, 1, 3]
+
+
 def test_export_csv_keeps_sort_order(spark, tmp_path):
     df = spark.range(0, 200, 1, 7).select((F.col("id") * 7 % 200).alias("k")).orderBy("k")
     out = tmp_path / "csv"
