@@ -72,21 +72,18 @@ def concurrently(spark: SparkSession, **actions) -> dict:
     threads, so Spark schedules their stages side by side and one job's last
     wave does not leave the cluster idle.  Returns {name: result}.  When one
     fails, the jobs of the others are cancelled and its error is raised."""
-    tag = f"perfwatch-{uuid.uuid4().hex}"
+    group = f"perfwatch-{uuid.uuid4().hex}"
 
-    def tagged(action):
-        spark.sparkContext.addJobTag(tag)
-        try:
-            return action()
-        finally:
-            spark.sparkContext.removeJobTag(tag)
+    def in_group(name, action):
+        spark.sparkContext.setJobGroup(group, name, True)   # of this thread only
+        return action()
 
     with ThreadPoolExecutor(max_workers=len(actions)) as pool:
-        futures = {name: pool.submit(tagged, fn) for name, fn in actions.items()}
+        futures = {name: pool.submit(in_group, name, action) for name, action in actions.items()}
         done, _ = wait(futures.values(), return_when=FIRST_EXCEPTION)
         failed = [f for f in done if f.exception()]
         if failed:
-            spark.sparkContext.cancelJobsWithTag(tag)
+            spark.sparkContext.cancelJobGroup(group)
             raise failed[0].exception()
         return {name: f.result() for name, f in futures.items()}
 
