@@ -83,7 +83,8 @@ def concurrently(spark: SparkSession, **actions) -> dict:
         done, _ = wait(futures.values(), return_when=FIRST_EXCEPTION)
         failed = [f for f in done if f.exception()]
         if failed:
-            spark.sparkContext.cancelJobGroup(group)
+            while wait(futures.values(), timeout=0.2).not_done:   # they may be about to start their jobs
+                spark.sparkContext.cancelJobGroup(group)
             raise failed[0].exception()
         return {name: f.result() for name, f in futures.items()}
 
