@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from perfwatch.functions.routes import canonical_device_type, canonical_route
 from perfwatch.functions.times import as_date, as_timestamp
+from perfwatch.operators.quality import CORRUPT
 
 
 def standardize_route(df: DataFrame, column: str = "route") -> DataFrame:
@@ -22,8 +23,12 @@ def standardize_device_type(df: DataFrame, column: str = "device_type") -> DataF
 def normalize_lab(df: DataFrame) -> DataFrame:
     """Standard route and device type, ``run_timestamp`` as TIMESTAMP
     (unparsable -> NULL), ``report_date`` added, production runs only
-    (exact, case-sensitive match; NULL environment is dropped)."""
+    (exact, case-sensitive match; NULL environment is dropped).  Records that
+    could not be parsed stay, for the gate to name them."""
     ts = as_timestamp(df, "run_timestamp")
+    wanted = F.col("environment") == F.lit("production")
+    if CORRUPT in df.columns:
+        wanted |= F.col(CORRUPT).isNotNull()
     return (
         df.withColumns({
             "route": canonical_route("route"),
@@ -31,7 +36,7 @@ def normalize_lab(df: DataFrame) -> DataFrame:
             "run_timestamp": ts,
         })
         .withColumn("report_date", F.col("run_timestamp").cast("date"))
-        .where(F.col("environment") == F.lit("production"))
+        .where(wanted)
     )
 
 

@@ -128,6 +128,35 @@ def apply_quality(df: DataFrame, spec: QualitySpec, observation: Observation | s
                         spec.check_device_type, spec.check_sample_count, observation)
 
 
+CORRUPT = "_corrupt_record"
+MALFORMED = "malformed"
+
+
+def quality_verdict(df: DataFrame, spec: QualitySpec, observation: Observation | str | None = None) -> DataFrame:
+    """Q7 without dropping: adds ``reasons``, the names of the rules a row
+    fails (empty: it passes).  A record that could not be parsed (``CORRUPT``
+    is not NULL) has the one reason ``malformed``.  The observed counts are
+    those of ``quality_gate`` and, where there is such a column,
+    ``failed_malformed``; each rule counts parsed rows only."""
+    missing = missing_columns(df, spec.required)
+    if missing:
+        raise ValueError(f"[{spec.table}] missing required columns: {missing}")
+    rules = _rules(df, spec.non_negative, spec.check_route, spec.check_device_type, spec.check_sample_count)
+    fails = {}
+    parsed = F.lit(True)
+    if CORRUPT in df.columns:
+        parsed = F.col(CORRUPT).isNull()
+        fails[MALFORMED] = ~parsed
+    fails |= {name: parsed & ~F.coalesce(keep, F.lit(False)) for name, keep in rules}
+    judged = df.withColumn("reasons", F.array_compact(F.array(*[F.when(f, F.lit(name)) for name, f in fails.items()])).cast("array<string>"))
+    if observation is not None:
+        judged = judged.observe(
+            observation, F.count(F.lit(1)).alias("rows_in"),
+            *[F.count_if(F.array_contains("reasons", name)).alias(f"failed_{name}") for name in fails],
+            F.count_if(F.size("reasons") == 0).alias("rows_out"))
+    return judged
+
+
 def quality_metrics(df: DataFrame, spec: QualitySpec) -> DataFrame:
     """Q2 + Q7 counts as a one-row frame: rows_in, failed_<rule> per rule,
     rows_out, plus negatives_<column> per non-negative column.  One

@@ -60,6 +60,9 @@ class Layout:
     def processed(self, name: str) -> str:
         return f"{self.root}/processed/{name}"
 
+    def quarantine(self, name: str) -> str:
+        return f"{self.root}/quarantine/{name}"
+
     def curated(self, name: str) -> str:
         return f"{self.root}/curated/{name}"
 
@@ -100,52 +103,83 @@ def _gate_log(table: str, obs: Observation) -> dict:
     return counts
 
 
+def _with_record(raw: DataFrame) -> DataFrame:
+    """``raw`` with its fields as they came, for the quarantine."""
+    return raw.withColumn("_record", F.struct(*[c for c in raw.columns if c != quality.CORRUPT]))
+
+
+def _split_and_write(judged: DataFrame, layout: Layout, name: str, partition_col: str, rebalance: bool,
+                     replace: str | None = None) -> dict[str, int]:
+    """Rows without a reason -> processed/<name>; the others -> quarantine/<name>
+    as (record, reasons), the record being the text that could not be parsed
+    or the fields as JSON.  Both in one pass."""
+    columns = [c for c in judged.columns if c not in ("_record", "reasons", quality.CORRUPT)]
+    passed = F.size("reasons") == 0
+    record = F.to_json("_record")
+    if quality.CORRUPT in judged.columns:
+        record = F.coalesce(quality.CORRUPT, record)
+    split = judged.select(*columns, F.when(passed, F.lit("clean")).otherwise(F.lit("broken")).alias("outcome"),
+                          F.when(~passed, record).alias("record"), F.when(~passed, F.col("reasons")).alias("reasons"))
+    rows = sinks.write_split(split, {"clean": (layout.processed(name), columns),
+                                     "broken": (layout.quarantine(name), ["record", "reasons"])}, partition_col, rebalance, replace)
+    return {"rows": rows["clean"], "quarantined": rows["broken"]}
+
+
 def ingest_lab(spark: SparkSession, layout: Layout, raw: DataFrame | None = None, rebalance: bool = False) -> dict:
     """Lab reports -> normalised, production-only, gated ->
-    processed/lab_reports partitioned by report_date.  ``rebalance``, here and
+    processed/lab_reports partitioned by report_date; what fails the gate or
+    could not be parsed -> quarantine/lab_reports.  ``rebalance``, here and
     in the other ingests: for raw files that are not laid out by date."""
     require_utc(spark)
-    raw = raw if raw is not None else readers.read_lab_reports(spark, layout.raw("lab_reports"))
+    raw = raw if raw is not None else readers.read_lab_reports(spark, layout.raw("lab_reports"), quality.CORRUPT)
     obs = Observation("gate:lab_reports")
-    clean = quality.apply_quality(normalize.normalize_lab(raw), LAB_QUALITY, obs)
-    rows = sinks.write_partitioned(clean, layout.processed("lab_reports"), "report_date", rebalance)
-    return {"rows": rows, "gate": _gate_log("lab_reports", obs)}
+    judged = quality.quality_verdict(normalize.normalize_lab(_with_record(raw)), LAB_QUALITY, obs)
+    return _split_and_write(judged, layout, "lab_reports", "report_date", rebalance) | {"gate": _gate_log("lab_reports", obs)}
 
 
 def ingest_field_metrics(spark: SparkSession, layout: Layout, raw: DataFrame | None = None,
                          rebalance: bool = False) -> dict:
     """Field metrics -> normalised, gated (incl. sample_count > 0) ->
-    processed/field_metrics partitioned by date.  Nothing downstream reads
-    it; it is kept as a processed table for ad-hoc use."""
+    processed/field_metrics partitioned by date, and quarantine/field_metrics.
+    Nothing downstream reads it; it is kept as a processed table for ad-hoc use."""
     require_utc(spark)
-    raw = raw if raw is not None else readers.read_field_metrics(spark, layout.raw("field_metrics"))
+    raw = raw if raw is not None else readers.read_field_metrics(spark, layout.raw("field_metrics"), quality.CORRUPT)
     obs = Observation("gate:field_metrics")
-    clean = quality.apply_quality(normalize.normalize_field_metrics(raw), FIELD_QUALITY, obs)
-    rows = sinks.write_partitioned(clean, layout.processed("field_metrics"), "date", rebalance)
-    return {"rows": rows, "gate": _gate_log("field_metrics", obs)}
+    judged = quality.quality_verdict(normalize.normalize_field_metrics(_with_record(raw)), FIELD_QUALITY, obs)
+    return _split_and_write(judged, layout, "field_metrics", "date", rebalance) | {"gate": _gate_log("field_metrics", obs)}
 
 
 def ingest_page_loads(spark: SparkSession, layout: Layout, raw: DataFrame | None = None,
                       raw_devices: DataFrame | None = None, rebalance: bool = False, replace_dates: bool = False) -> dict:
     """Devices -> deduped, gated -> processed/devices; page loads ->
     normalised, gated, enriched with devices -> processed/page_loads
-    partitioned by event_date.  Every gate rule looks at page-load columns
-    only, so rows that fail are dropped before the join; the join reads the
-    written device table."""
+    partitioned by event_date, and quarantine/page_loads.  Every gate rule
+    looks at page-load columns only, so rows that fail don't look for a device:
+    they join by NULL.  The join reads the written device table.  With
+    ``replace_dates`` only the days that the raw input holds are exchanged (in
+    the quarantine, too; its records without a day are those of the last
+    ingest), all others stay as they are."""
     require_utc(spark)
-    raw_devices = raw_devices if raw_devices is not None else readers.read_devices(spark, layout.raw("devices"))
+    raw_devices = raw_devices if raw_devices is not None else readers.read_devices(spark, layout.raw("devices"), quality.CORRUPT)
+    if quality.CORRUPT in raw_devices.columns:   # a dimension of a few files: read once more for its broken records
+        broken = raw_devices.where(F.col(quality.CORRUPT).isNotNull()).select(
+            F.col(quality.CORRUPT).alias("record"), F.array(F.lit(quality.MALFORMED)).alias("reasons"), F.col("device_id"))
+        lost = sinks.write_table(broken, layout.quarantine("devices"))
+        if lost:
+            log.warning("[devices] %d records could not be parsed", lost)
+        raw_devices = raw_devices.where(F.col(quality.CORRUPT).isNull()).drop(quality.CORRUPT)
     dev_obs = Observation("gate:devices")
     devices = quality.apply_quality(normalize.normalize_devices(raw_devices), DEVICE_QUALITY, dev_obs)
     device_rows = sinks.write_table(devices, layout.processed("devices"))
     _gate_log("devices", dev_obs)
 
-    raw = raw if raw is not None else readers.read_page_loads(spark, layout.raw("page_loads"))
+    raw = raw if raw is not None else readers.read_page_loads(spark, layout.raw("page_loads"), quality.CORRUPT)
     obs = Observation("gate:page_loads")
-    passed = quality.apply_quality(normalize.normalize_page_loads(raw), PAGE_LOAD_QUALITY, obs)
-    clean = enrich.enrich_with_devices(passed, readers.read_layer(spark, layout.processed("devices")))
-    rows = sinks.write_partitioned(clean, layout.processed("page_loads"), "event_date", rebalance,
-                                   sinks.PRESENT if replace_dates else None)
-    return {"devices": device_rows, "rows": rows, "gate": _gate_log("page_loads", obs)}
+    judged = quality.quality_verdict(normalize.normalize_page_loads(_with_record(raw)), PAGE_LOAD_QUALITY, obs)
+    judged = judged.withColumn("device_id", F.when(F.size("reasons") == 0, F.col("device_id")))
+    enriched = enrich.enrich_with_devices(judged, readers.read_layer(spark, layout.processed("devices")))
+    rows = _split_and_write(enriched, layout, "page_loads", "event_date", rebalance, sinks.PRESENT if replace_dates else None)
+    return {"devices": device_rows, **rows, "gate": _gate_log("page_loads", obs)}
 
 
 def processed_page_loads(spark: SparkSession, layout: Layout) -> DataFrame:

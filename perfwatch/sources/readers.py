@@ -7,35 +7,45 @@ the per-day report files); JSON Lines and CSV split by byte range.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
-from perfwatch.sources.sinks import current, read_published
 from perfwatch.sources.schemas import (
     DEVICE_SCHEMA,
     FIELD_METRICS_SCHEMA,
     LAB_REPORT_SCHEMA,
     PAGE_LOAD_SCHEMA,
 )
+from perfwatch.sources.sinks import current, read_published
+
+
+def _declared(reader, schema: StructType, corrupt: str | None):
+    """``reader`` with the declared schema and, if asked for, a column that
+    holds what could not be parsed (the line, or a whole multi-line file);
+    such a record has NULL in the fields that did not parse."""
+    if corrupt is None:
+        return reader.schema(schema)
+    return reader.option("columnNameOfCorruptRecord", corrupt).schema(StructType([*schema.fields, StructField(corrupt, StringType())]))
 
 
-def read_lab_reports(spark: SparkSession, path: str) -> DataFrame:
+def read_lab_reports(spark: SparkSession, path: str, corrupt: str | None = None) -> DataFrame:
     """Directory of JSON-array files; missing fields come back NULL."""
-    return spark.read.option("multiLine", True).schema(LAB_REPORT_SCHEMA).json(path)
+    return _declared(spark.read.option("multiLine", True), LAB_REPORT_SCHEMA, corrupt).json(path)
 
 
-def read_field_metrics(spark: SparkSession, path: str) -> DataFrame:
+def read_field_metrics(spark: SparkSession, path: str, corrupt: str | None = None) -> DataFrame:
     """CSV with header.  With a declared schema the columns bind by
     position; the header line is skipped, not used for mapping."""
-    return spark.read.option("header", True).schema(FIELD_METRICS_SCHEMA).csv(path)
+    return _declared(spark.read.option("header", True).option("enforceSchema", True), FIELD_METRICS_SCHEMA, corrupt).csv(path)
 
 
-def read_page_loads(spark: SparkSession, path: str) -> DataFrame:
+def read_page_loads(spark: SparkSession, path: str, corrupt: str | None = None) -> DataFrame:
     """S3: JSON Lines, one page-load event per line."""
-    return spark.read.schema(PAGE_LOAD_SCHEMA).json(path)
+    return _declared(spark.read, PAGE_LOAD_SCHEMA, corrupt).json(path)
 
 
-def read_devices(spark: SparkSession, path: str) -> DataFrame:
+def read_devices(spark: SparkSession, path: str, corrupt: str | None = None) -> DataFrame:
     """Device dimension as a JSON array."""
-    return spark.read.option("multiLine", True).schema(DEVICE_SCHEMA).json(path)
+    return _declared(spark.read.option("multiLine", True), DEVICE_SCHEMA, corrupt).json(path)
 
 
 def read_layer(spark: SparkSession, path: str) -> DataFrame:

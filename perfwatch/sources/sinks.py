@@ -171,6 +171,41 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str, rebalance: b
     return int(obs.get["rows"])
 
 
+def write_split(df: DataFrame, outputs: dict[str, tuple[str, list[str]]], partition_col: str, rebalance: bool = False,
+                replace: str | None = None) -> dict[str, int]:
+    """One pass over ``df``, several tables: the rows whose ``outcome`` is a
+    key of ``outputs`` go to the (path, columns) it maps to.  All are
+    partitioned by ``partition_col`` and published one after the other, the
+    first last.  With ``replace`` (``PRESENT``) a partition that any row falls
+    in is exchanged in all of them (rows of no partition: where they are).
+    Returns the rows of each."""
+    spark, generation = df.sparkSession, uuid.uuid4().hex
+    staged = f"{next(iter(outputs.values()))[0]}/_staged-{generation}"
+    counts = Observation(f"split:{staged}")
+    rows = df.where(F.col("outcome").isin(*outputs)).observe(
+        counts, *[F.count_if(F.col("outcome") == name).alias(name) for name in outputs])
+    if rebalance:
+        rows = rows.hint("rebalance", "outcome", partition_col)
+    rows.write.partitionBy("outcome", partition_col).parquet(staged)
+    seen = {p for name in outputs for p in folder_names(spark, f"{staged}/outcome={name}") if not p.endswith("__HIVE_DEFAULT_PARTITION__")}
+    for name, (path, columns) in reversed(outputs.items()):
+        before = current(spark, path) if replace is not None else None
+        store, target = _path(spark, f"{path}/generation={generation}")
+        store.mkdirs(target.getParent())
+        _, written = _path(spark, f"{staged}/outcome={name}")
+        if not (store.rename(written, target) if store.exists(written) else store.mkdirs(target)):
+            raise OSError(f"{written} could not be moved to {target}")
+        schema = StructType([df.schema[c] for c in columns if c != partition_col] + [df.schema[partition_col]])
+        parts = {"": generation}
+        if replace is not None:
+            parts = {p: g for p, g in partitions(spark, path).items() if p not in seen} if before else {}
+            parts |= {p: generation for p in folder_names(spark, f"{path}/generation={generation}") if "=" in p}
+        _publish(spark, path, schema, parts, {}, before)
+    remove(spark, staged)
+    found = counts.get
+    return {name: int(found[name]) for name in outputs}
+
+
 def write_table(df: DataFrame, path: str, ledger: dict | None = None) -> int:
     """Publish an unpartitioned parquet table; returns rows written."""
     generation = uuid.uuid4().hex
