@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,6 +33,23 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Tables:
+    """Intermediate results as compressed Parquet tables in a folder of their
+    own under the checkpoint folder, each removed when its last reader is done."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder = spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+    def cut(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.option("compression", "zstd").parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fanout(spark: SparkSession) -> int:
     """Number of groups to deal blocks out to: the session's shuffle width."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))

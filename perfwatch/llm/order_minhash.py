@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perfwatch.llm._common import cut, slices
+from perfwatch.llm._common import Tables, cut, slices
 from perfwatch.llm.suffix_dedup import _prefix_hashes
 
 SHINGLE_WORDS = 3
@@ -254,16 +254,13 @@ def _verify(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Reco
 def _cross_links(table: pa.Table, least: float) -> pa.Table:
     """Verified links of one block pair of a bucket, between texts of different
     classes whose lengths and word counts allow the similarity.  A pair is
-    looked at only in the first band it shares, and no more once links found
-    before have joined its classes."""
+    looked at only in the least band it shares, and no more once links found
+    before have joined its classes.  ``bands`` are those a text shares at all."""
     node, group, side, words = (table.column(c).to_numpy() for c in ("node", "root", "side", "words"))
-    lists = table.column("bands").to_pylist()
-    bands = np.zeros((len(lists), BANDS + SHORT_BANDS), dtype=np.int64)     # 0: no such band
-    for i, keys in enumerate(lists):
-        bands[i, :len(keys)] = keys
+    here = table.column("band")[0].as_py()
+    earlier = [{key for key in keys if key < here} for keys in table.column("bands").to_pylist()]
     texts = [np.frombuffer(s, "<u4") for s in table.column("sequence").to_pylist()]
     counts = np.array([word_counts(t) for t in texts])
-    here = table.column("band")[0].as_py()
     square = side.min() == side.max()
     left, right = np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max())
     above: dict[int, int] = {}
@@ -281,12 +278,9 @@ def _cross_links(table: pa.Table, least: float) -> pa.Table:
             fit &= node[right] > node[i]
         others = right[fit]
         others = others[np.minimum(counts[others], counts[i]).sum(axis=1) >= need[fit]]
-        if not len(others):
-            continue
-        equal = (bands[others] == bands[i]) & (bands[i] != 0)
-        for j in others[bands[i][equal.argmax(axis=1)] == here].tolist():
+        for j in others.tolist():
             x, y = root(int(group[i])), root(int(group[j]))
-            if x != y and aligned_similarity(texts[i], texts[j], least) >= least:
+            if x != y and earlier[i].isdisjoint(earlier[j]) and aligned_similarity(texts[i], texts[j], least) >= least:
                 above[max(x, y)] = min(x, y)
                 a.append(int(node[i]))
                 b.append(int(node[j]))
@@ -332,26 +326,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"),
                          F.xxhash64(text).alias("t1"), F.xxhash64(text, F.lit(3)).alias("t2"), text.alias("text"))
-    rows = cut(source.mapInArrow(_sketch_rows, "doc long, t1 long, t2 long, words long, bands array<long>")
-               .withColumn("row", F.monotonically_increasing_id()))
+    tables = Tables(docs.sparkSession, "near")
+    sketches = tables.cut(source.mapInArrow(_sketch_rows, "doc long, t1 long, t2 long, words long, bands array<long>")
+                          .withColumn("row", F.monotonically_increasing_id()), "sketches")
+    rows = tables.cut(sketches.select("doc", "t1", "t2", "row", "words"), "rows")
     # equal texts: the row of the smallest id stands for all
-    nodes = cut(
+    nodes = tables.cut(
         rows.groupBy("t1", "t2").agg(F.min(F.struct("doc", "row")).alias("lead"), F.count("*").alias("copies"),
-                                     F.first("bands").alias("bands"),
                                      F.first("words").alias("words"))
-        .select("t1", "t2", F.col("lead.doc").alias("doc"), F.col("lead.row").alias("node"), "copies", "bands", "words"))
+        .select("t1", "t2", F.col("lead.doc").alias("doc"), F.col("lead.row").alias("node"), "copies", "words"), "nodes")
     worded = nodes.filter("words > 0")
-    keyed = worded.select("node", F.explode("bands").alias("band"))
+    keyed = sketches.select(F.col("row").alias("node"), "bands").join(worded.select("node"), "node", "left_semi").select(
+        "node", F.explode("bands").alias("band"))
     leads = keyed.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
-    shared = cut(keyed.join(leads, "band").select("band", "node", "low", "high"))
+    shared = tables.cut(keyed.join(leads, "band").select("band", "node", "low", "high"), "shared")
+    tables.drop("sketches")
     near = shared.select("node", F.explode(F.array("low", "high")).alias("lead")).filter("node <> lead").select(
         F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
 
-    taking_part = shared.select("node").distinct()
-    wanted = worded.join(taking_part, "node").select("doc", "t1", "t2", "node", "words", "bands")
-    sequences = cut(
+    # from here on a text's bands are those that it shares with another
+    wanted = worded.join(shared.groupBy("node").agg(F.collect_list("band").alias("bands")), "node").select(
+        "doc", "t1", "t2", "node", "words", "bands")
+    sequences = tables.cut(
         source.join(wanted, ["doc", "t1", "t2"]).select("node", "text", "words", "bands").mapInArrow(
-            _sequence_rows, "node long, words long, bands array<long>, sequence binary").dropDuplicates(["node"]))
+            _sequence_rows, "node long, words long, bands array<long>, sequence binary").dropDuplicates(["node"]), "sequences")
 
     def verified(pairs: DataFrame) -> DataFrame:
         left = sequences.select(F.col("node").alias("a"), F.col("sequence").alias("left"))
@@ -380,6 +378,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .applyInArrow(lambda table: _cross_links(table, similarity), "a long, b long"))
     links = cut(links.unionByName(more))
     classes = cut(components(links))
+    tables.drop("shared", "sequences")
 
     rooted = nodes.join(classes, "node", "left").select("t1", "t2", "doc", "node", "copies",
                                                         F.coalesce("root", "node").alias("root"))
