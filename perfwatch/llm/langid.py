@@ -10,7 +10,6 @@ counts of a bounded sample of the labelled documents.
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,7 +27,6 @@ FLOOR = 1e-8               # probability of a piece the sample never uses
 CACHE_WORDS = 250_000
 BATCH_BYTES = 1 << 19      # word bytes scored in one vectorised pass
 UNDETERMINED = "und"
-LETTER = re.compile(r"[^\W\d_]")
 
 
 def vocabulary_path() -> str:
@@ -221,7 +219,7 @@ def predict(docs: DataFrame, langs: list[str], prob: np.ndarray, vocabulary: str
                 known, values = {}, values[:0]
             rows, words = [], []
             for i, text in enumerate(texts):
-                if langs and text and LETTER.search(text):
+                if langs and text and any(map(str.isalpha, text)):   # numerals such as ½ or ② are no letters
                     split = text.split()
                     rows.append(i)
                     words.append(np.array([known.setdefault(w, len(known)) for w in split], dtype=np.int32))

@@ -60,6 +60,13 @@ def test_language_awkward(spark, messy, no_documents):
     assert langid.identify_language(no_documents, F.lit(True)).count() == 0
 
 
+def test_numerals_are_no_letters(spark):
+    rows = [(1, "the old house by the sea", "en"), (2, "das alte Haus am See", "de"), (3, "½ ② Ⅷ ¹ ٣", None), (4, "½ x", None)]
+    found = langid.identify_language(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), carry=("doc_id",))
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in found.collect()}
+    assert got[3] == ("und", 0.0) and got[4][0] != "und"
+
+
 def auc(score, label):
     order = np.argsort(score, kind="stable")
     rank = np.empty(len(score))
