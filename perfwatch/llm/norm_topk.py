@@ -6,12 +6,16 @@ product in the leading coordinates: a partial sum over them plus the product
 of the residual lengths (Cauchy-Schwarz) bounds the whole product.  A query
 leaves a block unread if its length times the block's greatest length stays
 below the query's k-th best so far, and a vector is finished in exact integer
-arithmetic only if its bound does not.
-
-The longest vectors, one block, are seen by all queries first; they give each
-query its first k-th best.  Rounds over more and more blocks follow, each with
-the k-th best of the rounds before; the blocks of a round are independent
-tasks.  Equal vectors are collapsed first; of their ids the k + 1 smallest suffice.
+arithmetic only if its bound does not: in doubles where lengths prove that they
+hold every partial sum, in 64-bit integers where these hold the product, and in
+Python's integers beyond.
+
+Blocks are cut from a range sort by falling length, so that their numbers
+follow it.  The longest vectors, one block, are seen by all queries first; they
+give each query its first k-th best.  Rounds over more and more blocks follow,
+each with the k-th best of the rounds before; the blocks of a round are
+independent tasks.  Equal vectors are collapsed first; of their ids the k + 1
+smallest suffice.
 """
 from __future__ import annotations
 
@@ -30,6 +34,10 @@ QUERY_BLOCK = 512        # queries that travel together
 HEAD = 16                # leading rotated coordinates
 SAMPLE = 4096            # vectors the rotation is computed from
 SALTS = 16
+TASK_BLOCKS = 16         # blocks cut by one task of the range sort
+TASK_BITS = 33           # monotonically_increasing_id: the partition's number lies above these bits
+EXACT_DOUBLE, EXACT_LONG = 2.0**53, 2.0**62
+GREATEST, LEAST = 2**63 - 1, -2**63
 
 
 def clean_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -61,30 +69,56 @@ def _matrix(column) -> np.ndarray:
 
 
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    return np.lexsort((ids, -scores))[:k]
+    falling = ~scores if scores.dtype.kind == "i" else -scores      # the least long has no negative
+    return np.lexsort((ids, falling))[:k]
+
+
+def _exact_products(vectors: np.ndarray, query: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers as 64-bit integers, those beyond as the
+    nearest one.  ``limits`` bound each sum of absolute products."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        rough = vectors @ query
+    small, middle = limits < EXACT_DOUBLE, limits < EXACT_LONG
+    out = np.where(small, rough, 0.0).astype(np.int64)
+    at = np.flatnonzero(middle & ~small)
+    if len(at):     # neither vector is zero, so no component is longer than the limit
+        out[at] = vectors[at].astype(np.int64) @ query.astype(np.int64)
+    at = np.flatnonzero(~middle)
+    if len(at):
+        whole = [int(x) for x in query.tolist()]
+        for i in at.tolist():
+            product = sum(int(x) * y for x, y in zip(vectors[i].tolist(), whole, strict=True))
+            out[i] = min(max(product, LEAST), GREATEST)
+    return out
 
 
 def _search_block(vectors: np.ndarray, norms: np.ndarray, rotation: np.ndarray, queries: np.ndarray,
                   floor: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each query the vectors that may enter its best k, with exact scores.
 
-    ``floor``: each query's k-th best score so far (-inf: none).  All whole
-    numbers here are below 2**53, so doubles hold them exactly; bounds get a
-    relative slack against rounding.
+    ``floor``: each query's k-th best score so far (-inf: none).  Bounds get a
+    relative slack against rounding, and one that overflows rules nothing out.
     """
-    turned, asked = vectors @ rotation, queries @ rotation
-    rest = np.sqrt((turned[:, HEAD:] ** 2).sum(axis=1))
-    asked_rest = np.sqrt((asked[:, HEAD:] ** 2).sum(axis=1))
-    length = np.sqrt((queries ** 2).sum(axis=1))
-    for q in np.flatnonzero(length * norms.max(initial=0.0) * (1 + 1e-9) + 1e-6 >= floor).tolist():
-        bound = turned[:, :HEAD] @ asked[q, :HEAD] + rest * asked_rest[q]
-        bound += np.abs(bound) * 1e-9 + 1e-6 + norms * length[q] * 1e-9
-        left = np.flatnonzero(bound >= floor[q])
+    with np.errstate(over="ignore", invalid="ignore"):
+        turned, asked = vectors @ rotation, queries @ rotation
+        rest = np.sqrt((turned[:, HEAD:] ** 2).sum(axis=1))
+        asked_rest = np.sqrt((asked[:, HEAD:] ** 2).sum(axis=1))
+        length = np.sqrt((queries ** 2).sum(axis=1))
+        hopeless = length * norms.max(initial=0.0) * (1 + 1e-9) + 1e-6 < floor
+    for q in np.flatnonzero(~hopeless).tolist():
+        with np.errstate(over="ignore", invalid="ignore"):
+            limit = norms * length[q] * (1 + 1e-9)
+            bound = turned[:, :HEAD] @ asked[q, :HEAD] + rest * asked_rest[q]
+            bound += np.abs(bound) * 1e-9 + 1e-6 + limit * 1e-9
+        # scores end at those of 64 bits, so bounds do
+        left = np.flatnonzero(~np.isfinite(bound) | (np.maximum(bound, float(LEAST)) >= floor[q]))
         if not len(left):
             continue
-        exact = vectors[left] @ queries[q]
-        cutoff = max(floor[q], np.partition(exact, len(exact) - k)[len(exact) - k]) if len(left) > k else floor[q]
-        left, exact = left[exact >= cutoff], exact[exact >= cutoff]
+        exact = _exact_products(vectors[left], queries[q], limit[left])
+        fine = exact.astype(np.float64) >= floor[q]
+        if len(left) > k:
+            fine &= exact >= np.partition(exact, len(exact) - k)[len(exact) - k]
+        left, exact = left[fine], exact[fine]
         if len(left):
             yield q, left, exact
 
@@ -97,10 +131,10 @@ def _expand(query_ids: list, ids: list, scores: np.ndarray, k: int):
     return flat[best], value[best]
 
 
-def _found(rows: list[tuple]) -> pa.RecordBatch:
+def _found(rows: list[tuple], score: pa.DataType = pa.float64()) -> pa.RecordBatch:
     q, ids, scores = zip(*rows, strict=True) if rows else ((), (), ())
     return pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(ids, pa.list_(pa.int64())),
-                                       pa.array(scores, pa.list_(pa.float64()))], names=["query", "ids", "scores"])
+                                       pa.array(scores, pa.list_(score))], names=["query", "ids", "scores"])
 
 
 def _pair_blocks(batches: Iterator[pa.RecordBatch], rotation: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
@@ -111,20 +145,40 @@ def _pair_blocks(batches: Iterator[pa.RecordBatch], rotation: np.ndarray, k: int
             queries = np.frombuffer(row["asked"], "<f8").reshape(len(row["queries"]), -1)
             if vectors.shape[1] != queries.shape[1]:
                 continue
-            norms = np.sqrt((vectors ** 2).sum(axis=1))
+            with np.errstate(over="ignore"):
+                norms = np.sqrt((vectors ** 2).sum(axis=1))
             out = []
             for q, left, exact in _search_block(vectors, norms, rotation, queries,
                                                 np.array(row["floor"], dtype=float), k + 1):
                 ids, scores = _expand([], [row["ids"][i] for i in left.tolist()], exact, k)
                 out.append((row["queries"][q], ids.tolist(), scores.tolist()))
-            yield _found(out)
+            yield _found(out, pa.int64())
 
 
-def _blocks(table: pa.Table) -> pa.Table:
-    matrix = _matrix(table.column("vector"))
-    return pa.table({"block": table.column("block").slice(0, 1), "ids": pa.array([table.column("ids").to_pylist()]),
-                     "vectors": pa.array([matrix.astype("<f8").tobytes()], pa.binary()),
-                     "top": pa.array([float(np.sqrt((matrix ** 2).sum(axis=1)).max(initial=0.0))])})
+def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Vectors in their order -> blocks of ``size`` of them, one held at a time."""
+    parts: list[pa.RecordBatch] = []
+
+    def block() -> pa.RecordBatch:
+        table = pa.Table.from_batches(parts)
+        matrix = _matrix(table.column("vector"))
+        with np.errstate(over="ignore"):
+            top = float(np.sqrt((matrix ** 2).sum(axis=1)).max())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([table.column("ids").to_pylist()], pa.list_(pa.list_(pa.int64()))),
+             pa.array([matrix.astype("<f8").tobytes()], pa.binary()), pa.array([top])], names=["ids", "vectors", "top"])
+
+    held = 0
+    for batch in batches:
+        at = 0
+        while at < batch.num_rows:
+            parts.append(batch.slice(at, size - held))
+            at, held = at + parts[-1].num_rows, held + parts[-1].num_rows
+            if held == size:
+                yield block()
+                parts, held = [], 0
+    if held:
+        yield block()
 
 
 def _asked(table: pa.Table) -> pa.Table:
@@ -145,12 +199,21 @@ def top_inner_products(rows: DataFrame, is_query: Column, id_col: str = "vec_id"
     * Ties go to the smaller id.  Fewer than k candidates are all returned.
     * Rows that repeat an id and a vector count once; rows that repeat the id
       with another vector are candidates of their own, but never of that id.
+    * Products are exact however large components are.  One that a long cannot
+      hold counts as the nearest long, so ties among such go to the smaller id
+      too.  A finite component that overflows a double when scaled is not finite.
     * An empty table gives no rows; other columns are ignored.
     """
-    whole = clean_vectors(rows, id_col, vector_col).select(
-        "id", F.transform("vector", lambda x: F.floor(x * SCALE).cast("double")).alias("vector"))
-    asked_ids = clean_vectors(rows.filter(is_query), id_col, vector_col).select("id").distinct()
-    vectors = cut(whole.distinct())
+    def whole(x: Column) -> Column:
+        # from 2**52 on doubles are whole numbers, and floor() would end at the greatest long
+        return F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).otherwise(x)
+
+    def scaled(some: DataFrame) -> DataFrame:
+        fit = clean_vectors(some, id_col, vector_col).withColumn("vector", F.transform("vector", lambda x: x * SCALE))
+        return clean_vectors(fit, "id", "vector").select("id", F.transform("vector", whole).alias("vector"))
+
+    asked_ids = scaled(rows.filter(is_query)).select("id").distinct()
+    vectors = cut(scaled(rows).distinct())
     kinds = cut(collapsed(vectors, k + 1).withColumn("norm", F.aggregate(
         "vector", F.lit(0.0), lambda s, x: s + x * x)).withColumn("width", F.size("vector")))
     out = None
@@ -176,20 +239,16 @@ def _best_entries(found: DataFrame, met: DataFrame | None, k: int) -> DataFrame:
 def _one_width(kinds: DataFrame, vectors: DataFrame, asked_ids: DataFrame, k: int) -> DataFrame:
     sample = _matrix(pa.array([r[0] for r in kinds.orderBy(F.xxhash64(F.col("ids")[0])).select("vector").limit(SAMPLE)
                                .collect()], pa.list_(pa.float64())))
-    rotation = np.linalg.svd(sample, full_matrices=sample.shape[0] < sample.shape[1])[2].T
-    # blocks of falling length: edges from counts per length band, no global sort in one task
-    total = kinds.count()
-    sorted_kinds = kinds.withColumn("draw", F.xxhash64(F.col("ids")[0]))
-    count = max(1, -(-total // BLOCK))
-    edges = sorted({float(e) for e in kinds.approxQuantile("norm", [i / count for i in range(1, count)], 0.1 / count)}
-                   ) if count > 1 else []
-    band = sum([(F.col("norm") <= e).cast("int") for e in edges], F.lit(0))
-    sized = sorted_kinds.withColumn("band", band)
-    crowd = {r["band"]: -(-r["n"] // BLOCK) for r in sized.groupBy("band").agg(F.count("*").alias("n")).collect()}
-    parts = F.create_map(*[F.lit(x) for b, n in crowd.items() for x in (b, n)])
-    blocked = sized.withColumn("block", F.col("band") * 100_000 + F.pmod("draw", parts[F.col("band")]))
-    blocks = cut(blocked.groupBy("block").applyInArrow(
-        _blocks, "block long, ids array<array<long>>, vectors binary, top double"))
+    rotation = np.linalg.svd(sample / max(1.0, np.abs(sample).max()), full_matrices=sample.shape[0] < sample.shape[1])[2].T
+    # one range sort by falling length, cut into blocks as it streams by; the numbers of blocks
+    # rise in that order, and only the number of tasks depends on the table
+    tasks = max(1, -(-kinds.count() // (BLOCK * TASK_BLOCKS)))
+    size = BLOCK
+    order = [F.col("norm").desc(), F.xxhash64(F.col("ids")[0])]
+    blocks = cut(
+        kinds.repartitionByRange(tasks, *order).sortWithinPartitions(*order).select("ids", "vector")
+        .mapInArrow(lambda it: _blocks(it, size), "ids array<array<long>>, vectors binary, top double")
+        .withColumn("block", F.monotonically_increasing_id()))
     queries = cut(
         vectors.join(asked_ids, "id").groupBy("vector").agg(F.min("id").alias("query"))
         .withColumn("crew", F.pmod(F.xxhash64("query"), F.lit(max(1, -(-asked_ids.count() // QUERY_BLOCK))))))
@@ -205,23 +264,24 @@ def _one_width(kinds: DataFrame, vectors: DataFrame, asked_ids: DataFrame, k: in
             _asked, "crew long, queries array<long>, asked binary, floor array<double>")
         return pairs.join(crews, "crew").join(some_blocks, "block").select(
             "ids", "vectors", "queries", "asked", "floor").mapInArrow(
-                lambda it: _pair_blocks(it, rotation, k), "query long, ids array<long>, scores array<double>")
+                lambda it: _pair_blocks(it, rotation, k), "query long, ids array<long>, scores array<long>")
 
-    # block by block of falling length, each round over three times as many as all before it, so that
+    # rounds of falling length, each over three times as many blocks as all before it, so that
     # every query's k-th best is known early and later blocks tell little
-    order = Window.orderBy(F.col("top").desc(), "block")
-    ranked = cut(blocks.join(blocks.select("block", "top").withColumn("turn", F.row_number().over(order) - 1)
-                             .select("block", "turn"), "block"))
-    turns, done, met = ranked.count(), 0, None
-    while done < turns:
-        upto = min(turns, 4 * done or 1)
+    ends = [1, 4, 1 << TASK_BITS]
+    while ends[-1] < tasks << TASK_BITS:
+        ends.append(4 * ends[-1])
+    done, met, last = 0, None, blocks.agg(F.max("block")).first()[0]
+    for upto in ends:
+        if done > last:
+            break
         if met is None:
             asking = queries.withColumn("floor", F.lit(float("-inf")))
         else:
             asking = queries.join(met.groupBy("query").agg(F.min("score").alias("least"), F.count("*").alias("n")), "query",
-                                  "left").withColumn("floor", F.when(F.col("n") > k, F.col("least")).otherwise(float("-inf"))
+                                  "left").withColumn("floor", F.when(F.col("n") > k, F.col("least").cast("double")).otherwise(float("-inf"))
                                                      ).drop("least", "n")
-        found = search(ranked.filter((F.col("turn") >= done) & (F.col("turn") < upto)).drop("turn"), asking)
+        found = search(blocks.filter((F.col("block") >= done) & (F.col("block") < upto)), asking)
         met, done = cut(_best_entries(found, met, k)), upto
     lists = met.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("place", "vec_id", "score"))).alias("list"))
     # back to every query id of that vector, without its own id
@@ -230,19 +290,20 @@ def _one_width(kinds: DataFrame, vectors: DataFrame, asked_ids: DataFrame, k: in
         asked.join(lists, "query")
         .select("id", F.posexplode(F.slice(F.filter("list", lambda e: e["vec_id"] != F.col("id")), 1, k)).alias("pos", "e"))
         .select(F.col("id").alias("query_id"), (F.col("pos") + 1).alias("rank"), F.col("e.vec_id").alias("vec_id"),
-                F.col("e.score").cast("long").alias("score")))
+                F.col("e.score").alias("score")))
 
 
 def oracle(divisor: int = 50, k: int = 5) -> str:
     """DuckDB statement for the query: every product, no pruning."""
     return f"""
 WITH v AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor({SCALE} * CAST(x AS DOUBLE))) AS q
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS HUGEINT)) AS q
   FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 products AS (
-  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  SELECT a.vec_id AS query_id, b.vec_id,
+    CAST(list_sum(list_transform(a.q, lambda x, i: x * b.q[i])) AS BIGINT) AS score
   FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % {divisor} = 0)
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM products)

@@ -57,6 +57,56 @@ def test_exact_search_awkward(awkward, monkeypatch):
     assert norm_topk.top_inner_products(awkward.limit(0), F.lit(True)).count() == 0
 
 
+def check_whole_products(df, vectors, modulus, got):
+    """``vectors``: Python integers; products beyond a long count as the nearest one."""
+    asked = [i for i in vectors if i % modulus == 0]
+    assert set(got) == set(asked)
+    for q in asked:
+        products = [(i, min(max(sum(x * y for x, y in zip(vectors[q], v, strict=True)), -2**63), 2**63 - 1))
+                    for i, v in vectors.items() if i != q]
+        assert got[q] == sorted(products, key=lambda p: (-p[1], p[0]))[:5]
+
+
+@pytest.mark.parametrize("power", [20, 24, 30, 100])
+def test_products_beyond_doubles_are_exact(spark, monkeypatch, power):
+    """Products around 2**56 to 2**63, where doubles round, and far beyond a long."""
+    rng = np.random.default_rng(power)
+    rows = [(i, [float(math.floor(x * 2.0**power)) + 0.25 for x in rng.normal(size=4)]) for i in range(60)]
+    rows += [(100 + i, [x * 2.0**-power for x in rows[i][1]]) for i in range(20)]
+    rows += [(200, [0.0] * 4), (201, [1e308, 0.0, 0.0, 0.0])]       # the last one overflows when scaled
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    vectors = {i: [math.floor(256 * x) for x in v] for i, v in rows if i != 201}
+    check_whole_products(df, vectors, 3, found(norm_topk.top_inner_products(df, F.col("vec_id") % 3 == 0)))
+    monkeypatch.setattr(norm_topk, "BLOCK", 7)
+    check_whole_products(df, vectors, 3, found(norm_topk.top_inner_products(df, F.col("vec_id") % 3 == 0)))
+
+
+def test_huge_components_do_not_end_the_search(spark):
+    rows = [(i, [1e305 / (i + 1), -1e305 * (i % 3), 1.0]) for i in range(12)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    vectors = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    check_whole_products(df, vectors, 1, found(norm_topk.top_inner_products(df, F.lit(True))))
+
+
+@pytest.mark.parametrize("blocks", [1_000, 10_000])
+def test_many_blocks(spark, monkeypatch, blocks):
+    """The plan does not grow with the number of blocks."""
+    rng = np.random.default_rng(blocks)
+    count = 2 * blocks
+    matrix = np.floor(rng.normal(size=(count, 3)) * 256) / 256 * rng.uniform(0.2, 3, size=(count, 1))
+    df = spark.createDataFrame(list(zip(range(count), matrix.tolist(), strict=True)), "vec_id long, embedding array<double>")
+    monkeypatch.setattr(norm_topk, "BLOCK", 2)
+    monkeypatch.setattr(norm_topk, "TASK_BLOCKS", blocks // 8)
+    asked = count // 20
+    got = found(norm_topk.top_inner_products(df, F.col("vec_id") % asked == 0))
+    whole = np.floor(matrix * 256)
+    assert len(got) == 20
+    for q, hits in got.items():
+        scores = (whole @ whole[q]).astype(int)
+        order = [i for i in np.lexsort((np.arange(count), -scores)).tolist() if i != q][:5]
+        assert hits == [(i, int(scores[i])) for i in order]
+
+
 def test_block_search_prunes_without_loss():
     rng = np.random.default_rng(6)
     vectors = np.floor(rng.normal(size=(300, 20)) * 50)
