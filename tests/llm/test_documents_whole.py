@@ -108,6 +108,21 @@ def test_one_heavy_text_is_cut_and_others_stay_whole(spark):
     assert all(len(shards) == 1 for shards in small.values())      # light texts stay whole
 
 
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_a_repeated_row_is_cut_alike_on_any_partitioning(spark, doc_id):
+    docs = [(doc_id, "one row over and over " * 4)] * 400 + [(1000 + i, f"text {i % 150} " * 9) for i in range(600)]
+    sizes = [len(t) + 1 for _, t in docs]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    results = []
+    for parts in (1, 4, 16):
+        rows = histogram_sort.shard_documents(df.repartition(parts), probes=16).collect()
+        check_shards(rows, docs, 8, 2 * max(sizes) + 0.002 * sum(sizes) / 8)
+        results.append(sorted((r["shard"], r["slot"], r["doc_id"] or 0, r["text_crc32"]) for r in rows))
+    assert results[0] == results[1] == results[2]
+    texts = [r[3] for r in results[0]]
+    assert sum(a != b for a, b in zip(texts, texts[1:], strict=False)) == len(set(texts)) - 1    # equal texts are neighbours
+
+
 def oracle_rows(docs):
     con = duckdb.connect()
     con.register("documents", docs)
