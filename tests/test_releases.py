@@ -4,6 +4,7 @@ import random
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from perfwatch.config import DEFAULT_THRESHOLDS, RegressionThresholds
 from perfwatch.operators import aggregate as agg
@@ -40,6 +41,27 @@ def test_undated_and_unnamed_releases(pairs, load):
     assert neighbours(pairs(rows)) == {("undated", None), ("too", None), (None, "named")}
 
 
+def test_pairs_build_no_arrays_and_share_one_exchange(pairs, load):
+    found = pairs([load(None, f"u{i}") for i in range(3)] + [load(9, "dated")])
+    assert found.count() == 3
+    execution = found._jdf.queryExecution()
+    found.collect()
+    assert "collect_list" not in execution.optimizedPlan().toString()
+    assert "ReusedExchange" in execution.executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_many_undated_releases_of_one_route(spark):
+    from perfwatch.config import METRICS
+
+    values = [F.lit(1.0).alias(f"p75_{m.stem}") for m in METRICS]
+    undated = spark.range(100_000).select(F.lit("/a").alias("route"), F.lit(None).cast("string").alias("device_type"),
+                                          F.col("id").cast("string").alias("release_version"),
+                                          F.lit(None).cast("date").alias("release_start_date"), *values)
+    dated = undated.where("release_version = '7'").withColumn("release_start_date", F.lit("2031-03-04").cast("date"))
+    found = release_pairs(undated.unionByName(dated))
+    assert found.agg(F.count("*"), F.countDistinct("before_release"), F.max("after_release")).first() == (100_000, 100_000, "7")
+
+
 def test_other_routes_and_devices_never_pair(pairs, load):
     rows = [load(1, "a"), load(2, "b", route="/faq"), load(3, "c", device="mobile")]
     assert pairs(rows).count() == 0
