@@ -34,6 +34,7 @@ from perfwatch.config import (
 from perfwatch.lineage import cut
 from perfwatch.operators import enrich, normalize, quality, rankings, regressions, releases, reports, rollups
 from perfwatch.sources import readers, sinks
+from perfwatch.sources.schemas import PROCESSED_CONTRACTS
 
 log = logging.getLogger("perfwatch")
 
@@ -177,15 +178,20 @@ def ingest_page_loads(spark: SparkSession, layout: Layout, raw: DataFrame | None
     obs = Observation("gate:page_loads")
     judged = quality.quality_verdict(normalize.normalize_page_loads(_with_record(raw)), PAGE_LOAD_QUALITY, obs)
     judged = judged.withColumn("device_id", F.when(F.size("reasons") == 0, F.col("device_id")))
-    enriched = enrich.enrich_with_devices(judged, readers.read_layer(spark, layout.processed("devices")))
+    enriched = enrich.enrich_with_devices(judged, _processed(spark, layout, "devices"))
     rows = _split_and_write(enriched, layout, "page_loads", "event_date", rebalance, sinks.PRESENT if replace_dates else None)
     return {"devices": device_rows, **rows, "gate": _gate_log("page_loads", obs)}
 
 
+def _processed(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    """A processed table, its files held against what the jobs need of it."""
+    return readers.read_layer(spark, layout.processed(name), PROCESSED_CONTRACTS.get(name))
+
+
 def processed_page_loads(spark: SparkSession, layout: Layout) -> DataFrame:
     """The page loads of the batch job and, where there is one, those of the
     streaming ingest, which keeps a table of its own."""
-    batch = readers.read_layer(spark, layout.processed("page_loads"))
+    batch = _processed(spark, layout, "page_loads")
     if not sinks.exists(spark, layout.processed("page_loads_stream")):
         return batch
     stream = readers.read_layer(spark, layout.processed("page_loads_stream"))
@@ -249,7 +255,7 @@ def build_curated(spark: SparkSession, layout: Layout, thresholds: RegressionThr
     require_utc(spark)
     now = page_load_ledger(spark, layout)
     loads = processed_page_loads(spark, layout)
-    lab = readers.read_layer(spark, layout.processed("lab_reports"))
+    lab = _processed(spark, layout, "lab_reports")
     lab_days = {name.partition("=")[2]: g for name, g in sinks.partitions(spark, layout.processed("lab_reports")).items()}
     path = layout.curated("page_load_partials")
     held = sinks.current(spark, path)

@@ -1,7 +1,7 @@
 """Declared schemas of the four raw inputs (never inferred)."""
 from __future__ import annotations
 
-from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, StructField, StructType
 
 
 def _schema(*fields: tuple[str, object]) -> StructType:
@@ -46,3 +46,12 @@ DEVICE_SCHEMA = _schema(
     ("device_id", S), ("device_class", S), ("device_name", S), ("viewport_width", I),
     ("viewport_height", I), ("cpu_tier", S), ("memory_gb", I), ("network_profile", S),
 )
+
+# What the curated jobs need of the processed layers; other columns may be there.
+PROCESSED_CONTRACTS = {
+    "page_loads": _schema(
+        ("event_date", DateType()), ("route", S), ("device_type", S), ("release_version", S), ("connection_type", S),
+        ("device_class", S), ("lcp_ms", D), ("cls", D), ("inp_ms", D), ("ttfb_ms", D)),
+    "lab_reports": _schema(("report_date", DateType()), ("route", S), ("device_type", S), ("performance_score", D)),
+    "devices": _schema(("device_id", S), ("device_class", S), ("network_profile", S)),
+}

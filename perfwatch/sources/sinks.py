@@ -105,14 +105,18 @@ def remove(spark: SparkSession, path: str) -> None:
     store.delete(found, True)
 
 
+def folders(path: str, manifest: Manifest) -> list[str]:
+    """The folders a published table is read from."""
+    return [f"{path}/generation={generation}/{name}".rstrip("/") for name, generation in sorted(manifest.parts.items())]
+
+
 def read_published(spark: SparkSession, path: str, manifest: Manifest) -> DataFrame:
     schema = StructType.fromJson(manifest.schema)
     if "" in manifest.parts:
-        return spark.read.schema(schema).parquet(f"{path}/generation={manifest.parts['']}")
+        return spark.read.schema(schema).parquet(*folders(path, manifest))
     if not manifest.parts:
         return spark.createDataFrame([], schema)
-    folders = [f"{path}/generation={generation}/{name}" for name, generation in sorted(manifest.parts.items())]
-    return spark.read.schema(schema).option("basePath", path).parquet(*folders).select(*schema.names)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders(path, manifest)).select(*schema.names)
 
 
 def _publish(spark: SparkSession, path: str, schema: StructType, parts: dict, ledger: dict, after: Manifest | None) -> None:

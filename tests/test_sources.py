@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from perfwatch.sources import sinks
 from perfwatch.sources import (
+    LayerMismatch,
     export_csv,
     read_devices,
     read_field_metrics,
@@ -72,6 +73,42 @@ def test_partitioned_and_plain_parquet_round_trip(spark, tmp_path):
     assert read_layer(spark, str(tmp_path / "u")).count() == 3
 
 
+CONTRACT = "id long, lcp_ms double, date date"
+
+
+def test_contract_names_layer_column_and_file(spark, tmp_path):
+    contract = spark.createDataFrame([], CONTRACT).schema
+    plain, table = str(tmp_path / "plain"), str(tmp_path / "table")
+    good = spark.range(4).select("id", F.lit(1.5).alias("lcp_ms"), F.lit("x").alias("more"), F.expr("date'2026-02-01'").alias("date"))
+    late = good.select("id", F.col("lcp_ms").cast("string"), "more", F.expr("date'2026-02-02'").alias("date"))
+    for i in range(5):
+        good.where(f"id >= {i % 2}").coalesce(1).write.mode("append").parquet(plain)
+    assert read_layer(spark, plain, contract).columns == ["id", "lcp_ms", "more", "date"]
+    late.coalesce(1).write.mode("append").parquet(plain)        # one file among several
+    with pytest.raises(LayerMismatch, match=r"plain: column lcp_ms is string, declared double \(in .*parquet\)"):
+        read_layer(spark, plain, contract)
+    good.drop("lcp_ms").write.parquet(str(tmp_path / "short"))
+    with pytest.raises(LayerMismatch, match="short: column lcp_ms is missing"):
+        read_layer(spark, str(tmp_path / "short"), contract)
+    # a published table: the partition that came last departs, its column of folder names is not looked at
+    write_partitioned(good, table, "date")
+    assert read_layer(spark, table, contract).count() == 4
+    write_partitioned(late, table, "date", replace=sinks.PRESENT)
+    with pytest.raises(LayerMismatch, match="table: column lcp_ms is string, declared double"):
+        read_layer(spark, table, contract)
+
+
+def test_contract_allows_later_columns_and_empty_tables(spark, tmp_path):
+    contract = spark.createDataFrame([], CONTRACT).schema
+    table, empty = str(tmp_path / "table"), str(tmp_path / "empty")
+    rows = spark.range(3).select("id", F.lit(2.5).alias("lcp_ms"), F.expr("date'2026-02-01'").alias("date"))
+    write_partitioned(rows.drop("lcp_ms"), table, "date")
+    write_partitioned(rows.select("id", "lcp_ms", F.expr("date'2026-02-02'").alias("date")), table, "date", replace=sinks.PRESENT)
+    assert read_layer(spark, table, contract).where("lcp_ms IS NULL").count() == 3      # the older files lack it
+    write_partitioned(rows.where("id < 0"), empty, "date")
+    assert read_layer(spark, empty, contract).count() == 0
+
+
 def test_a_killed_write_leaves_the_old_table(spark, tmp_path):
     df = spark.range(0, 60, 1, 6).selectExpr("id", "DATE '2031-01-01' + CAST(id % 3 AS INT) AS date")
     path, plain = str(tmp_path / "t"), str(tmp_path / "u")
