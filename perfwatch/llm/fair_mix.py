@@ -6,21 +6,21 @@ entries are ordered by finish time and taken until the total budget is
 spent, so each source advances in proportion to its target.  A document is
 queued ``cap`` times, the later rounds after the whole source has passed.
 
-Only DataFrame functions are used.  Running sums never gather a source in
-one task: documents are dealt over (source, hash bucket) cells, sums per
-cell give each cell its offset, and a window runs inside one cell only.  The
-global order is cut the same way, by sums per finish-time bin.
+Only DataFrame functions are used.  Both orders, the one inside the sources
+and the one by finish time, are range sorts whose last key numbers the rows,
+so a source, an id or a finish time that many rows share is cut between tasks
+like anything else.  Running sums come from the sums of whole ranges and a
+window inside each range.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perfwatch.llm._common import cut
 
 WORD = r"[^\x20\x09-\x0D]+"
-CELL_DIGITS = 3      # hex digits of the shuffle key that name a cell: 4096 per source
-FINISH_BINS = 4096   # finish-time bins per unit of virtual time
+TASK_BITS = 33      # monotonically_increasing_id: the partition's number lies above these bits
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, cap: int) -> DataFrame:
@@ -50,6 +50,20 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, cap
         F.col("most"), F.coalesce(F.col("level") * F.col("weight"), F.col("most"))).alias("target"))
 
 
+def _range_sort(rows: DataFrame, number: str, order: list[str]) -> DataFrame:
+    """``rows`` after one range sort: ``number`` grows along the order, ``part`` is a row's range."""
+    return cut(
+        rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn(number, F.monotonically_increasing_id()).withColumn("part", F.shiftright(number, TASK_BITS)))
+
+
+def _passed(ordered: DataFrame) -> DataFrame:
+    """One row per range: ``passed``, the sizes in all ranges before it, and ``part_size``, those in it."""
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return ordered.groupBy("part").agg(F.sum("size").alias("part_size")).withColumn(
+        "passed", F.coalesce(F.sum("part_size").over(before), F.lit(0)))
+
+
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: int = 2, seed: str = "42") -> DataFrame:
     """One row per input row: doc_id, source, size, source_size, target, taken,
@@ -59,7 +73,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
       NULL id is shuffled as the empty id.
     * A document of size 0 takes nothing; an empty table gives no rows.
     * Repeated rows are separate entries, next to each other in the order.
-    * Ties in finish time go by source, shuffle key, id and round.
+    * Ties in finish time go by source, shuffle key, id, size and round.
     * Other columns of the input are ignored, whatever their names.
     """
     base = cut(docs.select(
@@ -68,67 +82,51 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")).alias("text_key"),
     ).select("*", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("src"),
              F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
-             .alias("draw")).withColumn("cell", F.substring("draw", 1, CELL_DIGITS)))
-
-    cells = base.groupBy("src", "cell").agg(F.sum("size").alias("cell_size"), F.first("source").alias("source"))
-    sizes = cells.groupBy("src").agg(F.first("source").alias("source"), F.sum("cell_size").alias("source_size"))
-    targets = source_targets(sizes, weights, share, cap)
-    before = Window.partitionBy("src").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        cells.withColumn("offset", F.coalesce(F.sum("cell_size").over(before), F.lit(0)))
-        .select("src", "cell", "offset")
-        .join(targets.select("src", "source_size", "target", "budget"), "src")
-    )
-    inside = Window.partitionBy("src", "cell").orderBy("draw", "doc_id", "size").rowsBetween(
-        Window.unboundedPreceding, 0)
+             .alias("draw"), F.monotonically_increasing_id().alias("row")))
+
+    sizes = base.groupBy("src").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"))
+    earlier = Window.orderBy("src").rowsBetween(Window.unboundedPreceding, -1)
+    targets = source_targets(sizes, weights, share, cap).drop("source").withColumn(
+        "sources_before", F.coalesce(F.sum("source_size").over(earlier), F.lit(0)))
+
+    # shuffled sources, one behind the other; rows alike in all but their number change nothing by their order
+    queued = _range_sort(base, "place", ["src", "draw", "doc_id", "size", "text_key", "row"])
+    inside = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     served = cut(
-        base.join(offsets, ["src", "cell"])
-        .withColumn("served", F.col("offset") + F.sum("size").over(inside))
-        .select("doc_id", "source", "src", "draw", "size", "source_size", "target", "budget", "served", "text_key")
+        queued.withColumn("upto", F.sum("size").over(inside))
+        .join(F.broadcast(_passed(queued)), "part")     # one row per range
+        .join(targets, "src")
+        .select("doc_id", "source", "size", "source_size", "target", "budget", "place", "text_key",
+                (F.col("passed") + F.col("upto") - F.col("sources_before")).alias("served"))
     )
 
-    def finish(turn: int):
-        return F.try_divide((F.col("served") + turn * F.col("source_size")).cast("double"), F.col("target"))
-
-    def bin_of(time):
-        return F.floor(F.least(time, F.lit(2.0)) * FINISH_BINS)
+    def key(turn: Column) -> list[Column]:
+        """An entry's place in the queue: finish time, then the place of its row, then the round."""
+        finish = F.try_divide((F.col("served") + turn * F.col("source_size")).cast("double"), F.col("target"))
+        return [finish.alias("time"), F.col("place"), turn.cast("int").alias("turn")]
 
     entries = (
-        served.filter(F.col("size") > 0)
-        .withColumn("turn", F.explode(F.array(*[F.lit(t) for t in range(cap)])))
-        .withColumn("time", finish(F.col("turn")))
-        .withColumn("bin", bin_of(F.col("time")))
-    )
-    order = ["time", "src", "draw", "doc_id", "size", "turn"]
-    # the first bin that the budget cannot cover whole: at most 2 * FINISH_BINS + 1 rows
-    so_far = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    edge = (
-        entries.groupBy("bin").agg(F.sum("size").alias("bin_size"), F.max("budget").alias("budget"))
-        .withColumn("through", F.sum("bin_size").over(so_far))
-        .filter(F.col("through") > F.col("budget")).orderBy("bin").limit(1).first()
+        served.filter(F.col("size") > 0).withColumn("turn", F.explode(F.array(*[F.lit(t) for t in range(cap)])))
+        .select(*key(F.col("turn")), "size", "budget")
     )
+    queue = _range_sort(entries, "at", ["time", "place", "turn"])
+    # the range in which the budget ends, and in it the first entry that is not paid for any more
+    budget = queue.agg(F.max("budget")).first()[0]
+    edge = None if budget is None else (
+        _passed(queue).filter(F.col("passed") + F.col("part_size") > budget).orderBy("part").limit(1).first())
     if edge is None:
         taken = F.col("size") * cap
     else:
-        # inside that bin, peers (identical rows) are taken together or not at all
-        last = (
-            entries.filter(F.col("bin") == edge["bin"])
-            .withColumn("through", F.lit(edge["through"] - edge["bin_size"]) + F.sum("size").over(Window.orderBy(*order)))
-            .filter(F.col("through") <= F.col("budget"))
-            .orderBy(*[F.col(c).desc() for c in order]).limit(1).first()
+        through = F.lit(edge["passed"]) + F.sum("size").over(Window.partitionBy("part").orderBy("at").rowsBetween(
+            Window.unboundedPreceding, 0))
+        first_out = (
+            queue.filter(F.col("part") == edge["part"]).withColumn("through", through)
+            .filter(F.col("through") > budget).orderBy("at").limit(1).first()
         )
-
-        def admitted(turn: int):
-            time = finish(F.lit(turn))
-            inside_bin = F.lit(False)
-            if last is not None:
-                key = F.struct(time.alias("time"), "src", "draw", F.coalesce("doc_id", F.lit(-2**63)).alias("doc_id"),
-                               "size", F.lit(turn).alias("turn"))
-                upto = F.struct(*[F.lit(-2**63 if last[c] is None else last[c]).alias(c) for c in order])
-                inside_bin = (bin_of(time) == edge["bin"]) & (key <= upto)
-            return F.coalesce((bin_of(time) < edge["bin"]) | inside_bin, F.lit(False)) & (F.col("size") > 0)
-
-        taken = F.col("size") * sum(admitted(turn).cast("long") for turn in range(cap))
+        end = F.struct(F.lit(first_out["time"]).alias("time"), F.lit(first_out["place"]).cast("long").alias("place"),
+                       F.lit(first_out["turn"]).cast("int").alias("turn"))
+        admitted = [(F.struct(*key(F.lit(turn))) < end) & (F.col("size") > 0) for turn in range(cap)]
+        taken = F.col("size") * sum(F.coalesce(a, F.lit(False)).cast("long") for a in admitted)
     return served.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"),
                          "text_key")
 

@@ -142,6 +142,27 @@ def test_mixing_matches_sql(spark, messy, no_documents):
     assert fair_mix.mix_sources(no_documents).count() == 0
 
 
+def test_mixing_cuts_one_hot_id_between_ranges(spark):
+    """A third of all rows without an id and with one text, another third of one id: several
+    ranges share them, and the result is the plain running sums' whatever the partitions."""
+    rows = [(None, "hot words here", "a")] * 700 + [(7, "w " * 5, "a")] * 700 + [
+        (i, "w " * (1 + i % 9), "abc"[i % 3]) for i in range(100, 800)]
+    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    wanted = order(oracle_rows(docs.toArrow()))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")      # small ranges would be put together again
+    try:
+        for partitions in (1, 5):
+            got = fair_mix.mix_sources(docs.repartition(partitions)).select(*columns).collect()
+            assert order([tuple(r) for r in got]) == wanted
+        sizes = docs.selectExpr("'a' AS src", "doc_id", "1L AS size", "monotonically_increasing_id() AS row")
+        ranges = fair_mix._range_sort(sizes, "place", ["src", "doc_id", "size", "row"]).groupBy("part").count().collect()
+        assert len(ranges) > 4 and max(r["count"] for r in ranges) < 700
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
 def test_targets_and_limits(spark):
     rows = [(i, "w " * (1 + i % 7), s) for i, s in enumerate([None, "b", "a", "a", "b", "c", "c", "c", "c"] * 40)]
     got = fair_mix.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
