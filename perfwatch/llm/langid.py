@@ -18,15 +18,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perfwatch.llm._common import cut, sampled, slices
+from perfwatch.llm._common import cut, sampled_by, slices
 
 LONGEST_PIECE = 8          # bytes; a piece is then one 64-bit number
-TRAIN_DOCUMENTS = 6000     # bound of the labelled sample
+TRAIN_DOCUMENTS = 2000     # bound of the labelled sample, for each language
 ROUNDS = 4                 # of expectation maximisation
 FLOOR = 1e-8               # probability of a piece the sample never uses
 CACHE_WORDS = 250_000
 BATCH_BYTES = 1 << 19      # word bytes scored in one vectorised pass
 UNDETERMINED = "und"
+# what str.split takes for white space, for the words that are learned (regular expression of the JVM)
+WHITE_SPACE = r"[\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"
 
 
 def vocabulary_path() -> str:
@@ -166,9 +168,10 @@ def fit(labelled: DataFrame, vocabulary: str, text: Column, lang: Column, key: C
     number per language and piece in use.
     """
     pieces = Pieces(vocabulary)
-    sample = sampled(labelled, key, train_documents)
+    sample = sampled_by(labelled.select(lang.alias("lang"), text.alias("text"), key.alias("key")), F.col("key"),
+                        F.col("lang"), train_documents)
     counts = cut(
-        sample.select(lang.alias("lang"), F.explode(F.split(text, r"\s+")).alias("word")).filter("word <> ''")
+        sample.select("lang", F.explode(F.split("text", WHITE_SPACE)).alias("word")).filter("word <> ''")
         .groupBy("lang", "word").agg(F.count("*").alias("n")))
     langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
     if not langs:
@@ -248,7 +251,8 @@ def identify_language(docs: DataFrame, learn: Column, id_col: str = "doc_id", te
     score (posterior of the predicted language).
 
     ``learn`` marks the rows whose text and language may be learned from; of
-    these at most ``train_documents`` (smallest id hashes) are used.  NULL
+    these at most ``train_documents`` of each language (smallest id hashes)
+    are used, so a rare language is learned like a common one.  NULL
     texts and texts without a letter, and all texts if nothing can be learned
     from, are ``und`` with score 0.  Equal likelihoods go to the first
     language in code point order.  Repeated rows are predicted each; an

@@ -5,6 +5,7 @@ from brute import MESSY, SF_DIR, all_segmentations
 from pyspark.sql import functions as F
 
 from perfwatch.llm import langid, nbsvm, queries, toxicity
+from perfwatch.llm._common import sampled_by
 
 
 @pytest.fixture(scope="module")
@@ -67,6 +68,29 @@ def test_numerals_are_no_letters(spark):
     assert got[3] == ("und", 0.0) and got[4][0] != "und"
 
 
+def test_a_rare_language_is_learned(spark):
+    rows = [(i, f"the house number {i % 97} stands by the old sea wall", "en") for i in range(20_000)]
+    rows += [(20_000, "der alte Mann geht über die lange Brücke", "de"), (20_001, "über die lange alte Brücke geht der Mann", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.identify_language(docs, F.lit(True), train_documents=40).filter("doc_id >= 19999").collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == {19_999: "en", 20_000: "de", 20_001: "de"}
+
+
+def test_samples_are_bounded_by_class(spark):
+    docs = spark.range(30_000).selectExpr("id", "CASE WHEN id % 1000 = 0 THEN 'rare' ELSE 'common' END AS kind")
+    repeated = docs.unionByName(spark.range(500).selectExpr("7L AS id", "'single' AS kind"))
+    for df in (repeated, repeated.repartition(7)):
+        got = {r["kind"]: r["count"] for r in sampled_by(df, F.col("id"), F.col("kind"), 200).groupBy("kind").count().collect()}
+        assert got["rare"] == 30 and got["single"] == 500 and 140 <= got["common"] <= 200
+
+
+def test_words_are_split_alike(spark):
+    text = "".join(f"a{chr(c)}" for c in range(1, 0x3100) if not 0xD800 <= c < 0xE000)
+    df = spark.createDataFrame([(text,)], "text string")
+    got = df.select(F.split("text", langid.WHITE_SPACE).alias("words")).first()["words"]
+    assert [w for w in got if w] == text.split()
+
+
 def auc(score, label):
     order = np.argsort(score, kind="stable")
     rank = np.empty(len(score))
