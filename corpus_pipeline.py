@@ -23,9 +23,19 @@ def _text_key(column: str = "text"):
     return F.xxhash64(F.coalesce(F.col(column), F.lit("")).cast("binary"))
 
 
+def _one_of_each(docs: DataFrame, *keys: str) -> DataFrame:
+    """One row per ``keys``: of rows that differ in other columns only, the smallest by source, language and length."""
+    rest = [c for c in ("source", "lang", "n_chars", "text") if c not in keys]
+    return docs.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("row")).select(*keys, "row.*")
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised: those without a letter, and
-    those no language is likelier for than all others together, go."""
+    those no language is likelier for than all others together, go.  If no
+    document tells its language, nothing can be recognised, and only those
+    without a letter go."""
+    if docs.filter("text IS NOT NULL AND lang IS NOT NULL").isEmpty():
+        return docs.filter(F.col("text").rlike(r"\p{L}")).select(*COLUMNS)
     found = langid.identify_language(docs, learn=F.lit(True), carry=COLUMNS)
     kept = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_CERTAINTY)
     return found.filter(kept).select(*COLUMNS)
@@ -37,8 +47,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"))
     keyed = docs.select(*COLUMNS, _text_key().alias("text_key"))
     same = keyed["doc_id"].eqNullSafe(kept["kept_id"]) & (keyed["text_key"] == kept["kept_key"])
-    # a row that is repeated as a whole matches itself: one of them stays
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text_key"]).select(*COLUMNS)
+    # rows that repeat an id and its text match themselves: one of them stays
+    return _one_of_each(keyed.join(kept, same, "left_semi"), "doc_id", "text_key").select(*COLUMNS)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,13 +63,14 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: not at all, once or twice."""
+    """Documents as often as the mix takes them: not at all, once or twice.
+    Rows that repeat id, source and text count their turns together."""
     turns = (
         fair_mix.mix_sources(docs).filter("taken > 0")
         .groupBy("doc_id", "source", "text_key").agg(F.sum(F.expr("taken div size")).alias("turns"))
         .select(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), F.col("text_key").alias("mix_key"),
                 "turns"))
-    keyed = docs.select(*COLUMNS, _text_key().alias("text_key")).dropDuplicates(["doc_id", "source", "text_key"])
+    keyed = _one_of_each(docs.select(*COLUMNS, _text_key().alias("text_key")), "doc_id", "source", "text_key")
     same = (keyed["doc_id"].eqNullSafe(turns["mix_id"]) & keyed["source"].eqNullSafe(turns["mix_source"])
             & (keyed["text_key"] == turns["mix_key"]))
     return keyed.join(turns, same).withColumn("turn", F.explode(F.sequence(F.lit(1).cast("long"), "turns"))).select(*COLUMNS)

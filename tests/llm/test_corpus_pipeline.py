@@ -1,9 +1,11 @@
 """The pipeline's stages on given and on messy documents."""
 import corpus_pipeline
+import pytest
 from brute import SF_DIR, near_classes, removed_repeats
 from pyspark.sql import functions as F
 
 from perfwatch.llm import fair_mix
+from perfwatch.llm._common import ensure_checkpoint_dir
 
 COLUMNS = list(corpus_pipeline.COLUMNS)
 
@@ -66,3 +68,31 @@ def test_repeated_rows_leave_one(spark):
     docs = spark.createDataFrame([row, row, (None, row[1], "en", None, 40)],
                                  "doc_id long, text string, lang string, source string, n_chars long")
     assert corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR).count() == 1
+
+
+def test_no_known_language_keeps_what_has_letters(spark):
+    docs = spark.createDataFrame([(1, "plain words", None, "a", 11), (2, "12 ½ --", None, "a", 7), (3, None, None, "a", None)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.identify_language(spark, docs, SF_DIR)
+    assert kept.columns == COLUMNS and [r["doc_id"] for r in kept.collect()] == [1]
+
+
+def test_of_rows_that_repeat_an_id_the_same_one_stays(spark):
+    text = "one text that came in from three sources at once"
+    rows = [(5, text, lang, source, 40) for lang, source in (("fr", "c"), ("en", "b"), ("de", "b"), (None, "c"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for partitions in (1, 4):
+        kept = corpus_pipeline.drop_near_duplicates(spark, docs.repartition(partitions), SF_DIR).collect()
+        assert [(r["lang"], r["source"]) for r in kept] == [("de", "b")]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Bare:
+        master = "spark://somewhere:7077"
+        sparkContext = conf = property(lambda self: self)
+        getCheckpointDir = lambda self: None
+        getConf = lambda self: self
+        get = lambda self, name, default="": default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Bare())
