@@ -1,5 +1,5 @@
 """DataFrame -> DataFrame operators of the web-vitals pipeline."""
-from perfwatch.operators.enrich import device_projection, enrich_with_devices
+from perfwatch.operators.enrich import device_projection, enrich_with_devices, hot_devices
 from perfwatch.operators.normalize import (
     normalize_devices,
     normalize_field_metrics,

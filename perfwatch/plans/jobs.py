@@ -38,6 +38,8 @@ from perfwatch.sources.schemas import PROCESSED_CONTRACTS
 
 log = logging.getLogger("perfwatch")
 
+LARGE_CATALOGUE = 100_000   # devices; fewer fit the planner's broadcast limit
+
 UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
 
 
@@ -156,7 +158,9 @@ def ingest_page_loads(spark: SparkSession, layout: Layout, raw: DataFrame | None
     normalised, gated, enriched with devices -> processed/page_loads
     partitioned by event_date, and quarantine/page_loads.  Every gate rule
     looks at page-load columns only, so rows that fail don't look for a device:
-    they join by NULL.  The join reads the written device table.  With
+    they join by NULL.  The join reads the written device table; of more than
+    ``LARGE_CATALOGUE`` devices, which are not sent to every task, the hot ones
+    are found by a pass over the ids and cut into parts.  With
     ``replace_dates`` only the days that the raw input holds are exchanged (in
     the quarantine, too; its records without a day are those of the last
     ingest), all others stay as they are."""
@@ -178,7 +182,8 @@ def ingest_page_loads(spark: SparkSession, layout: Layout, raw: DataFrame | None
     obs = Observation("gate:page_loads")
     judged = quality.quality_verdict(normalize.normalize_page_loads(_with_record(raw)), PAGE_LOAD_QUALITY, obs)
     judged = judged.withColumn("device_id", F.when(F.size("reasons") == 0, F.col("device_id")))
-    enriched = enrich.enrich_with_devices(judged, _processed(spark, layout, "devices"))
+    hot = enrich.hot_devices(judged) if device_rows > LARGE_CATALOGUE else None
+    enriched = enrich.enrich_with_devices(judged, _processed(spark, layout, "devices"), hot)
     rows = _split_and_write(enriched, layout, "page_loads", "event_date", rebalance, sinks.PRESENT if replace_dates else None)
     return {"devices": device_rows, **rows, "gate": _gate_log("page_loads", obs)}
 

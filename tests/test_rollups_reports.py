@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from perfwatch.functions.stats import mean_of_rounded
 from perfwatch.operators import reports
-from perfwatch.operators.enrich import enrich_with_devices
+from perfwatch.operators.enrich import enrich_with_devices, hot_devices
 from perfwatch.operators.rankings import route_rankings
 from perfwatch.operators.regressions import detect_regressions
 from perfwatch.operators.releases import before_after, release_aggregates, release_pairs
@@ -151,3 +151,34 @@ def test_enrichment_keeps_rows_without_an_id(spark):
         got = sorted((r.lcp_ms, r.device_class) for r in enrich_with_devices(loads, devices).collect())
         assert got == [(1.0, "low-end"), (2.0, None), (3.0, "odd"), (4.0, None), (5.0, None)]
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_hot_device_is_cut_into_parts(spark):
+    """Half of the rows on one device, AQE off, shuffled join: no task gets more than its share."""
+    loads = spark.range(40_000).selectExpr(
+        "concat('e', id) AS event_id", "CAST(id AS DOUBLE) AS lcp_ms",
+        "CASE WHEN id % 2 = 0 THEN 'hot' WHEN id % 10 = 1 THEN NULL WHEN id % 10 = 3 THEN '' ELSE concat('d', id % 3000) END AS device_id")
+    devices = spark.range(3000).selectExpr("concat('d', id) AS device_id", "'mid' AS device_class", "'4G' AS network_profile").union(
+        spark.createDataFrame([("hot", "low", "3G"), ("", "none", "5G"), (None, "x", "x")], "device_id string, device_class string, network_profile string"))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        hot = hot_devices(loads, 64)
+        assert {r["device_id"]: r["copies"] for r in hot.collect()} == {"hot": 36, "": 8}
+        columns = ["event_id", "lcp_ms", "device_id", "device_class", "network_profile"]
+
+        def largest_task(joined):
+            assert joined.columns == columns
+            return joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+        plain, cut_up = enrich_with_devices(loads, devices), enrich_with_devices(loads, devices, hot)
+        assert largest_task(plain) > 20_000 and largest_task(cut_up) < 10_000
+        assert cut_up.exceptAll(plain).isEmpty() and plain.exceptAll(cut_up).isEmpty()
+        assert cut_up.where("device_id IS NULL AND device_class IS NOT NULL").isEmpty()
+        plan = cut_up._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 2
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
