@@ -10,7 +10,7 @@ from perfwatch.config import DEFAULT_THRESHOLDS, RegressionThresholds
 from perfwatch.operators import aggregate as agg
 from perfwatch.operators.rankings import route_rankings
 from perfwatch.operators.regressions import detect_regressions, events_by_severity, metric_events, union_events
-from perfwatch.operators.releases import before_after, release_aggregates, release_pairs
+from perfwatch.operators.releases import before_after, consecutive_pairs, release_aggregates, release_pairs
 from perfwatch.operators.rollups import daily_vitals
 
 
@@ -41,13 +41,21 @@ def test_undated_and_unnamed_releases(pairs, load):
     assert neighbours(pairs(rows)) == {("undated", None), ("too", None), (None, "named")}
 
 
-def test_pairs_build_no_arrays_and_share_one_exchange(pairs, load):
-    found = pairs([load(None, f"u{i}") for i in range(3)] + [load(9, "dated")])
-    assert found.count() == 3
-    execution = found._jdf.queryExecution()
-    found.collect()
-    assert "collect_list" not in execution.optimizedPlan().toString()
-    assert "ReusedExchange" in execution.executedPlan().toString().split("== Initial Plan ==")[0]
+def test_releases_of_one_day_meet_in_bounded_groups(spark):
+    """Seven undated releases and five of the first day, in blocks of two: all 35 pairs, none twice."""
+    from perfwatch.config import METRICS
+
+    values = [F.lit(1.0).alias(f"p75_{m.stem}") for m in METRICS]
+    ranked = spark.range(13).selectExpr(
+        "'/a' AS route", "CAST(NULL AS STRING) AS device_type", "CAST(id AS STRING) AS release_version",
+        "CASE WHEN id = 12 THEN DATE'2031-03-09' WHEN id >= 7 THEN DATE'2031-03-04' END AS release_start_date",
+        "CASE WHEN id = 12 THEN 3 WHEN id >= 7 THEN 2 ELSE 1 END AS release_rank").select("*", *values)
+    wanted = [(str(x), str(y)) for x in range(7) for y in range(7, 12)] + [(str(x), "12") for x in range(7, 12)]
+    for block in (1, 2, 5, 256):
+        found = consecutive_pairs(ranked, block).select("before_release", "after_release").collect()
+        assert sorted(map(tuple, found)) == sorted(wanted)
+    groups = consecutive_pairs(ranked, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in groups and "RepartitionByExpression" in groups
 
 
 def test_many_undated_releases_of_one_route(spark):
