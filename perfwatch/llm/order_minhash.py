@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perfwatch.llm._common import Tables, cut, slices
+from perfwatch.llm._common import Tables, slices
 from perfwatch.llm.suffix_dedup import _prefix_hashes
 
 SHINGLE_WORDS = 3
@@ -252,10 +252,11 @@ def _verify(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Reco
 
 
 def _cross_links(table: pa.Table, least: float) -> pa.Table:
-    """Verified links of one block pair of a bucket, between texts of different
-    classes whose lengths and word counts allow the similarity.  A pair is
-    looked at only in the least band it shares, and no more once links found
-    before have joined its classes.  ``bands`` are those a text shares at all."""
+    """Classes (by their roots) that one block pair of a bucket links: verified
+    pairs of texts of different classes whose lengths and word counts allow
+    the similarity.  A pair is looked at only in the least band it shares, and
+    no more once links found before have joined its classes.  ``bands`` are
+    those a text shares at all."""
     node, group, side, words = (table.column(c).to_numpy() for c in ("node", "root", "side", "words"))
     here = table.column("band")[0].as_py()
     earlier = [{key for key in keys if key < here} for keys in table.column("bands").to_pylist()]
@@ -282,33 +283,42 @@ def _cross_links(table: pa.Table, least: float) -> pa.Table:
             x, y = root(int(group[i])), root(int(group[j]))
             if x != y and earlier[i].isdisjoint(earlier[j]) and aligned_similarity(texts[i], texts[j], least) >= least:
                 above[max(x, y)] = min(x, y)
-                a.append(int(node[i]))
-                b.append(int(node[j]))
+                a.append(int(group[i]))
+                b.append(int(group[j]))
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, tables: Tables | None = None, name: str = "components") -> DataFrame:
     """(node, root) of every node with an edge; root: the smallest node of its
-    component.  Large-star and small-star steps in turn; each round is cut by
-    a reliable checkpoint and only two numbers reach the driver."""
-    edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    state = None
+    component.  Large-star and small-star steps in turn.  Each step is a
+    compressed table, removed when the next is written: its reader has tasks
+    by bytes, not by the shuffle width, so that rounds of few rows leave few
+    shuffle files.  Only two numbers a round reach the driver."""
+    tables = tables or Tables(edges.sparkSession, "components")
+    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
+    edges = tables.cut(edges, f"{name}-0")
+    state, done = None, 0
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        # a node's greater neighbours go to the least of the node and its neighbours
+        least = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
+        large = tables.cut(edges.join(least, F.col("b") == F.col("node"), "left").select("a", F.coalesce("m", "b").alias("b")),
+                           f"{name}-large")
+        # a node and its lesser neighbours go to the least of these
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (
-            large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .unionByName(least.withColumnRenamed("m", "b")).distinct())
-        edges = cut(small)
+        small = large.join(least, "a").select(
+            F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).distinct()
+        edges = tables.cut(small, f"{name}-{done + 1}")
+        tables.drop(f"{name}-{done}", f"{name}-large")
+        done += 1
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == state:
             break
         state = now
     roots = edges.select("b").distinct()
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
-        roots.select(F.col("b").alias("node"), F.col("b").alias("root")))
+    found = tables.cut(edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
+        roots.select(F.col("b").alias("node"), F.col("b").alias("root"))), name)
+    tables.drop(f"{name}-{done}")
+    return found
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -361,8 +371,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(
             lambda batches: _verify(batches, similarity), "a long, b long")
 
-    links = cut(verified(near))
-    classes = cut(components(links))
+    classes = components(verified(near), tables, "classes")
     # buckets that still hold more than one class, in blocks of at most BLOCK rows
     placed = shared.select("band", "node").join(classes, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
     mixed = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")
@@ -376,12 +385,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = (
         blocks.join(sequences, "node").groupBy("band", "i", "j")
         .applyInArrow(lambda table: _cross_links(table, similarity), "a long, b long"))
-    links = cut(links.unionByName(more))
-    classes = cut(components(links))
+    # these links are between classes: only classes are joined anew
+    joined = components(more, tables, "joined").select(F.col("node").alias("root"), F.col("root").alias("into"))
     tables.drop("shared", "sequences")
 
-    rooted = nodes.join(classes, "node", "left").select("t1", "t2", "doc", "node", "copies",
-                                                        F.coalesce("root", "node").alias("root"))
+    rooted = (
+        nodes.join(classes, "node", "left").withColumn("root", F.coalesce("root", "node")).join(joined, "root", "left")
+        .select("t1", "t2", "doc", "node", "copies", F.coalesce("into", "root").alias("root")))
     named = rooted.groupBy("root").agg(F.min(F.struct("doc", "node")).alias("lead"), F.sum("copies").alias("class_rows"))
     member = rooted.join(named, "root").select("t1", "t2", F.col("lead.doc").alias("class_doc"),
                                                F.col("lead.node").alias("class_row"), "class_rows")

@@ -156,3 +156,38 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(200, 100)], "a long, b long")
     got = {r["node"]: r["root"] for r in order_minhash.components(edges).collect()}
     assert got == {i: 0 for i in range(61)} | {100: 100, 200: 100}
+
+
+def test_components_of_any_graph(spark):
+    rng = random.Random(12)
+    pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(7, 400 + i) for i in range(200)]
+    edges = spark.createDataFrame(pairs + pairs[:50], "a long, b long")
+    above = {x: x for pair in pairs if pair[0] != pair[1] for x in pair}
+    for _ in above:
+        for a, b in pairs:
+            if a != b:
+                above[a] = above[b] = min(above[a], above[b])
+    assert sorted((r["node"], r["root"]) for r in order_minhash.components(edges).collect()) == sorted(above.items())
+
+
+def test_rounds_of_few_edges_take_few_tasks(spark):
+    """Every task that feeds a shuffle leaves three files: a round must not take the shuffle width again and again."""
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        context.setJobGroup("few-edges", "components")
+        assert order_minhash.components(edges).count() == 61
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("few-edges")]
+    stages = [tracker.getStageInfo(s) for s in {s for job in jobs for s in job.stageIds}]
+    rounds = sum(s.name.startswith("first") for s in stages if s and s.numCompletedTasks) // 2
+    tasks = sum(s.numCompletedTasks for s in stages if s)
+    assert 0 < rounds and tasks <= rounds * 200 + 200
